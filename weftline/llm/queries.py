@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import crc_of_id, table
 from weftline.llm.exact_dedup import exact_dedup
+from weftline.llm.near_dedup import near_classes
 from weftline.llm.quality import fit_quality, score_quality
 from weftline.llm.secret_scan import BASE, find_secrets
+from weftline.llm.substring_dedup import find_repeats
 from weftline.llm.toxicity import fit_toxicity, score_toxicity
 from weftline.llm.url_filter import judge_urls, rules_frame
 
@@ -69,6 +71,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_classes(table(spark, sf_dir, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_repeats(table(spark, sf_dir, "documents"), window=35)
+    return out.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.array(*(F.lit(r.kind) for r in BASE))
 
@@ -97,6 +109,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_url_filter": op2_url_filter,
         "op4_toxicity": op4_toxicity,
+        "op5_minhash": op5_minhash,
+        "op6_substring": op6_substring,
         "op9_secret_scan": op9_secret_scan,
         "op10_quality": op10_quality,
     }
