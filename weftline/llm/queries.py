@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import crc_of_id, table
+from weftline.llm.decontaminate import find_leaks
 from weftline.llm.exact_dedup import exact_dedup
+from weftline.llm.mixing import mix
 from weftline.llm.near_dedup import near_classes
 from weftline.llm.quality import fit_quality, score_quality
 from weftline.llm.secret_scan import BASE, find_secrets
@@ -26,6 +28,11 @@ URL_RULES = [
 ]
 
 
+#: Integer weights of the nodes that have one other than 1, the budget as a share of all tokens, epochs at most, and the seed of the order.
+MIX_WEIGHTS = {"domain": {"d0": 2, "d1": 5, "d2": 2}, "lang": {"en": 3, "de": 2, "fr": 2}, "source": {"src0": 3, "src1": 4}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, "mix-1"
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
     return out.select(F.col("_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -58,6 +65,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_item").alias("item_id"), "coverage", "n_tiles", "tiles")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tagger = fit_toxicity(docs, table(spark, sf_dir, "labels"), crc_of_id("doc_id") % 3 != 1)
@@ -81,6 +93,73 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """Documents mixed by the production weights; domains are the source numbers modulo 4."""
+    number = F.coalesce(F.expr("try_cast(regexp_extract(source, '[0-9]+', 0) as int)"), F.lit(0))
+    levels = [("domain", F.concat(F.lit("d"), (number % 4).cast("string"))), ("lang", F.col("lang")), ("source", F.col("source"))]
+    out = mix(docs, levels, MIX_WEIGHTS, budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+    return out.select(F.col("_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+def _weight_sql(column: str) -> str:
+    listed = MIX_WEIGHTS.get(column, {})
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {w}" for k, w in listed.items()) + " ELSE 1 END" if listed else "1"
+
+
+def _share_sql(name: str, source: str, parent: str, child: str) -> str:
+    """Common table expressions that divide _budget among the rows of `source`, as `name`."""
+    return f"""
+{name}_a AS (
+  SELECT *, coalesce(sum(cap) OVER (PARTITION BY {parent} ORDER BY cap::DOUBLE / w, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS full_before,
+         (sum(w) OVER (PARTITION BY {parent}) - coalesce(sum(w) OVER (PARTITION BY {parent} ORDER BY cap::DOUBLE / w, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::HUGEINT AS w_left
+  FROM {source} WHERE w > 0 AND cap > 0),
+{name}_b AS (SELECT *, cap::HUGEINT * w_left <= w::HUGEINT * (budget - full_before) AS is_full FROM {name}_a),
+{name}_c AS (
+  SELECT *, (budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER (PARTITION BY {parent}), 0))::HUGEINT AS rest,
+         (sum(CASE WHEN NOT is_full THEN w END) OVER (PARTITION BY {parent}))::HUGEINT AS w_open
+  FROM {name}_b),
+{name}_d AS (SELECT *, CASE WHEN is_full THEN cap ELSE (w::HUGEINT * greatest(rest, 0)) // w_open END AS part FROM {name}_c),
+{name}_e AS (
+  SELECT *, rest - sum(CASE WHEN NOT is_full THEN part END) OVER (PARTITION BY {parent}) AS odd,
+         row_number() OVER (PARTITION BY {parent} ORDER BY is_full, {child}) AS place
+  FROM {name}_d),
+{name} AS (SELECT *, (part + CASE WHEN NOT is_full AND place <= odd THEN 1 ELSE 0 END)::BIGINT AS got FROM {name}_e)"""
+
+
+def op7_sql(documents: str = "documents") -> str:
+    return f"""
+WITH docs AS (
+  SELECT doc_id, 'd' || (coalesce(try_cast(regexp_extract(source, '[0-9]+') AS INTEGER), 0) % 4)::VARCHAR AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens
+  FROM {documents}),
+leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS total, (sum(n_tokens) * {MIX_EPOCHS})::BIGINT AS cap,
+         {_weight_sql("domain")} AS w_domain, {_weight_sql("lang")} AS w_lang, {_weight_sql("source")} AS w_source
+  FROM docs GROUP BY 1, 2, 3),
+live AS (SELECT * FROM leaves WHERE w_domain > 0 AND w_lang > 0 AND w_source > 0),
+top AS (SELECT least(floor(sum(cap) / {MIX_EPOCHS} * {MIX_SHARE}::DOUBLE), sum(cap))::BIGINT AS budget FROM live),
+n1 AS (SELECT 0 AS root, domain, sum(cap)::BIGINT AS cap, max(w_domain) AS w, any_value(budget) AS budget FROM live, top GROUP BY domain),
+{_share_sql("s1", "n1", "root", "domain")},
+n2 AS (SELECT l.domain, l.lang, sum(l.cap)::BIGINT AS cap, max(l.w_lang) AS w, any_value(s.got) AS budget FROM live l JOIN s1 s ON l.domain = s.domain GROUP BY 1, 2),
+{_share_sql("s2", "n2", "domain", "lang")},
+n3 AS (SELECT l.domain, l.lang, l.source, l.cap, l.w_source AS w, s.got AS budget FROM live l JOIN s2 s ON l.domain = s.domain AND l.lang = s.lang),
+{_share_sql("s3", "n3", "domain, lang", "source")},
+plan AS (SELECT s.domain, s.lang, s.source, s.got // l.total AS whole, s.got % l.total AS rest FROM s3 s JOIN leaves l ON s.domain = l.domain AND s.lang = l.lang AND s.source = l.source WHERE l.total > 0),
+placed AS (
+  SELECT d.*, p.whole, p.rest, md5('{MIX_SEED}:' || p.whole::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '')) AS k
+  FROM docs d JOIN plan p ON d.domain = p.domain AND d.lang = p.lang AND d.source = p.source),
+runs AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, epoch::INTEGER AS epoch FROM (
+  SELECT doc_id, domain, lang, source, n_tokens, unnest(range(0, whole)) AS epoch FROM placed
+  UNION ALL
+  SELECT doc_id, domain, lang, source, n_tokens, whole AS epoch FROM runs WHERE before < rest)
+"""
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.array(*(F.lit(r.kind) for r in BASE))
 
@@ -108,13 +187,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_url_filter": op2_url_filter,
+        "op3_decontamination": op3_decontamination,
         "op4_toxicity": op4_toxicity,
         "op5_minhash": op5_minhash,
         "op6_substring": op6_substring,
+        "op7_mixing": op7_mixing,
         "op9_secret_scan": op9_secret_scan,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_mixing": op7_sql()}
