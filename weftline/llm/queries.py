@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftline.llm.common import crc_of_id, table
 from weftline.llm.decontaminate import find_leaks
 from weftline.llm.exact_dedup import exact_dedup
+from weftline.llm.license_scan import scan_licenses
 from weftline.llm.mixing import mix
 from weftline.llm.near_dedup import near_classes
 from weftline.llm.quality import fit_quality, score_quality
@@ -160,6 +161,17 @@ SELECT doc_id, domain, lang, source, n_tokens, epoch::INTEGER AS epoch FROM (
 """
 
 
+def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["chance"].alias("chance"), x["family"].alias("family"))))
+    return scan_licenses(table(spark, sf_dir, "documents")).select(
+        F.col("_id").alias("doc_id"),
+        F.coalesce(best["family"], F.lit("none")).alias("license"),
+        best["chance"].alias("chance"),
+        F.size("licenses").cast("long").alias("n_paragraphs"),
+        F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["paragraph"].cast("string"), x["family"])), ",").alias("paragraphs"),
+    )
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.array(*(F.lit(r.kind) for r in BASE))
 
@@ -192,6 +204,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash": op5_minhash,
         "op6_substring": op6_substring,
         "op7_mixing": op7_mixing,
+        "op8_license": op8_license,
         "op9_secret_scan": op9_secret_scan,
         "op10_quality": op10_quality,
     }
