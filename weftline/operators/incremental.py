@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.lineage import cut
+
 
 def pending(items: DataFrame, done: DataFrame, key: Sequence[str], order: Sequence[str | Column] = (), limit: int | None = None) -> DataFrame:
     """Items whose key is not done; with a limit, the first of them in the order. The limit comes after the anti-join, before any fetch."""
@@ -52,11 +54,12 @@ def with_total(rows: DataFrame, label: str, sums: Sequence[str]) -> DataFrame:
 
 
 def follow(edges: DataFrame, starts: DataFrame, most: int = 500) -> DataFrame:
-    """Pages that are reached from each start (start) by the edges (src, dst), with their depth; a page is visited once a start, and `most` steps are taken at the utmost. A loop of joins over small tables of links."""
-    reached = starts.select("start", F.col("start").alias("page"), F.lit(0).alias("depth"))
-    front = reached
+    """Pages that are reached from each start (start) by the edges (src, dst), with their depth; a page is visited once a start, and `most` steps are taken at the utmost. A loop of joins; each round's lineage is cut."""
+    edges = cut(edges.select("src", "dst"))
+    reached = front = cut(starts.select("start", F.col("start").alias("page"), F.lit(0).alias("depth")))
     for depth in range(1, most + 1):
-        front = front.join(edges, front["page"] == edges["src"]).select("start", F.col("dst").alias("page"), F.lit(depth).alias("depth")).distinct().join(reached.select("start", "page"), ["start", "page"], "left_anti")
+        following = front.join(edges, front["page"] == edges["src"]).select("start", F.col("dst").alias("page"), F.lit(depth).alias("depth")).distinct()
+        front = cut(following.join(reached.select("start", "page"), ["start", "page"], "left_anti"))
         if front.isEmpty():
             break
         reached = reached.unionByName(front)
