@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,6 +22,8 @@ WORD = re.compile(r"\w+")
 PER_CLASS, MAX_CHARS = 700, 20_000
 #: Prefix lengths that are features beside the whole word, so that inflected forms share what is learned.
 PREFIXES = (4, 5, 6)
+#: Share of the sample's texts that have a feature which is learnt though it marks no toxic word; distinct words kept at hand.
+COMMON, MAX_WORDS = 0.02, 100_000
 _CAP = 12.0
 
 
@@ -40,10 +43,15 @@ class Tagger:
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     slope: float = 0.0
     level: float = -4.0
+    cache: _Codes | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"cache": None}
 
     def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The chance that each word is toxic, and where each text's words begin; a line is a sequence."""
-        cache = _Weights(self)
+        if self.cache is None or len(self.cache) > MAX_WORDS:
+            self.cache = _Codes(self)
         words, lengths, first = [], [], [0]
         for text in texts:
             for line in text.split("\n"):
@@ -54,12 +62,13 @@ class Tagger:
             first.append(len(words))
         if not words:
             return np.empty(0), np.array(first)
-        w = np.array([cache[x] for x in words])
+        codes = np.fromiter(map(self.cache.__getitem__, words), dtype=np.int64, count=len(words))
+        own, before, after = (np.frombuffer(x)[codes] for x in self.cache.weights)
         chains = crf.Chains(np.array(lengths))
-        emit = w[:, 0] + self.bias
+        emit = own + self.bias
         inner = np.flatnonzero(chains.follows)
-        emit[inner] += w[inner - 1, 1]
-        emit[inner - 1] += w[inner, 2]
+        emit[inner] += before[inner - 1]
+        emit[inner - 1] += after[inner]
         return crf.marginals(chains, emit, self.trans), np.array(first)
 
     def strongest(self, texts: list[str]) -> np.ndarray:
@@ -92,18 +101,19 @@ class Tagger:
         return out
 
 
-class _Weights(dict):
-    """Of a word, the weights of its features as itself, as the word before and as the word after; kept for words seen, up to a bound."""
+class _Codes(dict):
+    """A number for each word seen, and by number the weights of its features as itself, as the word before and as the word after."""
 
     def __init__(self, tagger: Tagger) -> None:
-        self.tagger = tagger
+        self.own, self.before, self.after = tagger.own, tagger.before, tagger.after
+        self.weights = (array("d"), array("d"), array("d"))
 
-    def __missing__(self, word: str) -> tuple[float, float, float]:
-        t, names = self.tagger, features(word)
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = out = (sum(t.own.get(n, 0.0) for n in names), t.before.get(names[0], 0.0), t.after.get(names[0], 0.0))
-        return out
+    def __missing__(self, word: str) -> int:
+        names = features(word)
+        for column, value in zip(self.weights, (sum(self.own.get(n, 0.0) for n in names), self.before.get(names[0], 0.0), self.after.get(names[0], 0.0))):
+            column.append(value)
+        self[word] = code = len(self)
+        return code
 
 
 def distinct_families(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
@@ -145,27 +155,31 @@ def train(sample: list[tuple[str, int]], least_texts: int = 3, least_odds: float
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for lines, (_, y) in zip(texts, sample):
         seen[y].update({f for line in lines for w in line for f in features(w)})
-    around: dict[str, set] = {}
+    def stands_out(f: str, c: int) -> bool:
+        odds = np.log((c + 0.5) / (n[1] + 1)) - np.log((seen[0][f] + 0.5) / (n[0] + 1))
+        return bool(odds >= least_odds) and gain(c, seen[0][f], n[1], n[0]) >= least_gain
+
+    around: dict[str, set] = {f: set() for f, c in seen[1].items() if stands_out(f, c)}
     for lines, (_, y) in zip(texts, sample):
         for line in lines if y else ():
             for before, w, after in zip(["", *line], line, [*line[1:], ""]):
                 for f in features(w):
-                    around.setdefault(f, set()).add((before, after))
-    votes = {f: min(c, len(around[f])) for f, c in seen[1].items()}
-    strong = {f for f, c in votes.items() if np.log((c + 0.5) / (n[1] + 1)) - np.log((seen[0][f] + 0.5) / (n[0] + 1)) >= least_odds and gain(c, seen[0][f], n[1], n[0]) >= least_gain}
-    common = {f for f in seen[0] | seen[1] if seen[0][f] + seen[1][f] >= least_texts}
+                    if f in around:
+                        around[f].add((before, after))
+    strong = {f for f, places in around.items() if stands_out(f, min(seen[1][f], len(places)))}
+    common = {f for c in seen for f in c if seen[0][f] + seen[1][f] >= max(least_texts, COMMON * len(sample))}
     ids = {f: i + 1 for i, f in enumerate(sorted(strong | common))}
     width, size = 1 + len(PREFIXES), len(ids) + 1
-    rows, labels, lengths = [], [], []
+    rows, labels, lengths = array("q"), array("b"), []
     for lines, (_, y) in zip(texts, sample):
         for line in lines:
             if line:
                 lengths.append(len(line))
                 for w in line:
                     names = features(w)
-                    rows.append([ids.get(f, 0) for f in names] + [0] * (width - len(names)))
+                    rows.extend([ids.get(f, 0) for f in names] + [0] * (width - len(names)))
                     labels.append(int(y == 1 and any(f in strong for f in names)))
-    x, y = np.array(rows), np.array(labels)
+    x, y = np.array(rows).reshape(-1, width), np.array(labels, dtype=np.int64)
     chains = crf.Chains(np.array(lengths))
     before, after = np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=np.int64)
     inner = np.flatnonzero(chains.follows)
