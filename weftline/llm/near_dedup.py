@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from weftline.llm.common import release, saved, slices, text_of
 from weftline.llm.words import gram_hashes, mix, word_hashes
 
-#: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 3) ** 20, under one in a million.
-SHINGLE, SAMPLE, SKETCHES = 5, 3, 20
+#: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 4) ** 28, under one in a million.
+SHINGLE, SAMPLE, SKETCHES = 5, 4, 28
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -96,14 +96,15 @@ def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most + 1
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
-    """Whether two sequences of word hashes are a link."""
+def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether two sequences of word hashes are a link, the shingles of the first that the second lacks, and those that it has beyond them."""
     x, y = np.unique(shingles_of(a)), np.unique(shingles_of(b))
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    if common < threshold * (len(x) + len(y) - common):
-        return False
+    lost, gained = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+    common = len(x) - len(lost)
+    if common < threshold * (len(x) + len(gained)):
+        return False, lost, gained
     most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
-    return banded_distance(a, b, most) <= most
+    return banded_distance(a, b, most) <= most, lost, gained
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +123,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = batch.column("_ta").to_pylist(), batch.column("_tb").to_pylist()
-        keep = []
         for s, e in slices([a + b for a, b in zip(left, right)]):
             wa, fa = word_hashes(left[s:e])
             wb, fb = word_hashes(right[s:e])
-            keep += [similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)]
-        yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), pa.array(keep, pa.bool_())], ["_a", "_b", "_link"])
+            found = [similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)]
+            # a lost and a gained shingle are never the same, so the two kinds can share one list of differences
+            differ = [np.concatenate([x, y]).view(np.int64) for _, x, y in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_a").slice(s, e - s), batch.column("_b").slice(s, e - s), pa.array([k for k, _, _ in found], pa.bool_()), pa.array([len(x) for _, x, _ in found], pa.int64()), pa.array([len(y) for _, _, y in found], pa.int64()), pa.array(differ, pa.list_(pa.int64()))],
+                ["_a", "_b", "_link", "_lost", "_gained", "_diff"],
+            )
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -150,10 +155,43 @@ def components(edges: DataFrame) -> DataFrame:
         release(spark)
 
 
+def missed(tried: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (_a, _b) of texts that reach the Jaccard threshold though neither star nor component joins them, among texts with a common pivot.
+
+    A text is known by its pivot p and its differences D: the shingles it lost (L) and gained (G). For x and y, with q = threshold / (1 + threshold) and w = (1 - q) L + q G, the threshold is reached if and only if D(x) and D(y) share t = w(x) + w(y) - (1 - 2q) |p| shingles. Differences that no other text of the pivot has can't be shared: with R the rest of D, t <= min(R(x), R(y)). So y takes part only if R(y) - w(y) is at least w(x) - (1 - 2q) |p| for some x, and x only if some y allows it; what is left is compared difference by difference. Independent edits are unique, so next to nothing is left of a large group, and nothing that could be a link is dropped.
+    """
+    q = threshold / (1 + threshold)
+    own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
+    pivots = classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main"))
+    base = sizes.select(F.col("_node").alias("_a"), F.col("_size").alias("_base"))
+    rows = (
+        tried.join(own, "_b", "left")
+        .join(pivots, "_a", "left")
+        .join(base, "_a")
+        .withColumn("_its", F.coalesce("_its", "_b"))
+        .withColumn("_apart", F.col("_its") != F.coalesce("_main", "_a"))
+        .withColumn("_w", (1 - q) * F.col("_lost") + q * F.col("_gained"))
+        .withColumn("_free", (1 - 2 * q) * F.col("_base"))
+    )
+    open_ = rows.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_n")).where("_n_apart > 0 and _n > 1").select("_a")
+    rows = saved(rows.join(open_, "_a").select("_a", "_b", "_its", "_apart", "_w", "_free", "_diff"), "open")
+    lone = rows.select("_a", "_b", F.explode("_diff").alias("_h")).groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_n"), F.min("_b").alias("_b")).where("_n = 1")
+    lone = lone.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_u"))
+    eps = F.lit(1e-6)
+    known = rows.join(lone, ["_a", "_b"], "left").withColumn("_r", F.size("_diff") - F.coalesce("_u", F.lit(0)))
+    bounds = known.groupBy("_a").agg(F.max(F.col("_r") - F.col("_w")).alias("_most"), F.min(F.when(F.col("_apart"), F.col("_w") - F.col("_free"))).alias("_least"), F.min("_w").alias("_w_min"))
+    known = known.join(bounds, "_a")
+    y = known.where(F.col("_r") - F.col("_w") >= F.col("_least") - eps).select("_a", F.col("_b").alias("_y"), F.col("_its").alias("_y_its"), F.col("_w").alias("_wy"), F.col("_r").alias("_ry"), F.col("_diff").alias("_dy"))
+    x = known.where(F.col("_apart") & (F.col("_w") - F.col("_free") <= F.col("_most") + eps) & (F.col("_r") >= F.col("_w") + F.col("_w_min") - F.col("_free") - eps))
+    needed = F.col("_w") + F.col("_wy") - F.col("_free") - eps
+    both = x.join(y, "_a").where((F.col("_its") != F.col("_y_its")) & (F.least("_r", "_ry") >= needed) & (F.size(F.array_intersect("_diff", "_dy")) >= needed))
+    return both.select(F.least("_b", "_y").alias("_a"), F.greatest("_b", "_y").alias("_b")).distinct()
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """_id, class_id (the smallest id of its class), class_size and kept (whether it is that id) of every row.
 
-    Equal texts are one node. In every sketch's bucket each text is compared with the bucket's smallest, so a group of n near copies costs n comparisons, not n * n. Links that such stars miss can only be between texts of one bucket that are then still in different components: those pairs, and only those, are compared next, all of them. No bucket is capped and no candidate dropped.
+    Equal texts are one node. Each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Links that such stars miss, between texts of one pivot that are then in different components, are found from the differences to the pivot (see missed) and verified too. No bucket is capped and no candidate dropped.
 
     Cases: null and empty texts are one class. A text of fewer than five words is one shingle. Equal ids are judged by their texts; null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
@@ -163,50 +201,40 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _size bigint, _sketch array<bigint>"), "sketches")
     distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"))
     entries = distinct.select("_node", "_size", F.explode("_sketch").alias("_bucket"))
-    shared = entries.groupBy("_bucket").agg(F.min("_node").alias("_pivot"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_bucket", "_pivot")
-    members = saved(entries.join(shared, "_bucket").select("_bucket", "_pivot", "_node", "_size"), "buckets")
+    shared = entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    members = saved(entries.join(shared, "_bucket").select("_bucket", "_n", "_node", "_size"), "buckets")
     release(spark)
 
-    needed = members.select("_node").distinct()
+    sizes = members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"))
+    needed = sizes.select("_node")
     texts = saved(rows.select("_node", "_t").join(needed, "_node", "left_semi").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
     release(spark)
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
         b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
-        return saved(pairs.select("_a", "_b").join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), f"_a {_NODE}, _b {_NODE}, _link boolean"), "pairs")
+        schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _lost bigint, _gained bigint, _diff array<bigint>"
+        return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
 
-    close = "least(_size, _other) >= {0} * greatest(_size, _other)".format(threshold)
-    sizes = members.where("_node = _pivot").select("_bucket", F.col("_size").alias("_other"))
-    stars = members.where("_node > _pivot").join(sizes, "_bucket").where(close).select(F.col("_pivot").alias("_a"), F.col("_node").alias("_b")).distinct()
+    scored = members.join(sizes.select("_node", "_score"), "_node")
+    pivot = scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a"))
+    stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot, "_bucket").where("_a <> _b").select("_a", "_b").distinct()
     tried = verified(stars)
-    classes = components(tried.where("_link"))
+    links = tried.where("_link").select("_a", "_b")
+    classes = components(links)
     release(spark)
 
-    placed = members.join(classes, "_node", "left").select("_bucket", "_node", "_size", F.coalesce("_class", "_node").alias("_class"))
-    parts = placed.groupBy("_bucket", "_class").agg(F.count(F.lit(1)).alias("_n"))
-    split = parts.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_parts"), F.max_by("_class", "_n").alias("_main")).where("_parts > 1").select("_bucket", "_main")
-    open_ = saved(placed.join(split, "_bucket"), "open")
-    rest = open_.where("_class <> _main").select("_bucket", F.col("_node").alias("_a"), F.col("_size").alias("_other"), F.col("_class").alias("_its"))
-    crossing = (
-        open_.join(rest, "_bucket")
-        .where((F.col("_class") != F.col("_its")) & ((F.col("_class") == F.col("_main")) | (F.col("_a") < F.col("_node"))))
-        .where(close)
-        .select(F.least("_a", "_node").alias("_a"), F.greatest("_a", "_node").alias("_b"))
-        .distinct()
-        .join(tried.select("_a", "_b"), ["_a", "_b"], "left_anti")
-    )
-    more = verified(crossing)
-    if more.where("_link").limit(1).count():
-        classes = components(tried.where("_link").select("_a", "_b").unionByName(more.where("_link").select("_a", "_b")))
+    more = verified(missed(tried, classes, sizes, threshold)).where("_link").select("_a", "_b")
+    if more.limit(1).count():
+        classes = components(links.unionByName(more))
     release(spark)
 
-    placed_rows = sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class"))
-    groups = placed_rows.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return placed_rows.join(groups, "_class").select("_id", "class_id", "class_size", F.col("_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    placed = sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class"))
+    groups = placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    return placed.join(groups, "_class").select("_id", "class_id", "class_size", F.col("_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of docs that stay, one id of each class, with all their columns; cases as in near_classes. Rows without an id stay if no row of their class has one."""
     gone = near_classes(docs, id_col, text_col, threshold).where("not kept").select(F.col("_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
