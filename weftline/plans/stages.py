@@ -239,9 +239,9 @@ def translate(store: Store, factory: Callable[[], translation.Model], options: t
         done = translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options)
         files.append(done.new_entries, store.at("cache"))
         cached = translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options)
-        files.replace(records.write_back(rows, cached.english), store.at("records"))
         stats["temples"] += len(todo)
-        stats["fields"] += mine.count()
+        stats["fields"] += mine.count()  # before the files it reads are replaced
+        files.replace(records.write_back(rows, cached.english), store.at("records"))
     return stats
 
 

@@ -59,23 +59,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: b
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False, order: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows of a JSON-lines file, and what could not be read (_corrupt_record). Lines end at a line feed only. Strict reading fails at the first bad line. With `order`, rows get their place in the file (by path and offset of the block, then within it)."""
+    """Rows of a JSON-lines file, and what could not be read (_corrupt_record). Lines end at a line feed only. Strict reading fails at the first bad line. With `order`, rows get their place: by the time and path of their file, then within it."""
     if not exists(spark, path):
-        return empty(spark, schema), empty(spark, strings("_corrupt_record"))
-    reader = spark.read.option("lineSep", "\n").option("encoding", "UTF-8")
+        none = empty(spark, schema)
+        return none if order is None else none.withColumn(order, F.lit(0)), empty(spark, strings("_corrupt_record"))
+    lines = spark.read.option("lineSep", "\n").text(path).where("trim(value) <> ''")
+    if order is not None:
+        lines = lines.withColumn(order, F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
+    kept = [] if order is None else [order]
     if strict:
-        return _placed(reader.schema(schema).option("mode", "FAILFAST").json(path), order), empty(spark, strings("_corrupt_record"))
+        return lines.withColumn("_r", F.from_json("value", schema, {"mode": "FAILFAST"})).select("_r.*", *kept), empty(spark, strings("_corrupt_record"))
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", S)])
-    rows = _placed(reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path), order)
+    rows = lines.withColumn("_r", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})).select("_r.*", *kept)
     return rows.where("_corrupt_record is null").drop("_corrupt_record"), rows.where("_corrupt_record is not null").select("_corrupt_record")
 
 
-def _placed(rows: DataFrame, order: str | None) -> DataFrame:
-    if order is None:
-        return rows
-    return rows.withColumn(order, F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON document: an array of rows, or one row."""
     return spark.read.schema(schema).json(path, multiLine=True) if exists(spark, path) else empty(spark, schema)
