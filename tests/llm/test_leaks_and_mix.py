@@ -9,9 +9,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from weftline.llm.decontaminate import drop_leaks, find_leaks, normal, tile
+from weftline.llm.decontaminate import drop_leaks, find_leaks, tile
 from weftline.llm.mixing import mix
 from weftline.llm.queries import mixed, op7_sql
+from weftline.llm.words import normal
 
 from .conftest import prose
 

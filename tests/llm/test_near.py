@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from weftline.llm.near_dedup import banded_distance, components, drop_near_copies, near_classes, order_sketches, shingles_of, similar
-from weftline.llm.words import gram_hashes, word_hashes
+from weftline.llm.words import gram_hashes, normal, word_hashes
 
 from .conftest import prose
 
@@ -43,7 +43,7 @@ def test_word_hashes_follow_words(texts):
 
 def brute(rows, threshold=0.8):
     """All pairs, compared."""
-    words = [word_hashes([t or ""])[0] for _, t in rows]
+    words = [word_hashes([normal(t or "")])[0] for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(x):
@@ -121,6 +121,12 @@ def test_odd_rows(odd_docs, no_docs):
     assert near_classes(no_docs).count() == 0 and drop_near_copies(no_docs).count() == 0
 
 
+def test_case_and_punctuation_do_not_matter(bare):
+    words = prose(random.Random(6), 40)
+    rows = [(1, words), (2, words.replace(" ", ", ").upper()), (3, words.replace(" ", ". ", 20).title()), (4, "!!!"), (5, "???"), (6, "!!!")]
+    assert {r._id: r.class_id for r in near_classes(bare(rows)).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 4}
+
+
 def test_order_matters_to_a_sketch():
     a = shingles_of(word_hashes([prose(random.Random(1), 200)])[0])
     b = np.concatenate([a[100:], a[:100]])

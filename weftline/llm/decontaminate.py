@@ -6,7 +6,6 @@ Texts are compared as words in lower case without punctuation. Shared phrases of
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,20 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from weftline.llm.common import slices, text_of
-from weftline.llm.words import gram_hashes, word_hashes
+from weftline.llm.words import gram_hashes, normal, word_hashes
 
 #: Shortest tile, and the share of an item's words that tiles must cover.
 LEAST, COVERAGE = 5, 0.8
 #: Words of benchmark that are sent to the executors at a time; a larger benchmark is run in blocks.
 BLOCK_WORDS = 1_000_000
 
-_MARKS = re.compile("[!-/:-@\\[-`{-~ -¿‐-‧‰-⁞　-。]+")
-
-
-def normal(text: str) -> str:
-    return _MARKS.sub(" ", text.lower())
-
-
 @dataclass
 class Block:
     """Items (id, word hashes) and an index of their seeds: sorted hashes, and for each the items that have it."""

@@ -1,6 +1,6 @@
 """MinHash near-dedup by Order MinHash and banded alignment.
 
-Each text is a sequence of five-word shingles, labelled by occurrence. A sketch samples the few smallest of them under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch, that is on the shingles and their order, are candidates. A candidate pair is a link if the Jaccard similarity of the two sets of shingles and the edit similarity of the two word sequences, found by alignment within a band, both reach the threshold. Classes are the connected components of links.
+Texts are compared as words in lower case without punctuation. Each is a sequence of five-word shingles, labelled by occurrence. A sketch samples the few smallest of them under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch, that is on the shingles and their order, are candidates. A candidate pair is a link if the Jaccard similarity of the two sets of shingles and the edit similarity of the two word sequences, found by alignment within a band, both reach the threshold. Classes are the connected components of links.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import release, saved, slices, text_of
-from weftline.llm.words import gram_hashes, mix, word_hashes
+from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
 #: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 4) ** 28, under one in a million.
 SHINGLE, SAMPLE, SKETCHES = 5, 4, 28
@@ -111,7 +111,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("_t").to_pylist()
         for s, e in slices(texts):
-            words, first = word_hashes(texts[s:e])
+            words, first = word_hashes([normal(t) for t in texts[s:e]])
             sizes, out = [], []
             for k in range(e - s):
                 grams = shingles_of(words[first[k] : first[k + 1]])
@@ -124,8 +124,8 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     for batch in batches:
         left, right = batch.column("_ta").to_pylist(), batch.column("_tb").to_pylist()
         for s, e in slices([a + b for a, b in zip(left, right)]):
-            wa, fa = word_hashes(left[s:e])
-            wb, fb = word_hashes(right[s:e])
+            wa, fa = word_hashes([normal(t) for t in left[s:e]])
+            wb, fb = word_hashes([normal(t) for t in right[s:e]])
             found = [similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)]
             # a lost and a gained shingle are never the same, so the two kinds can share one list of differences
             differ = [np.concatenate([x, y]).view(np.int64) for _, x, y in found]
@@ -193,7 +193,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Equal texts are one node. Each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Links that such stars miss, between texts of one pivot that are then in different components, are found from the differences to the pivot (see missed) and verified too. No bucket is capped and no candidate dropped.
 
-    Cases: null and empty texts are one class. A text of fewer than five words is one shingle. Equal ids are judged by their texts; null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
+    Cases: null and empty texts are one class. A text of fewer than five words is one shingle; one without words has none, and is in a class with equal texts alone. Equal ids are judged by their texts; null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
+#: ASCII and general punctuation, and a few marks of Latin-1.
+_MARKS = re.compile("[!-/:-@\\[-`{-~\u00a0-\u00bf\u2010-\u2027\u2030-\u205e\u3000-\u3002]+")
+
 _BASE, _STEP = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -60,3 +65,8 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     up, down = powers(_STEP, len(words) + 1)
     total = sums(words * up[: len(words)])
     return mix((total[k:] - total[:n]) * down[:n] + np.uint64(k))
+
+
+def normal(text: str) -> str:
+    """In lower case, with punctuation as space."""
+    return _MARKS.sub(" ", text.lower())
