@@ -203,7 +203,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     release(spark)
 
     each = phrases.select("_uid", F.explode(F.arrays_zip("_h", "_at")).alias("x")).select("_uid", "x._h", "x._at")
-    recurring = each.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h")
+    # written first, so that both sides of the join are plain shuffles, which Spark can split at a hot anchor
+    recurring = saved(each.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "recurring")
+    release(spark)
     again = saved(each.join(recurring, "_h"), "anchors")
     release(spark)
 
