@@ -3,7 +3,7 @@
 1. Every window of `window` words has an anchor: its smallest-hash phrase of ANCHOR words (leftmost among equals). Equal windows have equal anchors, and neighbouring windows mostly share theirs, so a text has an anchor for about one word in fifteen.
 2. Only windows whose anchor recurs can recur; their hashes are counted, and those that occur twice are confirmed.
 3. Of each confirmed window one occurrence is kept; neighbouring ones are joined to passages.
-4. Texts with recurring anchors are dealt over shards. Each shard compiles the phrases of the passages that may occur in it into an Aho-Corasick automaton and streams its texts through it; each hit is extended word by word, and stretches of `window` words or more are marked.
+4. Texts with recurring anchors are dealt over shards. Each shard compiles the phrases of the passages that may occur in it into an Aho-Corasick automaton and streams its texts through it; around each hit, windows that are in a passage are extended word by word, and stretches of `window` words or more are marked.
 
 Windows are told apart by 64-bit hashes when they are counted; what is marked is compared word by word.
 """
@@ -27,7 +27,7 @@ ANCHOR = 8
 #: Confirmed windows that a passage has at most; longer runs are cut, with whole windows in each part.
 RUN = 256
 #: Characters of text in a shard, about.
-SHARD_CHARS = 4_000_000
+SHARD_CHARS = 2_000_000
 
 _POSITION = np.uint64((1 << 28) - 1)
 
@@ -117,39 +117,56 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 
 
 class Phrases:
-    """An automaton of the passages' anchor phrases."""
+    """An automaton of the passages' anchor phrases, and where in the passages each of their windows is."""
 
-    def __init__(self, passages: list[tuple[list[str], list[int]]], window: int) -> None:
-        self.window, self.passages = window, [words for words, _ in passages]
-        places: dict[str, list[tuple[int, int]]] = {}
-        for k, (words, offsets) in enumerate(passages):
-            for o in offsets:
-                places.setdefault(f" {' '.join(words[o : o + ANCHOR])} ", []).append((k, o))
+    def __init__(self, passages: list[tuple[str, list[int]]], window: int) -> None:
+        self.window = window
+        self.passages = [words.split(" ") for words, _ in passages]
         self.automaton = ahocorasick.Automaton()
-        for phrase, where in places.items():
-            self.automaton.add_word(phrase, where)
-        if places:
+        for words, (_, offsets) in zip(self.passages, passages):
+            for o in offsets:
+                self.automaton.add_word(f" {' '.join(words[o : o + ANCHOR])} ", True)
+        if passages:
             self.automaton.make_automaton()
-
-    def cover(self, joined: str) -> tuple[list[str], bytearray]:
-        """The words, and 1 for each that lies in a stretch of `window` words or more of a passage."""
-        words = joined.split(" ") if joined else []
-        marked = bytearray(len(words))
-        if not len(self.automaton) or len(words) < self.window:
-            return words, marked
-        starts = np.cumsum([1, *(len(w) + 1 for w in words)])
-        hits = list(self.automaton.iter(f" {joined} "))
-        begins = np.searchsorted(starts, np.array([e + 1 for e, _ in hits], dtype=np.int64)) - ANCHOR
-        reach = self.window - ANCHOR
-        for i, (_, places) in zip(begins.tolist(), hits):
-            low, high = max(0, i - reach), min(len(words), i + self.window)
-            for k, o in places:
-                if marked.find(0, low, high) < 0:
-                    break  # whatever window this anchor has is marked
-                left, right = self.extend(words, i, self.passages[k], o)
+        hashes, first = word_hashes([words for words, _ in passages])
+        windows = gram_hashes(hashes, window)
+        owner = np.repeat(np.arange(len(passages)), np.diff(first))[: len(windows)]
+        whole = np.flatnonzero(np.arange(len(windows)) + window <= first[owner + 1]) if len(windows) else np.empty(0, dtype=np.int64)
+        order = whole[np.argsort(windows[whole], kind="stable")]
+        self.windows, self.owner, self.offset = windows[order], owner[order], (order - first[owner[order]])
+
+    def cover(self, texts: list[str]) -> Iterator[tuple[list[str], bytearray]]:
+        """Of each text the words, and 1 for each that lies in a stretch of `window` words or more of a passage.
+
+        The automaton locates the anchors. A window whose anchor is there is looked up among the passages' windows; where it is found, the text is compared with that passage word by word, both ways, as far as they agree.
+        """
+        hashes, first, _, where = anchors_of(texts, self.window)
+        windows = gram_hashes(hashes, self.window)
+        for k, text in enumerate(texts):
+            joined = words_of(text)
+            words = joined.split(" ") if joined else []
+            marked = bytearray(len(words))
+            if len(words) >= self.window and len(self.windows):
+                ends = np.fromiter((e for e, _ in self.automaton.iter(f" {joined} ")), dtype=np.int64)
+                if len(ends):
+                    self.mark(words, marked, ends, windows[first[k] : first[k + 1]], where[first[k] : first[k + 1]] - first[k])
+            yield words, marked
+
+    def mark(self, words: list[str], marked: bytearray, ends: np.ndarray, windows: np.ndarray, where: np.ndarray) -> None:
+        starts = np.cumsum(np.fromiter((len(w) + 1 for w in words), dtype=np.int64, count=len(words))) + 1
+        hit = np.zeros(len(words) + 1, dtype=bool)
+        hit[np.searchsorted(starts, ends + 1) + 1 - ANCHOR] = True
+        at = np.flatnonzero(where >= 0)
+        at = at[hit[where[at]]]
+        place = np.minimum(np.searchsorted(self.windows, windows[at]), len(self.windows) - 1)
+        found = self.windows[place] == windows[at]
+        until = -1  # windows that begin before this are marked
+        for i, p in zip(at[found].tolist(), place[found].tolist()):
+            if i >= until:
+                left, right = self.extend(words, i, self.passages[self.owner[p]], int(self.offset[p]))
                 if left + right >= self.window:
                     marked[i - left : i + right] = b"\1" * (left + right)
-        return words, marked
+                    until = i + right - self.window + 1
 
     @staticmethod
     def extend(words: list[str], i: int, other: list[str], o: int) -> tuple[int, int]:
@@ -169,16 +186,17 @@ class Phrases:
 
 def _stream(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     """A shard's texts, marked by a shard's passages; a row for each text with marked words."""
-    phrases = Phrases([(p.as_py().split(" "), o.as_py()) for p, o in zip(passages.column("_passage"), passages.column("_offset"))], window)
+    phrases = Phrases(list(zip(passages.column("_passage").to_pylist(), passages.column("_offset").to_pylist())), window)
     uids, spans, digests, removed = [], [], [], []
-    for uid, text in zip(docs.column("_uid"), docs.column("_t")):
-        words, marked = phrases.cover(words_of(text.as_py()))
-        if n := marked.count(1):
-            uids.append(uid.as_py())
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], np.frombuffer(bytes(marked), dtype=np.int8), [0]))))
-            spans.append([{"start": int(s), "end": int(e)} for s, e in edges.reshape(-1, 2)])
-            removed.append(n)
-            digests.append(hashlib.sha256(" ".join(w for w, m in zip(words, marked) if not m).encode("utf-8", "surrogatepass")).hexdigest())
+    every, texts = docs.column("_uid").to_pylist(), docs.column("_t").to_pylist()
+    for a, b in slices(texts):
+        for uid, (words, marked) in zip(every[a:b], phrases.cover(texts[a:b])):
+            if n := marked.count(1):
+                uids.append(uid)
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], np.frombuffer(bytes(marked), dtype=np.int8), [0]))))
+                spans.append([{"start": int(s), "end": int(e)} for s, e in edges.reshape(-1, 2)])
+                removed.append(n)
+                digests.append(hashlib.sha256(" ".join(w for w, m in zip(words, marked) if not m).encode("utf-8", "surrogatepass")).hexdigest())
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     return pa.table({"_uid": pa.array(uids, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "_kept": pa.array(digests, pa.string()), "spans": pa.array(spans, span)})
 
