@@ -171,7 +171,7 @@ def test_streamed_pages_append_once(spark, tmp_path):
 
 def test_arguments(monkeypatch):
     assert cli.parse_args([]).stage == "all" and cli.parse_args(["--stage", "3", "--district", "4", "--limit", "2"]).limit == 2
-    for bad in (["--stage", "9"], ["--limit", "0"], ["--stage", "link"]):
+    for bad in (["--stage", "9"], ["--limit", "0"], ["--stage", "link"], ["--stage", "translate"]):
         with pytest.raises(SystemExit) as e:
             cli.parse_args(bad)
         assert e.value.code == 2

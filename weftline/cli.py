@@ -9,14 +9,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from weftline.operators import models
 from weftline.operators.incremental import with_total
+from weftline.operators.translation import Options, load_glossary
 from weftline.plans import stages
 from weftline.plans.settings import Settings
 from weftline.sources.fetch import PoliteClient, over_http
 from weftline.sources.files import summary_text
 from weftline.sources.register import pdf_lines
 
-STAGES = ("1", "2", "3", "categories", "link", "second", "compare", "export", "summary")
+STAGES = ("1", "2", "3", "categories", "link", "second", "compare", "translate", "export", "summary")
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -26,6 +28,12 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--category", type=int, help="one list's number")
     p.add_argument("--limit", type=int, help="this many pending items")
     p.add_argument("--register", help="the register as a PDF file")
+    p.add_argument("--model", action="append", help="a model's checkpoint for --stage translate; of several the first that loads")
+    p.add_argument("--glossary", help="JSON file with pre and post rules")
+    p.add_argument("--device", choices=("cpu", "cuda"))
+    p.add_argument("--batch", type=int, help="pieces a batch")
+    p.add_argument("--beams", type=int)
+    p.add_argument("--checkpoint", type=int, default=50, help="records are rewritten after this many")
     p.add_argument("--output", help="output folder")
     p.add_argument("--refresh", action="store_true", help="read the list of regions again")
     p.add_argument("--verbose", action="store_true")
@@ -34,6 +42,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         p.error("--limit must be 1 or more")
     if args.stage == "link" and not args.register:
         p.error("--stage link needs --register")
+    if args.stage == "translate" and not args.model:
+        p.error("--stage translate needs --model")
     return args
 
 
@@ -60,6 +70,11 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
             failed += stages.second(store, client, settings, args.limit)[1]
         if "compare" in todo:
             stages.compare(store).show()
+        if "translate" in todo:
+            device = args.device or models.pick_device()
+            chosen = {k: v for k, v in (("batch_size", args.batch), ("beams", args.beams)) if v}
+            options = Options.on(device, glossary=load_glossary(args.glossary), **chosen)
+            print(stages.translate(store, models.choose(args.model, device, options.beams), options, args.district, args.limit, args.checkpoint))
         if "export" in todo:
             stages.export(store)
         if args.stage in ("all", "summary", "1", "2", "3"):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from weftline.functions.scoring import split_long
 from weftline.functions.text import apply_glossary, apply_rules, content_hash, has_tamil, sentences, strip
@@ -150,14 +153,17 @@ def glossary_of(overrides: dict[str, dict[str, str]] | None) -> dict[str, dict[s
     return {section: {**GLOSSARY[section], **((overrides or {}).get(section) or {})} for section in GLOSSARY}
 
 
+def load_glossary(path: str | None) -> dict[str, dict[str, str]]:
+    """The default glossary with the entries of a JSON file ({"pre": ..., "post": ...}) over it; a missing file changes nothing."""
+    return glossary_of(json.loads(Path(path).read_text(encoding="utf-8")) if path and Path(path).exists() else None)
+
+
 def translation_stats(jobs: DataFrame, key: str) -> DataFrame:
     return jobs.agg(F.count_distinct(key).alias("temples"), F.count(F.lit(1)).alias("fields"))
 
 
-def batch_number(df: DataFrame, text: str, size: int, cells: Column | None = None) -> DataFrame:
+def batch_number(df: DataFrame, text: str, size: int) -> DataFrame:
     """Number the batches of a length-sorted table: rows counted by length first, so that only rows of one length are numbered together."""
-    from pyspark.sql.window import Window
-
     lengths = df.groupBy(F.length(text).alias("_n")).agg(F.count(F.lit(1)).alias("_c"))
     before = lengths.withColumn("_before", F.coalesce(F.sum("_c").over(Window.orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     placed = df.withColumn("_n", F.length(text)).join(before.select("_n", "_before"), "_n")
