@@ -228,7 +228,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     release(spark)
 
     # whole copies: the first of them stands for all
-    copies = phrases.where(F.col("n_words") >= window).groupBy("_all", "n_words").agg(F.min("_uid").alias("_one"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    copies = saved(phrases.where(F.col("n_words") >= window).groupBy("_all", "n_words").agg(F.min("_uid").alias("_one"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "copies")
     weight = (
         phrases.select("_uid", "_all", "n_words")
         .join(copies, ["_all", "n_words"])
