@@ -117,7 +117,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 grams = shingles_of(words[first[k] : first[k + 1]])
                 sizes.append(len(np.unique(grams)))
                 out.append(order_sketches(grams).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_size", "_sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), batch.column("_row").slice(s, e - s), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_size", "_sketch"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -162,25 +162,26 @@ def missed(tried: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: fl
     """
     q = threshold / (1 + threshold)
     own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
-    pivots = classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main"))
-    base = sizes.select(F.col("_node").alias("_a"), F.col("_size").alias("_base"))
+    pivots = sizes.select(F.col("_node").alias("_a"), F.col("_size").alias("_base")).join(classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main")), "_a", "left")
+    pivots = saved(pivots.join(tried.select("_a").distinct(), "_a"), "pivots")
     rows = (
-        tried.join(own, "_b", "left")
-        .join(pivots, "_a", "left")
-        .join(base, "_a")
-        .withColumn("_its", F.coalesce("_its", "_b"))
+        saved(tried.join(own, "_b", "left").withColumn("_its", F.coalesce("_its", "_b")), "placed")
+        .join(pivots, "_a")
         .withColumn("_apart", F.col("_its") != F.coalesce("_main", "_a"))
         .withColumn("_w", (1 - q) * F.col("_lost") + q * F.col("_gained"))
         .withColumn("_free", (1 - 2 * q) * F.col("_base"))
+        .select("_a", "_b", "_its", "_apart", "_w", "_free", "_diff")
     )
-    open_ = rows.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_n")).where("_n_apart > 0 and _n > 1").select("_a")
-    rows = saved(rows.join(open_, "_a").select("_a", "_b", "_its", "_apart", "_w", "_free", "_diff"), "open")
+    rows = saved(rows, "apart")
+    open_ = saved(rows.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_n")).where("_n_apart > 0 and _n > 1").select("_a"), "pivots")
+    rows = saved(rows.join(open_, "_a"), "open")
     lone = rows.select("_a", "_b", F.explode("_diff").alias("_h")).groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_n"), F.min("_b").alias("_b")).where("_n = 1")
     lone = lone.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_u"))
     eps = F.lit(1e-6)
     known = rows.join(lone, ["_a", "_b"], "left").withColumn("_r", F.size("_diff") - F.coalesce("_u", F.lit(0)))
+    known = saved(known, "known")
     bounds = known.groupBy("_a").agg(F.max(F.col("_r") - F.col("_w")).alias("_most"), F.min(F.when(F.col("_apart"), F.col("_w") - F.col("_free"))).alias("_least"), F.min("_w").alias("_w_min"))
-    known = known.join(bounds, "_a")
+    known = known.join(saved(bounds, "bounds"), "_a")
     y = known.where(F.col("_r") - F.col("_w") >= F.col("_least") - eps).select("_a", F.col("_b").alias("_y"), F.col("_its").alias("_y_its"), F.col("_w").alias("_wy"), F.col("_r").alias("_ry"), F.col("_diff").alias("_dy"))
     x = known.where(F.col("_apart") & (F.col("_w") - F.col("_free") <= F.col("_most") + eps) & (F.col("_r") >= F.col("_w") + F.col("_w_min") - F.col("_free") - eps))
     needed = F.col("_w") + F.col("_wy") - F.col("_free") - eps
@@ -197,17 +198,18 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumn("_node", node_of("_t"))
-    sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _size bigint, _sketch array<bigint>"), "sketches")
-    distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"))
-    entries = distinct.select("_node", "_size", F.explode("_sketch").alias("_bucket"))
-    shared = entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    members = saved(entries.join(shared, "_bucket").select("_bucket", "_n", "_node", "_size"), "buckets")
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumns({"_node": node_of("_t"), "_row": F.xxhash64("_id", "_t")})
+    sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _row bigint, _size bigint, _sketch array<bigint>"), "sketches")
+    distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"), F.min("_row").alias("_row"))
+    entries = distinct.select("_node", "_size", "_row", F.explode("_sketch").alias("_bucket"))
+    # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
+    shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
+    members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_size", "_row"), "buckets")
     release(spark)
 
-    sizes = members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"))
-    needed = sizes.select("_node")
-    texts = saved(rows.select("_node", "_t").join(needed, "_node", "left_semi").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
+    # one row of each text, so that copies of a text don't meet; merged at every size, since the table of texts grows with the input
+    sizes = saved(members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"), F.first("_row").alias("_row")), "sizes")
+    texts = saved(rows.select("_row", "_t").join(sizes.select("_row", "_node").hint("merge"), "_row").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
     release(spark)
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -217,8 +219,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
 
     scored = members.join(sizes.select("_node", "_score"), "_node")
-    pivot = scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a"))
-    stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot, "_bucket").where("_a <> _b").select("_a", "_b").distinct()
+    pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
+    stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b").select("_a", "_b").distinct()
     tried = verified(stars)
     links = tried.where("_link").select("_a", "_b")
     classes = components(links)
@@ -229,9 +231,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         classes = components(links.unionByName(more))
     release(spark)
 
-    placed = sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class"))
-    groups = placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return placed.join(groups, "_class").select("_id", "class_id", "class_size", F.col("_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    placed = saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class")), "placed")
+    groups = saved(placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups")
+    class_id = F.when(F.col("class_size").isNull(), F.col("_id")).otherwise(F.col("class_id"))
+    out = placed.join(groups, "_class", "left")
+    return out.select("_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("_id").eqNullSafe(class_id).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
