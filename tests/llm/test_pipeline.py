@@ -58,3 +58,19 @@ def test_registered():
 
 def test_a_model_of_one_text():
     assert train([("bad words", 1)]).slope == 0.0
+
+
+def test_scratch_tables_are_deleted(spark):
+    from weftline.llm.common import _TABLES, clean_up, saved, scratch
+
+    clean_up(spark)
+    with scratch(spark) as kept:
+        gone = saved(spark.range(3), "gone")
+        with scratch(spark) as inner:
+            saved(spark.range(3), "gone")
+            stays = kept(inner(saved(spark.range(4), "stays")))
+    assert stays.count() == 4 and _TABLES == [stays._saved_at]
+    with pytest.raises(Exception, match="exist"):
+        gone.count()
+    clean_up(spark)
+    assert _TABLES == []

@@ -5,7 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +33,50 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_TABLES: list[str] = []
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read it again, so that a lost executor costs no recomputation.
 
-    The table lives as long as the session's shared folder.
+    The table lives until a scratch() around it ends, or until clean_up().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that are saved inside when it ends, but for those handed to the function that it gives."""
+    start, keep = len(_TABLES), set()
+
+    def kept(df: DataFrame) -> DataFrame:
+        keep.add(df._saved_at)
+        return df
+
+    try:
+        yield kept
+    finally:
+        made = _TABLES[start:]
+        _TABLES[start:] = [p for p in made if p in keep]
+        _delete(spark, [p for p in made if p not in keep])
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all tables that operators have saved in this process; results that still read them are gone too."""
+    _delete(spark, _TABLES)
+    _TABLES.clear()
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:

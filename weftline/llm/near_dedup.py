@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import release, saved, slices, text_of
+from weftline.llm.common import release, saved, scratch, slices, text_of
 from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
 #: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 4) ** 28, under one in a million.
@@ -141,18 +141,19 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest class among neighbours, then the class of that class, so long paths halve.
     """
     spark = edges.sparkSession
-    both = saved(edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct(), "links")
-    classes = both.groupBy(F.col("_a").alias("_node")).agg(F.least(F.min("_b"), F.first("_a")).alias("_class"))
-    classes = saved(classes, "classes")
-    while True:
-        near = both.join(classes.withColumnRenamed("_node", "_b"), "_b").groupBy(F.col("_a").alias("_node")).agg(F.min("_class").alias("_near"))
-        lower = classes.join(near, "_node").select("_node", F.col("_class").alias("_was"), F.least("_class", "_near").alias("_class"))
-        jump = classes.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
-        new = saved(lower.join(jump, "_class", "left").select("_node", F.least("_class", F.coalesce("_up", "_class")).alias("_class"), "_was"), "classes")
-        if not new.where("_class <> _was").limit(1).count():
-            return new.select("_node", "_class")
-        classes = new.select("_node", "_class")
-        release(spark)
+    with scratch(spark) as kept:
+        both = saved(edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct(), "links")
+        classes = both.groupBy(F.col("_a").alias("_node")).agg(F.least(F.min("_b"), F.first("_a")).alias("_class"))
+        classes = saved(classes, "classes")
+        while True:
+            near = both.join(classes.withColumnRenamed("_node", "_b"), "_b").groupBy(F.col("_a").alias("_node")).agg(F.min("_class").alias("_near"))
+            lower = classes.join(near, "_node").select("_node", F.col("_class").alias("_was"), F.least("_class", "_near").alias("_class"))
+            jump = classes.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
+            new = saved(lower.join(jump, "_class", "left").select("_node", F.least("_class", F.coalesce("_up", "_class")).alias("_class"), "_was"), "classes")
+            if not new.where("_class <> _was").limit(1).count():
+                return kept(new).select("_node", "_class")
+            classes = new.select("_node", "_class")
+            release(spark)
 
 
 def missed(tried: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
@@ -199,40 +200,41 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumns({"_node": node_of("_t"), "_row": F.xxhash64("_id", "_t")})
-    sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _row bigint, _size bigint, _sketch array<bigint>"), "sketches")
-    distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"), F.min("_row").alias("_row"))
-    entries = distinct.select("_node", "_size", "_row", F.explode("_sketch").alias("_bucket"))
-    # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
-    shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
-    members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_size", "_row"), "buckets")
-    release(spark)
-
-    # one row of each text, so that copies of a text don't meet; merged at every size, since the table of texts grows with the input
-    sizes = saved(members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"), F.first("_row").alias("_row")), "sizes")
-    texts = saved(rows.select("_row", "_t").join(sizes.select("_row", "_node").hint("merge"), "_row").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
-    release(spark)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
-        b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
-        schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _lost bigint, _gained bigint, _diff array<bigint>"
-        return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
-
-    scored = members.join(sizes.select("_node", "_score"), "_node")
-    pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
-    stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b").select("_a", "_b").distinct()
-    tried = verified(stars)
-    links = tried.where("_link").select("_a", "_b")
-    classes = components(links)
-    release(spark)
-
-    more = verified(missed(tried, classes, sizes, threshold)).where("_link").select("_a", "_b")
-    if more.limit(1).count():
-        classes = components(links.unionByName(more))
-    release(spark)
-
-    placed = saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class")), "placed")
-    groups = saved(placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups")
+    with scratch(spark) as kept:
+        sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _row bigint, _size bigint, _sketch array<bigint>"), "sketches")
+        distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"), F.min("_row").alias("_row"))
+        entries = distinct.select("_node", "_size", "_row", F.explode("_sketch").alias("_bucket"))
+        # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
+        shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
+        members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_size", "_row"), "buckets")
+        release(spark)
+
+        # one row of each text, so that copies of a text don't meet; merged at every size, since the table of texts grows with the input
+        sizes = saved(members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"), F.first("_row").alias("_row")), "sizes")
+        texts = saved(rows.select("_row", "_t").join(sizes.select("_row", "_node").hint("merge"), "_row").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
+        release(spark)
+
+        def verified(pairs: DataFrame) -> DataFrame:
+            a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
+            b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
+            schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _lost bigint, _gained bigint, _diff array<bigint>"
+            return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
+
+        scored = members.join(sizes.select("_node", "_score"), "_node")
+        pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
+        stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b").select("_a", "_b").distinct()
+        tried = verified(stars)
+        links = tried.where("_link").select("_a", "_b")
+        classes = components(links)
+        release(spark)
+
+        more = verified(missed(tried, classes, sizes, threshold)).where("_link").select("_a", "_b")
+        if more.limit(1).count():
+            classes = components(links.unionByName(more))
+        release(spark)
+
+        placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class")), "placed"))
+        groups = kept(saved(placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
     class_id = F.when(F.col("class_size").isNull(), F.col("_id")).otherwise(F.col("class_id"))
     out = placed.join(groups, "_class", "left")
     return out.select("_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("_id").eqNullSafe(class_id).alias("kept"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import release, saved, slices, text_of
+from weftline.llm.common import release, saved, scratch, slices, text_of
 from weftline.llm.words import gram_hashes, word_hashes
 
 #: Words of an anchor.
@@ -214,39 +214,36 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
     # a row's identity: its id and text; rows that share both have the same result
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumn("_uid", F.xxhash64("_id", "_t"))
-    phrases = saved(
-        rows.select("_id", "_t", "_uid").mapInArrow(lambda b: _phrases(b, window), f"_id {kind}, _uid bigint, n_words bigint, _chars bigint, _all string, _h array<bigint>, _at array<int>"),
-        "phrases",
-    )
-    release(spark)
-
-    each = phrases.select("_uid", F.explode(F.arrays_zip("_h", "_at")).alias("x")).select("_uid", "x._h", "x._at")
-    # written first, so that both sides of the join are plain shuffles, which Spark can split at a hot anchor
-    recurring = saved(each.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "recurring")
-    release(spark)
-    again = saved(each.join(recurring, "_h"), "anchors")
-    release(spark)
-
-    # whole copies: the first of them stands for all
-    copies = saved(phrases.where(F.col("n_words") >= window).groupBy("_all", "n_words").agg(F.min("_uid").alias("_one"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "copies")
-    weight = (
-        phrases.select("_uid", "_all", "n_words")
-        .join(copies, ["_all", "n_words"])
-        .select("_uid", F.when(F.col("_uid") == F.col("_one"), 2).otherwise(0).alias("_weight"))
-        .distinct()
-    )
-    info = again.groupBy("_uid").agg(F.collect_set("_at").alias("_at")).join(weight, "_uid", "left").withColumn("_weight", F.coalesce("_weight", F.lit(1)))
-    texts = saved(rows.select("_uid", "_t").join(info, "_uid").withColumn("_chars", F.length("_t")), "texts")
-    release(spark)
-
-    counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), "_w bigint, _uid bigint, _pos int, _weight int")
-    confirmed = counted.groupBy("_w").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_uid").alias("_pos"), F.min("_uid").alias("_uid")).where("_n > 1")
-    kept = confirmed.groupBy("_uid").agg(F.collect_set("_pos").alias("_pos"))
-    passages = saved(
-        texts.select("_uid", "_t").dropDuplicates(["_uid"]).join(kept, "_uid").mapInArrow(lambda b: _passages(b, window), "_passage string, _h array<bigint>, _offset array<int>").withColumn("_pid", F.xxhash64("_passage")),
-        "passages",
-    )
-    release(spark)
+    with scratch(spark) as kept:
+        schema = f"_id {kind}, _uid bigint, n_words bigint, _chars bigint, _all string, _h array<bigint>, _at array<int>"
+        phrases = kept(saved(rows.select("_id", "_t", "_uid").mapInArrow(lambda b: _phrases(b, window), schema), "phrases"))
+        release(spark)
+
+        each = phrases.select("_uid", F.explode(F.arrays_zip("_h", "_at")).alias("x")).select("_uid", "x._h", "x._at")
+        # written first, so that both sides of the join are plain shuffles, which Spark can split at a hot anchor
+        recurring = saved(each.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "recurring")
+        release(spark)
+        again = kept(saved(each.join(recurring, "_h"), "anchors"))
+        release(spark)
+
+        # whole copies: the first of them stands for all
+        copies = saved(phrases.where(F.col("n_words") >= window).groupBy("_all", "n_words").agg(F.min("_uid").alias("_one"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "copies")
+        weight = (
+            phrases.select("_uid", "_all", "n_words")
+            .join(copies, ["_all", "n_words"])
+            .select("_uid", F.when(F.col("_uid") == F.col("_one"), 2).otherwise(0).alias("_weight"))
+            .distinct()
+        )
+        info = again.groupBy("_uid").agg(F.collect_set("_at").alias("_at")).join(weight, "_uid", "left").withColumn("_weight", F.coalesce("_weight", F.lit(1)))
+        texts = kept(saved(rows.select("_uid", "_t").join(info, "_uid").withColumn("_chars", F.length("_t")), "texts"))
+        release(spark)
+
+        counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), "_w bigint, _uid bigint, _pos int, _weight int")
+        confirmed = counted.groupBy("_w").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_uid").alias("_pos"), F.min("_uid").alias("_uid")).where("_n > 1")
+        starts = confirmed.groupBy("_uid").agg(F.collect_set("_pos").alias("_pos"))
+        found = texts.select("_uid", "_t").dropDuplicates(["_uid"]).join(starts, "_uid").mapInArrow(lambda b: _passages(b, window), "_passage string, _h array<bigint>, _offset array<int>")
+        passages = kept(saved(found.withColumn("_pid", F.xxhash64("_passage")), "passages"))
+        release(spark)
 
     shards = max(1, -(-(texts.agg(F.sum("_chars")).first()[0] or 0) // SHARD_CHARS))
     shard = F.pmod(F.xxhash64("_uid", F.lit(1)), F.lit(shards)).alias("_shard")
