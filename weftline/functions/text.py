@@ -12,13 +12,18 @@ from weftline.functions.vocabulary import BLANKS, CONSONANTS, STOCK_WORDS
 _SPACE = "[\\s\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\u0085\\u001c-\\u001f]"
 
 
+#: The characters of _SPACE, and a character that separates pieces.
+_BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+_BETWEEN = "\u0001"
+
+
 def _or_blank(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
 def strip(x: Column) -> Column:
     """Without whitespace of any kind at either end."""
-    return F.regexp_replace(x, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(x, F.lit(_BLANKS))
 
 
 def collapse(x: Column) -> Column:
@@ -133,19 +138,23 @@ def cell_text(x: Column, most: int = 32767) -> Column:
 
 
 def sentences(line: Column, least: int = 15) -> Column:
-    """The sentences of a line. A piece joins the one before it if that is shorter than `least` characters or ends in an abbreviation (a last word with a dot inside)."""
-    parts = F.split(strip(_or_blank(line)), f"(?<=[.?!।]){_SPACE}+")
+    """The sentences of a line. A piece joins the one before it if that is shorter than `least` characters or ends in an abbreviation (a last word with a dot inside). The control character U+0001 is dropped."""
 
     def joins(last: Column) -> Column:
-        word = F.regexp_extract(last, f"([^\\s]+){_SPACE}*$", 1)
+        word = F.substring_index(F.translate(last, _BLANKS, " " * len(_BLANKS)), " ", -1)
         return (F.length(last) < least) | (last.endswith(".") & F.contains(F.rtrim(word, F.lit(".")), F.lit(".")))
 
-    def fold(done: Column, part: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat_ws(" ", last, part)))
-        return F.when((F.size(done) > 0) & joins(F.coalesce(last, F.lit(""))), joined).otherwise(F.concat(done, F.array(part)))
-
-    merged = F.aggregate(parts, F.array().cast("array<string>"), fold)
+    # pieces are gathered in one string with a separator, which costs a copy of text and not of arrays each step
+    def fold(state: Column, part: Column) -> Column:
+        more = joins(state["last"])
+        done = F.when(state["first"] | more, state["done"]).otherwise(F.concat(state["done"], state["last"], F.lit(_BETWEEN)))
+        last = F.when(state["first"], part).when(more, F.concat_ws(" ", state["last"], part)).otherwise(part)
+        return F.struct(done.alias("done"), last.alias("last"), F.lit(False).alias("first"))
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("last"), F.lit(True).alias("first"))
+    clean = F.translate(_or_blank(line), _BETWEEN, "")
+    parts = F.split(strip(clean), f"(?<=[.?!।]){_SPACE}+")
+    merged = F.split(F.aggregate(parts, start, fold, lambda s: F.concat(s["done"], s["last"])), _BETWEEN)
     return F.filter(merged, lambda s: strip(s) != "")
 
 
