@@ -101,5 +101,8 @@ def link(records: DataFrame, register: DataFrame) -> DataFrame:
 
 def link_stats(links: DataFrame, register: DataFrame) -> DataFrame:
     """Counts of the register, the records, and each confidence, zeros too."""
-    levels = [F.count_if(F.col("confidence") == c).alias(c) for c in ("exact", "likely", "none")]
-    return register.agg(F.count(F.lit(1)).alias("register")).join(links.agg(F.count(F.lit(1)).alias("records"), *levels))
+    names = ["register", "records", "exact", "likely", "none"]
+    one = F.count(F.lit(1))
+    ours = links.agg(F.lit(0).cast("long").alias("register"), one.alias("records"), *(F.count_if(F.col("confidence") == c).alias(c) for c in names[2:]))
+    theirs = register.agg(one.alias("register")).select("register", *(F.lit(0).cast("long").alias(c) for c in names[1:]))
+    return ours.unionByName(theirs).agg(*(F.sum(c).alias(c) for c in names))
