@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,8 +50,8 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     return steps.withColumn("_got", got).drop("_full_before", "_w_left", "_full", "_rest", "_w_open", "_share", "_odd", "_rank")
 
 
-def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: Column, default_weight: int = 1) -> DataFrame:
-    """The leaves (levels, _cap in tokens) with _got, their part of the budget, propagated from the root.
+def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: Callable[[Column], Column], default_weight: int = 1) -> DataFrame:
+    """The leaves (levels, _cap in tokens) with _got, their part of the budget (given the sum of all caps), propagated from the root.
 
     A node's capacity is that of its leaves with a weight, so a shortage goes to siblings first; what a whole level lacks goes to the siblings of the ancestors.
     """
@@ -62,8 +64,9 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[s
         keys = levels[: depth + 1]
         nodes = live.groupBy(*keys).agg(F.sum("_cap").alias("_cap"), F.max(f"_w_{c}").alias("_w"))
         if above is None:
-            total = live.agg(F.least(budget, F.sum("_cap")).alias("_budget"))
-            nodes = nodes.join(F.broadcast(total)).withColumn("_root", F.lit(0))
+            nodes = nodes.withColumn("_root", F.lit(0))
+            total = F.sum("_cap").over(Window.partitionBy("_root"))
+            nodes = nodes.withColumn("_budget", F.least(budget(total), total))
         else:
             nodes = nodes.join(above.select(*levels[:depth], F.col("_got").alias("_budget")), levels[:depth])
         above = share_out(nodes, levels[:depth] or ["_root"], c).drop("_root")
@@ -94,8 +97,7 @@ def mix(
     rows = saved(rows, "tokens")
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("_all"), F.count(F.lit(1)).alias("_rows"))
     leaves = saved(leaves, "leaves")
-    budget = F.floor(F.sum("_cap") / max_epochs * F.lit(budget_share)).cast("long")
-    got = leaf_budgets(leaves.select(*names, (F.col("_all") * max_epochs).alias("_cap")), names, weights, budget)
+    got = leaf_budgets(leaves.select(*names, (F.col("_all") * max_epochs).alias("_cap")), names, weights, lambda caps: F.floor(caps / max_epochs * F.lit(budget_share)).cast("long"))
     plan = saved(
         leaves.join(got, names)
         .where("_all > 0")
