@@ -48,7 +48,7 @@ def coverage(names: DataFrame, listed: DataFrame, done: DataFrame, key: str, nam
 
 
 def with_total(rows: DataFrame, label: str, sums: Sequence[str]) -> DataFrame:
-    """A last row with the sums, marked TOTAL in the label column and ''in other texts."""
+    """A last row with the sums, marked TOTAL in the label column and '' in other texts."""
     total = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in sums))
     return rows.unionByName(total.select(*(F.lit("TOTAL").alias(c) if c == label else (F.col(c) if c in sums else F.lit("").alias(c)) for c in rows.columns)))
 
