@@ -209,11 +209,11 @@ def train(sample: list[tuple[str, int]], least_texts: int = 3, least_odds: float
 
 
 def score_toxicity(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """All rows and columns of docs with _score (0 to 1), _predicted (1 from the threshold on) and _spans (toxic spans in code points).
+    """_id, _score (0 to 1), _predicted (1 from the threshold on) and _spans (toxic spans in code points) of every row of docs.
 
     No shuffle; the model is bounded by the training sample's bound.
 
-    Cases: null and empty texts, and texts without words, get the score of a text whose words are surely not toxic. Very long texts are read whole. Repeated rows and null ids pass through; a tie at the threshold counts as toxic; empty tables stay empty. Further columns are kept as they are, whatever their names.
+    Cases: null and empty texts, and texts without words, get the score of a text whose words are surely not toxic. Very long texts are read whole. Repeated rows and null ids pass through; a tie at the threshold counts as toxic; empty tables stay empty; other columns are not touched.
     """
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"))
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
