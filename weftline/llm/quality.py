@@ -98,16 +98,18 @@ def train(sample: list[tuple[str, int]]) -> LineTagger:
     if len(set(y_doc.tolist())) < 2:
         tagger.slope, tagger.level = crf.calibrate(np.zeros(len(texts)), y_doc)
         return tagger
-    x, _, first = line_features(texts)
-    y = np.repeat(y_doc.astype(np.int64), np.diff(first))
-    chains = crf.Chains(np.diff(first))
+    # a slice at a time: arrays of all characters at once would be many times the sample
+    parts = [line_features(texts[a:b]) for a, b in slices(texts)]
+    x, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([np.diff(p[2]) for p in parts])
+    y = np.repeat(y_doc.astype(np.int64), sizes)
+    chains = crf.Chains(sizes)
     # cut points from both classes alike, so that a rare class shapes them too
     at = np.linspace(0, 1, CUTS + 2)[1:-1]
     tagger.cuts = np.sort(np.concatenate([np.quantile(x[y == k], at[k::2], axis=0) for k in (0, 1)]), axis=0).T
     d = tagger.design(x, chains)
-    w, trans = crf.fit(chains, y, lambda w: d @ w, lambda r: r @ d, d.shape[1], steps=80, rate=0.1, l2=0.3)
+    w, trans = crf.fit(chains, y, lambda w: d @ w.astype(np.float32), lambda r: r.astype(np.float32) @ d, d.shape[1], steps=80, rate=0.1, l2=0.3)
     tagger.weights, tagger.trans = w.copy(), trans.copy()
-    tagger.slope, tagger.level = crf.calibrate(tagger.means(texts), y_doc)
+    tagger.slope, tagger.level = crf.calibrate(np.concatenate([tagger.means(texts[a:b]) for a, b in slices(texts)]), y_doc)
     return tagger
 
 
