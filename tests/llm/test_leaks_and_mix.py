@@ -80,6 +80,19 @@ def test_leaks_whole_reordered_partial_and_clean(spark, odd_docs, no_docs):
     assert find_leaks(no_docs, bench).count() == 0 and find_leaks(frame, bench.where("false")).count() == 0
 
 
+def test_copies_of_repetitive_items_are_leaks(spark):
+    rng = random.Random(12)
+    phrases = [(5, 10), (6, 8), (8, 10), (1, 40)]
+    items = [" ".join([prose(rng, n)] * times) for n, times in phrases]
+    part = " ".join([*items[0].split(" ")[:30], *prose(rng, 20).split(" ")])  # 0.6 of the item
+    docs = [*items, *(prose(rng, 20) + " " + x + " " + prose(rng, 20) for x in items), part, " ".join([items[3]] * 50)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r._id, r._item): r.coverage for r in find_leaks(frame, bench).collect()}
+    assert got == {(i, i % 4): 1.0 for i in range(8)} | {(9, 3): 1.0}
+    assert [r.doc_id for r in drop_leaks(frame, bench).collect()] == [8]
+
+
 def test_normal_words():
     assert normal("A, b’s “C”…d").split() == ["a", "b", "s", "c", "d"]
 

@@ -25,30 +25,32 @@ BLOCK_WORDS = 1_000_000
 
 @dataclass
 class Block:
-    """Items (id, word hashes) and an index of their seeds: sorted hashes, and for each the items that have it."""
+    """Items (id, word hashes) and an index of their seeds: sorted hashes, and for each the items that have it and at how many places."""
 
     items: list[tuple[object, np.ndarray]]
     seeds: np.ndarray
     first: np.ndarray
     owners: np.ndarray
+    places: np.ndarray
     sieve: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[object, str]], least: int) -> Block:
         items = [(i, word_hashes([normal(t)])[0]) for i, t in rows]
         items = [(i, w) for i, w in items if len(w) >= least]
-        grams = [np.unique(gram_hashes(w, least)) for _, w in items]
-        every = np.concatenate([*grams, np.empty(0, dtype=np.uint64)])
-        owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
+        grams = [np.unique(gram_hashes(w, least), return_counts=True) for _, w in items]
+        every = np.concatenate([*(g for g, _ in grams), np.empty(0, dtype=np.uint64)])
+        places = np.concatenate([*(n for _, n in grams), np.empty(0, dtype=np.int64)])
+        owner = np.repeat(np.arange(len(items)), [len(g) for g, _ in grams])
         order = np.argsort(every, kind="stable")
         seeds, first = np.unique(every[order], return_index=True)
         size = 1 << max(16, int(16 * len(seeds)).bit_length())
         sieve = np.zeros(size, dtype=bool)
         sieve[seeds & np.uint64(size - 1)] = True
-        return cls(items, seeds, np.append(first, len(every)), owner[order], sieve)
+        return cls(items, seeds, np.append(first, len(every)), owner[order], places[order], sieve)
 
     def candidates(self, words: np.ndarray, first: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
-        """(text, item, number of different shared seeds) of the pairs that share any."""
+        """(text, item, number of the item's places that have a shared seed) of the pairs that share any."""
         grams = gram_hashes(words, least)
         at = np.flatnonzero(self.sieve[grams & np.uint64(len(self.sieve) - 1)])
         if not len(at) or not len(self.seeds):
@@ -63,8 +65,9 @@ class Block:
             return
         many = self.first[pairs[1] + 1] - self.first[pairs[1]]
         offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item = self.owners[np.repeat(self.first[pairs[1]], many) + offset]
-        both, seen = np.unique(np.stack([np.repeat(pairs[0], many), item]), axis=1, return_counts=True)
+        entry = np.repeat(self.first[pairs[1]], many) + offset
+        both, which = np.unique(np.stack([np.repeat(pairs[0], many), self.owners[entry]]), axis=1, return_inverse=True)
+        seen = np.bincount(which.ravel(), weights=self.places[entry]).astype(np.int64)
         for (t, k), n in zip(both.T.tolist(), seen.tolist()):
             yield t, k, n
 
@@ -78,9 +81,11 @@ def tile(text: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
         queue: list[tuple[int, int, int]] = []
         seen: set[tuple[int, int]] = set()
         ours, theirs = gram_hashes(item, size), gram_hashes(text, size)
-        shared = np.flatnonzero(np.isin(theirs, ours))
+        # a run that is long enough begins at a place from which `size` words are free
+        ours_at, theirs_at = free_places(free_i, size), free_places(free_t, size)
+        shared = theirs_at[np.isin(theirs[theirs_at], ours[ours_at])]
         places: dict[int, list[int]] = {}
-        for j, h in enumerate(ours.tolist()):
+        for j, h in zip(ours_at.tolist(), ours[ours_at].tolist()):
             places.setdefault(h, []).append(j)
         for i in shared.tolist():
             for j in places[int(theirs[i])]:
@@ -105,6 +110,12 @@ def tile(text: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     return tiles
 
 
+def free_places(free: np.ndarray, size: int) -> np.ndarray:
+    """The places from which `size` words are free."""
+    taken = np.concatenate(([0], np.cumsum(~free)))
+    return np.flatnonzero(taken[size:] == taken[:-size])
+
+
 def free_run(text: np.ndarray, item: np.ndarray, free_t: np.ndarray, free_i: np.ndarray, i: int, j: int) -> list[tuple[int, int, int]]:
     """The longest run of equal free words through places i and j, if these are free."""
     back = min(i, j)
@@ -125,7 +136,7 @@ def matches(texts: list[str], block: Block, least: int, coverage: float) -> Iter
     for t, k, seeds in block.candidates(words, first, least):
         name, item = block.items[k]
         if seeds * least < coverage * len(item):
-            continue  # even apart, the seeds cover too little
+            continue  # even apart, the places of seeds cover too little
         text = words[first[t] : first[t + 1]]
         grams = gram_hashes(item, least)
         covered = np.zeros(len(item), dtype=bool)
