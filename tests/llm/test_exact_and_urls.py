@@ -40,6 +40,12 @@ def test_drop_copies_keeps_columns(odd_docs, no_docs):
     assert drop_copies(no_docs).count() == 0 and exact_dedup(no_docs).count() == 0
 
 
+def test_a_copy_takes_no_other_row_of_its_id(bare):
+    rows = [(None, "a"), (1, "a"), (None, "b"), (5, "c"), (5, "d"), (9, "c"), (9, "c")]
+    for keep, want in (("largest", [(1, "a"), (5, "d"), (9, "c"), (9, "c"), (None, "b")]), ("smallest", [(1, "a"), (5, "c"), (5, "d"), (None, "b")])):
+        assert sorted((tuple(r) for r in drop_copies(bare(rows), keep=keep).collect()), key=str) == sorted(want, key=str)
+
+
 def verdict(url, rules, otherwise="allow"):
     host = path = ""
     if url and "://" in url:

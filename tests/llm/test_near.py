@@ -121,6 +121,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert near_classes(no_docs).count() == 0 and drop_near_copies(no_docs).count() == 0
 
 
+def test_a_near_copy_takes_no_other_row_of_its_id(bare):
+    rng = random.Random(14)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(None, a), (1, a + " end"), (None, b), (5, c + " end"), (5, d), (3, c)]
+    want = [(1, a + " end"), (None, b), (5, d), (3, c)]
+    assert sorted((tuple(r) for r in drop_near_copies(bare(rows)).collect()), key=str) == sorted(want, key=str)
+
+
 def test_case_and_punctuation_do_not_matter(bare):
     words = prose(random.Random(6), 40)
     rows = [(1, words), (2, words.replace(" ", ", ").upper()), (3, words.replace(" ", ". ", 20).title()), (4, "!!!"), (5, "???"), (6, "!!!")]

@@ -24,6 +24,15 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """The rows of docs whose id and digest of the text aren't among those of gone (_gone, _digest): a verdict is about a row, and rows may share an id."""
+    name = "_digest_of_row"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    marked = docs.withColumn(name, digest)
+    return marked.join(gone, marked[id_col].eqNullSafe(gone["_gone"]) & (marked[name] == gone["_digest"]), "left_anti").drop(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where it is unset (tests), a local one."""
     at = spark.conf.get("spark.checkpoint.dir", None)

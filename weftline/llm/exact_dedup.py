@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import text_of
+from weftline.llm.common import text_of, without
 
 #: A digest, and two further values that verify it: texts count as equal when SHA-256, length and xxHash64 all agree.
 KEY = ["_sha", "_len", "_xx"]
@@ -54,5 +54,5 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of docs that stay, with all their columns; cases as in exact_dedup. Rows without an id stay if no copy has one."""
-    gone = exact_dedup(docs, id_col, text_col, keep).where("not kept").select(F.col("_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = exact_dedup(docs, id_col, text_col, keep).where("not kept").select(F.col("_id").alias("_gone"), F.col("text_sha256").alias("_digest")).distinct()
+    return without(docs, gone, id_col, F.sha2(text_of(text_col), 256))

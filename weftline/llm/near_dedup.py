@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import release, saved, scratch, slices, text_of
+from weftline.llm.common import release, saved, scratch, slices, text_of, without
 from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
 #: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 4) ** 28, under one in a million.
@@ -22,7 +22,7 @@ _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
 
 
-def node_of(text: str) -> F.Column:
+def node_of(text: str | F.Column) -> F.Column:
     """124 bits of hash as one number, which Spark can group, order and join by."""
     high = F.xxhash64(text).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")
     return (high + F.pmod(F.xxhash64(text, F.lit(1)), F.lit(10**18)).cast("decimal(18,0)")).cast(_NODE)
@@ -197,6 +197,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Cases: null and empty texts are one class. A text of fewer than five words is one shingle; one without words has none, and is in a class with equal texts alone. Equal ids are judged by their texts; null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
+    return _judged(docs, id_col, text_col, threshold).drop("_node")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """The rows of near_classes, and _node, the hash of the row's text."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumns({"_node": node_of("_t"), "_row": F.xxhash64("_id", "_t")})
@@ -233,14 +238,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             classes = components(links.unionByName(more))
         release(spark)
 
-        placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", F.coalesce("_class", "_node").alias("_class")), "placed"))
+        placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", "_node", F.coalesce("_class", "_node").alias("_class")), "placed"))
         groups = kept(saved(placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
     class_id = F.when(F.col("class_size").isNull(), F.col("_id")).otherwise(F.col("class_id"))
     out = placed.join(groups, "_class", "left")
-    return out.select("_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("_id").eqNullSafe(class_id).alias("kept"))
+    return out.select("_id", "_node", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("_id").eqNullSafe(class_id).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of docs that stay, one id of each class, with all their columns; cases as in near_classes. Rows without an id stay if no row of their class has one."""
-    gone = near_classes(docs, id_col, text_col, threshold).where("not kept").select(F.col("_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = _judged(docs, id_col, text_col, threshold).where("not kept").select(F.col("_id").alias("_gone"), F.col("_node").alias("_digest")).distinct()
+    return without(docs, gone, id_col, node_of(text_of(text_col)))
