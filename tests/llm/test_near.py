@@ -1,11 +1,12 @@
 import random
 from collections import defaultdict
+from math import comb
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from weftline.llm.near_dedup import banded_distance, components, drop_near_copies, near_classes, order_sketches, shingles_of, similar
+from weftline.llm.near_dedup import FEW, SET_SAMPLE, SET_SKETCHES, banded_distance, components, drop_near_copies, near_classes, order_sketches, set_sketches, shingles_of, similar
 from weftline.llm.words import gram_hashes, normal, word_hashes
 
 from .conftest import prose
@@ -135,6 +136,40 @@ def test_case_and_punctuation_do_not_matter(bare):
     assert {r._id: r.class_id for r in near_classes(bare(rows)).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 4}
 
 
+def test_repetitive_texts_are_found(bare):
+    """Texts whose labelled shingles or whose order differ, though the sets that are judged hardly do."""
+    rng = random.Random(16)
+    rows = []
+    for k in range(8):
+        head, line = prose(rng, 300), prose(rng, 20).split(" ")
+        other = [*line[:9], "xx", "yy", *line[11:]]
+        rows += [head + (" " + " ".join(line)) * 35, head + (" " + " ".join(other)) * 35]
+        rows += [" ".join([f"w{k}"] * n) for n in (5, 6)]  # one shingle, once and twice
+        parts = [prose(rng, 5) for _ in range(12)]
+        rest = " ".join(rng.choices(parts, k=300))
+        rows += [" ".join(rng.sample(parts, 12)) + " " + rest for _ in range(2)]  # first occurrences in another order
+    rows = list(enumerate(rows))
+    want = brute(rows)
+    assert {x[2] for x in want} == {2}
+    assert sorted((tuple(r) for r in near_classes(bare(rows)).collect()), key=str) == want
+
+
+def test_few_shingles_are_found_without_chance():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        pool = rng.integers(1, 1 << 63, 12, dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, FEW + 1), replace=False)) for _ in range(2))
+        for x, y in ((a, b), (a, a[1:]), (a, np.append(a[1:], pool[0]))):
+            y = np.unique(y)
+            if len(y) and len(y) <= FEW and len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
+                assert set(set_sketches(x)[SET_SKETCHES:].tolist()) & set(set_sketches(y)[SET_SKETCHES:].tolist())
+
+
+def test_chance_to_miss_is_as_stated():
+    worst = max((1 - comb(c, SET_SAMPLE) / comb(u, SET_SAMPLE)) ** SET_SKETCHES for u in range(FEW + 1, 5000) for c in [-(-4 * u // 5)])
+    assert worst < 1e-6
+
+
 def test_order_matters_to_a_sketch():
     a = shingles_of(word_hashes([prose(random.Random(1), 200)])[0])
     b = np.concatenate([a[100:], a[:100]])

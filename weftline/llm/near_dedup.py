@@ -1,6 +1,6 @@
 """MinHash near-dedup by Order MinHash and banded alignment.
 
-Texts are compared as words in lower case without punctuation. Each is a sequence of five-word shingles, labelled by occurrence. A sketch samples the few smallest of them under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch, that is on the shingles and their order, are candidates. A candidate pair is a link if the Jaccard similarity of the two sets of shingles and the edit similarity of the two word sequences, found by alignment within a band, both reach the threshold. Classes are the connected components of links.
+Texts are compared as words in lower case without punctuation. Each is a sequence of five-word shingles, labelled by occurrence. A sketch samples the few smallest of them under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch, that is on the shingles and their order, are candidates. Repeated and moved passages change labels and order but not the set that a link is judged on, so texts that agree on a sample of their different shingles, whatever the order, are candidates too, and texts of few shingles are looked up with each one left out. A candidate pair is a link if the Jaccard similarity of the two sets of shingles and the edit similarity of the two word sequences, found by alignment within a band, both reach the threshold. Classes are the connected components of links.
 """
 
 from __future__ import annotations
@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from weftline.llm.common import release, saved, scratch, slices, text_of, without
 from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
-#: Words of a shingle, shingles of a sketch, and sketches: a pair with Jaccard similarity 0.8 misses all sketches with a chance of (1 - 0.8 ** 4) ** 28, under one in a million.
+#: Words of a shingle, shingles of a sketch, and sketches: a pair whose labelled shingles have similarity 0.8 and one order misses all sketches with a chance of (1 - 0.8 ** 4) ** 28.
 SHINGLE, SAMPLE, SKETCHES = 5, 4, 28
+#: Shingles of a sketch of the set, and sketches: a pair that has c of u different shingles in common misses all with a chance of (1 - C(c, 3) / C(u, 3)) ** 22, under one in a million for c >= 0.8 u and u >= 10.
+SET_SAMPLE, SET_SKETCHES = 3, 22
+#: Two texts of so many different shingles at most that have 0.8 in common are equal in them once each has left out one at most: these are found without chance.
+FEW = 9
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -58,6 +62,27 @@ def order_sketches(grams: np.ndarray, sample: int = SAMPLE, sketches: int = SKET
     return out
 
 
+def set_sketches(shingles: np.ndarray, sample: int = SET_SAMPLE, sketches: int = SET_SKETCHES) -> np.ndarray:
+    """Hashes by which texts of the same different shingles meet: one per sketch, of the sampled ones in no order; for a text of few, also one of all, and of all but each."""
+    n = len(shingles)
+    if not n:
+        return np.empty(0, dtype=np.uint64)
+    marked = mix(shingles)
+    out = np.empty(sketches, dtype=np.uint64)
+    step = max(1, 2_000_000 // n)
+    for a in range(0, sketches, step):
+        seeds = _SEEDS[128 + a : 128 + min(sketches, a + step), None]
+        ranks = mix(marked[None, :] ^ seeds)
+        at = np.argpartition(ranks, sample - 1, axis=1)[:, :sample] if n > sample else np.broadcast_to(np.arange(n), (len(seeds), n))
+        out[a : a + len(seeds)] = mix(marked[at].sum(axis=1, dtype=np.uint64) ^ seeds[:, 0])
+    if n > FEW:
+        return out
+    whole = marked.sum(dtype=np.uint64)
+    # under five shingles, leaving one out leaves less than 0.8
+    left = np.concatenate([[whole], whole - marked]) if n >= 5 else np.array([whole])
+    return np.concatenate([out, mix(left.astype(np.uint64) ^ _SEEDS[255])])
+
+
 def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two sequences if it is `most` or less, else most + 1.
 
@@ -115,8 +140,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes, out = [], []
             for k in range(e - s):
                 grams = shingles_of(words[first[k] : first[k + 1]])
-                sizes.append(len(np.unique(grams)))
-                out.append(order_sketches(grams).view(np.int64))
+                different = np.unique(grams)
+                sizes.append(len(different))
+                out.append(np.concatenate([order_sketches(grams), set_sketches(different)]).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), batch.column("_row").slice(s, e - s), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_size", "_sketch"])
 
 
@@ -208,7 +234,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     with scratch(spark) as kept:
         sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _row bigint, _size bigint, _sketch array<bigint>"), "sketches")
         distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"), F.min("_row").alias("_row"))
-        entries = distinct.select("_node", "_size", "_row", F.explode("_sketch").alias("_bucket"))
+        entries = distinct.select("_node", "_size", "_row", F.explode(F.array_distinct("_sketch")).alias("_bucket"))
         # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
         shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
         members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_size", "_row"), "buckets")
