@@ -1,11 +1,14 @@
-"""Regexes to one minimal deterministic automaton over bytes.
+"""Regexes to one minimal deterministic automaton over bytes, which finds the spans of all of them in one pass.
 
 The syntax is a small one: literals, escapes (\\xHH too), classes, groups, |, ?, *, +, {m}, {m,} and {m,n}. Characters are ASCII.
+
+Of each rule, overlapping matches are told apart as a regex search does: the leftmost one, as long as it goes, then on from its end. A rule's state is therefore the list of its live threads, oldest first; once a thread has matched, the others are dropped until it ends. The rules' automata are minimised one by one, and run side by side: since every rule has an output of its own, the reachable part of their product is minimal too. Starts are found by the rule's reversed automaton, from the place where the rule was first fulfilled.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 
 
@@ -128,95 +131,187 @@ def build(nfa: Nfa, node, start: int) -> int:
     return end
 
 
-@dataclass(frozen=True)
-class Automaton:
-    """table[state + class] is the next state; states are multiples of `width`; those from `accepting` on end a match, of the rules in found[state // width]."""
+def reversed_tree(node):
+    """The tree of the same strings read backwards."""
+    kind = node[0]
+    if kind == "set":
+        return node
+    if kind == "rep":
+        return ("rep", reversed_tree(node[1]), *node[2:])
+    parts = [reversed_tree(p) for p in node[1]]
+    return (kind, parts[::-1] if kind == "cat" else parts)
 
-    classes: bytes
-    width: int
-    table: list[int]
-    accepting: int
-    found: list[int]
-    start: int
 
-    def rules_in(self, data: bytes) -> int:
-        """The rules (a bit each) that match anywhere in data; one pass, one step a byte."""
-        s, table, accepting, hits = self.start, self.table, self.accepting, set()
-        for c in data.translate(self.classes):
-            s = table[s + c]
-            if s >= accepting:
-                hits.add(s)
-        out = 0
-        for s in hits:
-            out |= self.found[s // self.width]
-        return out
+def byte_sets(node) -> set[frozenset[int]]:
+    if node[0] == "set":
+        return {node[1]}
+    return byte_sets(node[1]) if node[0] == "rep" else set().union(*map(byte_sets, node[1]))
 
 
-def compile_rules(patterns: list[str]) -> Automaton:
-    """One automaton that finds where any of the patterns ends, anywhere in the input."""
-    nfa = Nfa()
-    root = nfa.state()
-    nfa.moves[root].append((frozenset(range(256)), root))
-    ends: dict[int, int] = {}
-    for k, pattern in enumerate(patterns):
-        first = nfa.state()
-        nfa.empty[root].append(first)
-        end = build(nfa, parse(pattern), first)
-        ends[end] = ends.get(end, 0) | 1 << k
+class Steps:
+    """The NFA of one tree, by classes of bytes."""
+
+    def __init__(self, tree, sample: dict[int, int]) -> None:
+        nfa = Nfa()
+        root = nfa.state()
+        self.end = build(nfa, tree, root)
+        self.nfa, self.sample = nfa, sample
+        self.begin = self.closure({root})
+        self.known: dict[tuple[frozenset[int], int], frozenset[int]] = {}
+
+    def closure(self, states: set[int]) -> frozenset[int]:
+        seen, todo = set(states), list(states)
+        while todo:
+            for r in self.nfa.empty[todo.pop()]:
+                if r not in seen:
+                    seen.add(r)
+                    todo.append(r)
+        return frozenset(seen)
+
+    def after(self, states: frozenset[int], c: int) -> frozenset[int]:
+        if (states, c) not in self.known:
+            byte = self.sample[c]
+            self.known[states, c] = self.closure({to for q in states for s, to in self.nfa.moves[q] if byte in s})
+        return self.known[states, c]
 
-    # bytes that no set tells apart share a class
-    sets = sorted({s for moves in nfa.moves for s, _ in moves}, key=sorted)
-    marks: dict[tuple[bool, ...], int] = {}
-    classes = bytes(marks.setdefault(tuple(b in s for s in sets), len(marks)) for b in range(256))
-    width = len(marks)
-    sample = {classes[b]: b for b in range(256)}
 
-    closures: dict[int, frozenset[int]] = {}
-
-    def closure(q: int) -> frozenset[int]:
-        if q not in closures:
-            seen, todo = {q}, [q]
-            while todo:
-                for r in nfa.empty[todo.pop()]:
-                    if r not in seen:
-                        seen.add(r)
-                        todo.append(r)
-            closures[q] = frozenset(seen)
-        return closures[q]
-
-    # per state and class, the closed set of successors
-    steps = [[frozenset().union(*(closure(r) for s, r in moves if sample[c] in s)) if moves else frozenset() for c in range(width)] for moves in nfa.moves]
-    useful = [bool(nfa.moves[q]) or q in ends for q in range(len(nfa.moves))]
-    steps = [[frozenset(r for r in to if useful[r]) for to in row] for row in steps]
-
-    begin = frozenset(r for r in closure(root) if useful[r])
+def explore(begin, after, width: int) -> tuple[list, list[list[int]]]:
+    """All states reachable from begin, and where each class of bytes leads."""
     index, order, delta = {begin: 0}, [begin], []
-    for state in order:  # subset construction; order grows meanwhile
+    for state in order:  # grows meanwhile
         row = []
         for c in range(width):
-            to = frozenset().union(*(steps[q][c] for q in state))
+            to = after(state, c)
             if to not in index:
                 index[to] = len(order)
                 order.append(to)
             row.append(index[to])
         delta.append(row)
-    accepts = [0] * len(order)
-    for i, state in enumerate(order):
-        for q in state:
-            accepts[i] |= ends.get(q, 0)
+    return order, delta
 
-    # minimisation: split blocks by what they accept and where they lead, until nothing splits
-    block, count = [0] * len(order), 0
+
+def minimal(delta: list[list[int]], outputs: list[bool]) -> tuple[list[list[int]], list[bool]]:
+    """Blocks of states are split by their output and where they lead, until nothing splits; the first state stays first."""
     keys: dict = {}
-    block = [keys.setdefault(a, len(keys)) for a in accepts]
+    block, count = [keys.setdefault(o, len(keys)) for o in outputs], 0
     while len(keys) > count:
         count, keys = len(keys), {}
-        block = [keys.setdefault((block[i], *(block[j] for j in delta[i])), len(keys)) for i in range(len(order))]
+        block = [keys.setdefault((block[i], *(block[j] for j in delta[i])), len(keys)) for i in range(len(delta))]
     first: dict[int, int] = {}
     for i, b in enumerate(block):
         first.setdefault(b, i)
-    ranked = sorted(first, key=lambda b: (accepts[first[b]] != 0, b))
-    number = {b: i for i, b in enumerate(ranked)}
-    table = [number[block[j]] * width for b in ranked for j in delta[first[b]]]
-    plain = sum(accepts[first[b]] == 0 for b in ranked)
-    return Automaton(classes, width, table, plain * width, [accepts[first[b]] for b in ranked], number[block[0]] * width)
+    return [[block[j] for j in delta[first[b]]] for b in range(len(keys))], [outputs[first[b]] for b in range(len(keys))]
+
+
+def forward(pattern: str, tree, sample: dict[int, int]) -> tuple[list[list[int]], list[bool]]:
+    """One rule's automaton over any input: its output says that the leftmost match is fulfilled and goes on."""
+    steps = Steps(tree, sample)
+    if steps.end in steps.begin:
+        raise ValueError(f"{pattern} matches the empty string")
+
+    def searching(threads: list[frozenset[int]]):
+        alive: list[frozenset[int]] = []
+        for t in threads:
+            if steps.end in t:
+                return (True, t)
+            if t and not any(t <= older for older in alive):
+                alive.append(t)
+        return (False, tuple(alive))
+
+    def after(state, c: int):
+        matched, threads = state
+        if not matched:
+            return searching([steps.after(t, c) for t in (*threads, steps.begin)])
+        if on := steps.after(threads, c):
+            if steps.end not in on:
+                raise ValueError(f"{pattern} can go on unfulfilled after a match")
+            return (True, on)
+        again = searching([steps.after(steps.begin, c)])
+        if again[0]:
+            raise ValueError(f"{pattern} matches a single character beside a match")
+        return again
+
+    order, delta = explore((False, ()), after, len(sample))
+    return minimal(delta, [matched for matched, _ in order])
+
+
+def backward(tree, sample: dict[int, int]) -> tuple[list[list[int]], list[bool], int]:
+    """The automaton of the rule's strings read backwards, and its dead state (-1 without one)."""
+    steps = Steps(reversed_tree(tree), sample)
+    order, delta = explore(steps.begin, steps.after, len(sample))
+    delta, ends = minimal(delta, [steps.end in q for q in order])
+    dead = next((i for i, row in enumerate(delta) if not ends[i] and all(j == i for j in row)), -1)
+    return delta, ends, dead
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """table[state + class] is the next state; states are multiples of `width`; in those from `accepting` on the rules of found[state // width] (a bit each) are fulfilled."""
+
+    classes: bytes
+    width: int
+    table: array
+    accepting: int
+    found: list[int]
+    start: int
+    back: list[tuple[list[list[int]], list[bool], int]]
+
+    def spans(self, data: bytes) -> list[tuple[int, int, int, int]]:
+        """(start, rule, end, where the rule was first fulfilled) of all matches, in bytes; one pass, one step a byte."""
+        s, table, accepting, found, width = self.start, self.table, self.accepting, self.found, self.width
+        codes = data.translate(self.classes)
+        out: list[tuple[int, int, int, int]] = []
+        begun, last = [0] * len(self.back), [0] * len(self.back)
+        open_ = 0
+
+        def change(now: int, at: int) -> None:
+            for k in range(len(begun)):
+                bit = 1 << k
+                if open_ & bit and not now & bit:
+                    out.append((self.start_of(codes, k, begun[k], last[k]), k, at, begun[k]))
+                    last[k] = at
+                elif now & bit and not open_ & bit:
+                    begun[k] = at + 1
+
+        for i, c in enumerate(codes):
+            s = table[s + c]
+            if s < accepting:
+                if open_:
+                    change(0, i)
+                    open_ = 0
+            elif found[s // width] != open_:
+                change(found[s // width], i)
+                open_ = found[s // width]
+        change(0, len(codes))
+        return sorted(out)
+
+    def start_of(self, codes: bytes, rule: int, end: int, least: int) -> int:
+        """The leftmost start, at `least` or after, of the rule's match that was fulfilled at `end`."""
+        delta, ends, dead = self.back[rule]
+        q, best = 0, end
+        for i in range(end - 1, least - 1, -1):
+            q = delta[q][codes[i]]
+            if q == dead:
+                break
+            if ends[q]:
+                best = i
+        return best
+
+
+def compile_rules(patterns: list[str]) -> Automaton:
+    """One automaton for all patterns."""
+    trees = [parse(p) for p in patterns]
+    # bytes that no set tells apart share a class
+    sets = sorted(set().union(*map(byte_sets, trees)), key=sorted)
+    marks: dict[tuple[bool, ...], int] = {}
+    classes = bytes(marks.setdefault(tuple(b in s for s in sets), len(marks)) for b in range(256))
+    sample = {classes[b]: b for b in range(256)}
+    rules = [forward(p, t, sample) for p, t in zip(patterns, trees)]
+    deltas = [d for d, _ in rules]
+    order, delta = explore((0,) * len(rules), lambda state, c: tuple([d[q][c] for d, q in zip(deltas, state)]), len(sample))
+    outputs = [sum(1 << k for k, (q, (_, o)) in enumerate(zip(state, rules)) if o[q]) for state in order]
+    ranked = sorted(range(len(order)), key=lambda i: (outputs[i] != 0, i))
+    number = {i: n for n, i in enumerate(ranked)}
+    width = len(sample)
+    table = array("l", [number[j] * width for i in ranked for j in delta[i]])
+    return Automaton(classes, width, table, sum(o == 0 for o in outputs) * width, [outputs[i] for i in ranked], number[0] * width, [backward(t, sample) for t in trees])

@@ -183,6 +183,31 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+#: (kind, regex, group that is measured, least length) of the rules, for SQL.
+_SECRETS = [
+    ("assign", r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]{24,}", 0, 24),
+    ("github", "gh[opsur]_[A-Za-z0-9]+", 0, 24),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
+]
+#: A match starts after what lies between the matches so far and after these matches.
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+m AS ({" UNION ALL ".join(f"SELECT r, {k} AS rule, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits, regexp_extract_all(t, '{p}', {g}) AS part FROM d WHERE regexp_matches(t, '{p}')" for k, (kind, p, g, least) in enumerate(_SECRETS))}),
+x AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+s AS (
+  SELECT r, rule, kind, (list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0))::BIGINT AS a, length(hits[i]) AS n
+  FROM x WHERE length(part[i]) >= least),
+z AS (SELECT *, kind || ':' || a || ':' || (a + n) AS span FROM s)
+SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY a, rule) FILTER (WHERE rule < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, rule), '') AS spans
+FROM d LEFT JOIN z ON d.r = z.r GROUP BY d.r
+"""
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tagger = fit_quality(docs, table(spark, sf_dir, "labels"), crc_of_id("doc_id") % 5 != 0)
@@ -211,4 +236,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_mixing": op7_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_mixing": op7_sql(), "op9_secret_scan": OP9_SQL}

@@ -1,13 +1,13 @@
 """Secrets by one deterministic automaton for all rules.
 
-The rules are compiled to one minimal automaton over bytes, which reads each text once and says which rules match anywhere. Only those rules are then run, as exact regexes, on the texts that have them, for the spans.
+The rules' full regexes are compiled to one minimal automaton over bytes; it reads each text once and gives the ends of all matches, and the rule's reversed automaton gives their starts. No other matcher runs.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,28 +23,27 @@ def _either_case(word: str) -> str:
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: its regex, the group that is measured and the least length of it. `needs` is what the automaton looks for: the rule, or a first part of it that every span has; counted repeats of several rules at once would multiply the states."""
+    """A kind of secret: its regex, and the least length of a match: of all of it, or only of its last part (`tail`), which begins with the character that first fulfils the regex. Matches that are shorter are dropped after they have taken their characters."""
 
     kind: str
     pattern: str
-    group: int
-    least: int
-    needs: str
+    least: int = 1
+    tail: bool = False
 
 
 _KEYWORD = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
-_ASSIGN = f"({_KEYWORD})[\"']?\\x20*[:=]\\x20*[\"']?"
 
 BASE = (
-    Rule("assign", _ASSIGN + "([A-Za-z0-9+/_.=-]+)", 2, 6, _ASSIGN + "[A-Za-z0-9+/_.=-]{6}"),
-    Rule("access", "AKIA[A-Z0-9]+", 0, 20, "AKIA[A-Z0-9]{16}"),
-    Rule("hex", "[0-9a-f]+", 0, 24, "[0-9a-f]{24}"),
+    Rule("assign", f"({_KEYWORD})[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9+/_.=-]+", 6, tail=True),
+    Rule("access", "AKIA[A-Z0-9]+", 20),
+    # a run of these characters is one match, so its least length can be counted by the automaton
+    Rule("hex", "[0-9a-f]{24}[0-9a-f]*"),
 )
 MORE = (
-    Rule("github", "gh[opsur]_[A-Za-z0-9]+", 0, 24, "gh[opsur]_"),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15, "xox[abprs]-"),
-    Rule("pem", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 1, "-----BEGIN "),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 30, "eyJ"),
+    Rule("github", "gh[opsur]_[A-Za-z0-9]+", 24),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 15),
+    Rule("pem", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 30),
 )
 RULES = BASE + MORE
 
@@ -52,19 +51,25 @@ SCHEMA = "_id {id}, spans array<struct<kind:string,start:bigint,end:bigint>>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def spans_of(text: str, rules: tuple[Rule, ...], which: int) -> list[tuple[int, int, int]]:
-    """(start, place of the rule, end) in code points, of the rules whose bit is set: leftmost non-overlapping matches of each, failing ones dropped."""
-    out = []
-    for k, rule in enumerate(rules):
-        if which >> k & 1:
-            out += [(m.start(), k, m.end()) for m in re.finditer(rule.pattern, text) if len(m[rule.group]) >= rule.least]
-    return sorted(out)
+@lru_cache
+def automaton_of(rules: tuple[Rule, ...]) -> Automaton:
+    return compile_rules([r.pattern for r in rules])
 
 
-def scan_texts(texts: list[str], automaton: Automaton, rules: tuple[Rule, ...]) -> Iterator[list[dict]]:
-    for text in texts:
-        hits = automaton.rules_in(text.encode("utf-8", "surrogatepass"))
-        yield [{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in spans_of(text, rules, hits)] if hits else []
+def scan_text(text: str, automaton: Automaton, rules: tuple[Rule, ...]) -> list[dict]:
+    """The spans of one text by start, then as the rules are listed; in code points, end exclusive."""
+    data = text.encode("utf-8", "surrogatepass")
+    spans = [(s, k, e) for s, k, e, first in automaton.spans(data) if e - (first - 1 if rules[k].tail else s) >= rules[k].least]
+    if not spans:
+        return []
+    if len(data) == len(text):
+        at = {}
+    else:  # matches are ASCII, so only what comes before them shifts them
+        at, chars, done = {}, 0, 0
+        for place in sorted({p for s, _, e in spans for p in (s, e)}):
+            chars += len(data[done:place].decode("utf-8", "surrogatepass"))
+            at[place], done = chars, place
+    return [{"kind": rules[k].kind, "start": at.get(s, s), "end": at.get(e, e)} for s, k, e in spans]
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -74,12 +79,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Cases: null texts are empty and have no spans; very long texts are read whole; repeated rows, null ids and empty tables pass through; other columns are not touched.
     """
-    automaton = compile_rules([r.needs for r in rules])
+    automaton = automaton_of(rules)
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = list(scan_texts(batch.column(1).to_pylist(), automaton, rules))
+            spans = [scan_text(t, automaton, rules) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, type=_SPANS)], ["_id", "spans"])
 
     return rows.mapInArrow(scan, SCHEMA.format(id=docs.schema[id_col].dataType.simpleString()))
