@@ -2,6 +2,8 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from weftline.llm.exact_dedup import drop_copies, exact_dedup
 from weftline.llm.queries import URL_RULES
@@ -36,16 +38,29 @@ def test_levels_merge_hot_groups(bare):
 def test_drop_copies_keeps_columns(odd_docs, no_docs):
     kept = drop_copies(odd_docs, keep="largest")
     assert kept.columns == odd_docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "2", "4", "5", "6", "7", "8", "9"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "4", "5", "6", "7", "8", "9"]
     assert drop_copies(no_docs).count() == 0 and exact_dedup(no_docs).count() == 0
 
 
 def test_a_copy_takes_no_other_row_of_its_id(bare):
-    rows = [(None, "a"), (1, "a"), (None, "b"), (5, "c"), (5, "d"), (9, "c"), (9, "c")]
-    for keep, want in (("largest", [(1, "a"), (5, "d"), (9, "c"), (9, "c"), (None, "b")]), ("smallest", [(1, "a"), (5, "c"), (5, "d"), (None, "b")])):
+    rows = [(None, "a"), (1, "a"), (None, "b"), (5, "c"), (5, "d"), (9, "c"), (9, "c"), (None, "e"), (None, "e")]
+    for keep, want in (("largest", [(1, "a"), (5, "d"), (9, "c"), (None, "b"), (None, "e")]), ("smallest", [(1, "a"), (5, "c"), (5, "d"), (None, "b"), (None, "e")])):
         assert sorted((tuple(r) for r in drop_copies(bare(rows), keep=keep).collect()), key=str) == sorted(want, key=str)
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "", "a", "b", "c"])), min_size=1, max_size=12), st.sampled_from(["smallest", "largest"]))
+def test_every_text_has_one_row(spark, rows, keep):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in exact_dedup(docs, keep=keep, runs=4, fan_in=2).collect()), key=str) == brute(rows, keep == "largest")
+    ids = defaultdict(list)
+    for i, t in rows:
+        ids[t or ""].append(i)
+    want = {t: (max if keep == "largest" else min)([i for i in v if i is not None], default=None) for t, v in ids.items()}
+    got = [(r.text or "", r.doc_id) for r in drop_copies(docs, keep=keep).collect()]
+    assert len(got) == len(want) and dict(got) == want
+
+
 def verdict(url, rules, otherwise="allow"):
     host = path = ""
     if url and "://" in url:

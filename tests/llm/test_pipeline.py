@@ -1,5 +1,6 @@
 import os
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -74,3 +75,17 @@ def test_scratch_tables_are_deleted(spark):
         gone.count()
     clean_up(spark)
     assert _TABLES == []
+
+
+def test_threads_do_not_delete_each_others_tables(spark):
+    from weftline.llm.common import saved, scratch
+
+    with scratch(spark), ThreadPoolExecutor(1) as other:
+        mine = saved(spark.range(3), "mine")
+
+        def work():
+            with scratch(spark):
+                saved(spark.range(5), "other")
+
+        other.submit(work).result()
+        assert mine.count() == 3

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,25 +25,39 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str, digest: Column) -> DataFrame:
-    """The rows of docs whose id and digest of the text aren't among those of gone (_gone, _digest): a verdict is about a row, and rows may share an id."""
+def one_of_each(docs: DataFrame, rows: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """The rows of docs that stay, with all their columns: one for each id and digest of the text of those of rows (_id, _digest, _stays; a row for each of docs) that stay. A verdict is about a row: rows may share an id, and rows that share id and text are told apart by nothing, so any one of them stays."""
     name = "_digest_of_row"
     while name in [c.lower() for c in docs.columns]:
         name += "_"
     marked = docs.withColumn(name, digest)
-    return marked.join(gone, marked[id_col].eqNullSafe(gone["_gone"]) & (marked[name] == gone["_digest"]), "left_anti").drop(name)
+    # only what isn't simply kept is joined: few rows in a corpus of few copies
+    judged = rows.groupBy("_id", "_digest").agg(F.max("_stays").alias("_stays"), F.count(F.lit(1)).alias("_n")).where("not _stays or _n > 1")
+
+    def joined(of: DataFrame, how: str) -> DataFrame:
+        return marked.join(of, marked[id_col].eqNullSafe(of["_id"]) & (marked[name] == of["_digest"]), how)
+
+    out = joined(judged, "left_anti")
+    repeated = judged.where("_stays")
+    if repeated.limit(1).count():
+        out = out.unionByName(joined(repeated, "left_semi").dropDuplicates([id_col, name]))
+    return out.drop(name)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a local one."""
+    """The folder of spark.checkpoint.dir. Where it is unset, a local one on a local master, as in tests; a cluster must set it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+#: Tables that were saved outside any scratch(), and those saved inside the innermost one of this thread.
 _TABLES: list[str] = []
+_SCOPE: ContextVar[list[str]] = ContextVar("tables", default=_TABLES)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -52,7 +67,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _TABLES.append(path)
+    _SCOPE.get().append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
@@ -61,8 +76,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Delete the tables that are saved inside when it ends, but for those handed to the function that it gives."""
-    start, keep = len(_TABLES), set()
+    """Delete the tables that are saved inside, by this thread, when it ends, but for those handed to the function that it gives: these belong to the scratch() around it."""
+    made: list[str] = []
+    keep: set[str] = set()
+    around = _SCOPE.get()
+    token = _SCOPE.set(made)
 
     def kept(df: DataFrame) -> DataFrame:
         keep.add(df._saved_at)
@@ -71,13 +89,13 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield kept
     finally:
-        made = _TABLES[start:]
-        _TABLES[start:] = [p for p in made if p in keep]
+        _SCOPE.reset(token)
+        around += [p for p in made if p in keep]
         _delete(spark, [p for p in made if p not in keep])
 
 
 def clean_up(spark: SparkSession) -> None:
-    """Delete all tables that operators have saved in this process; results that still read them are gone too."""
+    """Delete all tables that operators have saved in this process and that results may still read; these results are gone too."""
     _delete(spark, _TABLES)
     _TABLES.clear()
 

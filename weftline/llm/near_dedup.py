@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import release, saved, scratch, slices, text_of, without
+from weftline.llm.common import one_of_each, release, saved, scratch, slices, text_of
 from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
 #: Words of a shingle, shingles of a sketch, and sketches: a pair whose labelled shingles have similarity 0.8 and one order misses all sketches with a chance of (1 - 0.8 ** 4) ** 28.
@@ -273,5 +273,5 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of docs that stay, one id of each class, with all their columns; cases as in near_classes. Rows without an id stay if no row of their class has one."""
-    gone = _judged(docs, id_col, text_col, threshold).where("not kept").select(F.col("_id").alias("_gone"), F.col("_node").alias("_digest")).distinct()
-    return without(docs, gone, id_col, node_of(text_of(text_col)))
+    rows = _judged(docs, id_col, text_col, threshold).select("_id", F.col("_node").alias("_digest"), F.col("kept").alias("_stays"))
+    return one_of_each(docs, rows, id_col, node_of(text_of(text_col)))
