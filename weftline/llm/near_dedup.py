@@ -1,6 +1,8 @@
 """MinHash near-dedup by Order MinHash and banded alignment.
 
-Texts are compared as words in lower case without punctuation. Each is a sequence of five-word shingles, labelled by occurrence. A sketch samples the few smallest of them under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch, that is on the shingles and their order, are candidates. Repeated and moved passages change labels and order but not the set that a link is judged on, so texts that agree on a sample of their different shingles, whatever the order, are candidates too, and texts of few shingles are looked up with each one left out. A candidate pair is a link if the Jaccard similarity of the two sets of shingles and the edit similarity of the two word sequences, found by alignment within a band, both reach the threshold. Classes are the connected components of links.
+Texts are compared as words in lower case without punctuation. Two texts are a link if their edit similarity, 1 - (edits of words) / (words of the longer one), reaches the threshold; alignment within the band of that many edits decides it, and nothing else does. Classes are the connected components of links.
+
+Candidates: a sketch samples the few smallest of a text's k-mers of words, labelled by occurrence, under one of several hash orders and keeps them in the order of the text; texts that agree on a sketch are candidates. At an edit similarity of 0.8 no five-word shingle need survive (edits of every fifth word touch them all), so k-mers are shorter: two words, and one word for texts of few. Texts of fewer than ten words are looked up exactly, with each word left out in turn.
 """
 
 from __future__ import annotations
@@ -15,15 +17,16 @@ from pyspark.sql import functions as F
 from weftline.llm.common import one_of_each, release, saved, scratch, slices, text_of
 from weftline.llm.words import gram_hashes, mix, normal, word_hashes
 
-#: Words of a shingle, shingles of a sketch, and sketches: a pair whose labelled shingles have similarity 0.8 and one order misses all sketches with a chance of (1 - 0.8 ** 4) ** 28.
-SHINGLE, SAMPLE, SKETCHES = 5, 4, 28
-#: Shingles of a sketch of the set, and sketches: a pair that has c of u different shingles in common misses all with a chance of (1 - C(c, 3) / C(u, 3)) ** 22, under one in a million for c >= 0.8 u and u >= 10.
-SET_SAMPLE, SET_SKETCHES = 3, 22
-#: Two texts of so many different shingles at most that have 0.8 in common are equal in them once each has left out one at most: these are found without chance.
-FEW = 9
+#: Words of a k-mer, k-mers of a sketch, and sketches, of texts of LONG words or more.
+KMER, SAMPLE, SKETCHES = 2, 3, 40
+#: The same of texts of fewer words. Texts of LONG words to LONG / threshold have both, since a link joins texts of like length.
+SHORT_KMER, SHORT_SAMPLE, SHORT_SKETCHES = 1, 4, 28
+LONG = 40
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
+#: Rows of the longer sequence whose places are kept in one number.
+_BLOCK = 2048
 
 
 def node_of(text: str | F.Column) -> F.Column:
@@ -32,133 +35,171 @@ def node_of(text: str | F.Column) -> F.Column:
     return (high + F.pmod(F.xxhash64(text, F.lit(1)), F.lit(10**18)).cast("decimal(18,0)")).cast(_NODE)
 
 
-def shingles_of(words: np.ndarray) -> np.ndarray:
-    """Hashes of the shingles; a shorter text is one shingle."""
-    return gram_hashes(words, min(SHINGLE, max(1, len(words))))
+def most_edits(words: int, threshold: float) -> int:
+    """The edits that a link may have if its longer text has so many words."""
+    return int((1 - threshold) * words + 1e-9)
+
+
+def labelled(grams: np.ndarray) -> np.ndarray:
+    """The hashes with the number of their occurrence: a multiset as a set."""
+    order = np.argsort(grams, kind="stable")
+    ranked = grams[order]
+    label = np.arange(len(grams)) - np.searchsorted(ranked, ranked, side="left")
+    out = np.empty(len(grams), dtype=np.uint64)
+    out[order] = mix(ranked + label.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    return out
 
 
-def order_sketches(grams: np.ndarray, sample: int = SAMPLE, sketches: int = SKETCHES) -> np.ndarray:
-    """One hash per sketch, of the sampled shingles in the order of the text."""
+def order_sketches(grams: np.ndarray, sample: int, seeds: np.ndarray) -> np.ndarray:
+    """One hash per seed, of the sampled k-mers in the order of the text."""
     n = len(grams)
     if not n:
         return np.empty(0, dtype=np.uint64)
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    label = np.arange(n) - np.searchsorted(ranked, ranked, side="left")  # which occurrence
-    marked = np.empty(n, dtype=np.uint64)
-    marked[order] = mix(ranked + label.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    out = np.empty(sketches, dtype=np.uint64)
+    marked = labelled(grams)
+    out = np.empty(len(seeds), dtype=np.uint64)
     step = max(1, 2_000_000 // n)
-    for a in range(0, sketches, step):
-        seeds = _SEEDS[a : min(sketches, a + step), None]
-        ranks = (marked[None, :] ^ seeds) * np.uint64(0xBF58476D1CE4E5B9)
+    for a in range(0, len(seeds), step):
+        some = seeds[a : a + step, None]
+        ranks = (marked[None, :] ^ some) * np.uint64(0xBF58476D1CE4E5B9)
         ranks ^= ranks >> np.uint64(29)
         ranks *= np.uint64(0x94D049BB133111EB)
-        at = np.sort(np.argpartition(ranks, sample - 1, axis=1)[:, :sample], axis=1) if n > sample else np.broadcast_to(np.arange(n), (len(seeds), n))
-        h = seeds[:, 0].copy()
+        at = np.sort(np.argpartition(ranks, sample - 1, axis=1)[:, :sample], axis=1) if n > sample else np.broadcast_to(np.arange(n), (len(some), n))
+        h = some[:, 0].copy()
         for k in range(at.shape[1]):
             h = mix(h * np.uint64(31) + grams[at[:, k]])
-        out[a : a + len(seeds)] = h
+        out[a : a + len(some)] = h
     return out
 
 
-def set_sketches(shingles: np.ndarray, sample: int = SET_SAMPLE, sketches: int = SET_SKETCHES) -> np.ndarray:
-    """Hashes by which texts of the same different shingles meet: one per sketch, of the sampled ones in no order; for a text of few, also one of all, and of all but each."""
-    n = len(shingles)
-    if not n:
-        return np.empty(0, dtype=np.uint64)
-    marked = mix(shingles)
-    out = np.empty(sketches, dtype=np.uint64)
-    step = max(1, 2_000_000 // n)
-    for a in range(0, sketches, step):
-        seeds = _SEEDS[128 + a : 128 + min(sketches, a + step), None]
-        ranks = mix(marked[None, :] ^ seeds)
-        at = np.argpartition(ranks, sample - 1, axis=1)[:, :sample] if n > sample else np.broadcast_to(np.arange(n), (len(seeds), n))
-        out[a : a + len(seeds)] = mix(marked[at].sum(axis=1, dtype=np.uint64) ^ seeds[:, 0])
-    if n > FEW:
-        return out
-    whole = marked.sum(dtype=np.uint64)
-    # under five shingles, leaving one out leaves less than 0.8
-    left = np.concatenate([[whole], whole - marked]) if n >= 5 else np.array([whole])
-    return np.concatenate([out, mix(left.astype(np.uint64) ^ _SEEDS[255])])
+def keys_of(words: np.ndarray, threshold: float) -> np.ndarray:
+    """Hashes by which a text (hashes of its words) meets its candidates."""
+    n = len(words)
+    few = next(k for k in range(1, 11) if k == 10 or most_edits(k + 1, threshold) > 1)  # no link up to so many words has two edits
+    out = []
+    if 0 < n <= few:
+        every = [words] + ([np.delete(words, i) for i in range(n)] if most_edits(n, threshold) else [])
+        out.append(np.array([mix(gram_hashes(w, len(w)) ^ _SEEDS[255])[0] for w in every if len(w)], dtype=np.uint64))
+    if threshold * (few + 1) <= n <= LONG / threshold:
+        out.append(order_sketches(gram_hashes(words, SHORT_KMER), SHORT_SAMPLE, _SEEDS[128 : 128 + SHORT_SKETCHES]))
+    if n >= LONG:
+        out.append(order_sketches(gram_hashes(words, KMER), SAMPLE, _SEEDS[:SKETCHES]))
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def places(words: list[int]) -> dict[tuple[int, int], int]:
+    """For each word and block of _BLOCK places, the places that have it, a bit each."""
+    out: dict[tuple[int, int], int] = {}
+    for i, w in enumerate(words):
+        key = (w, i // _BLOCK)
+        out[key] = out.get(key, 0) | 1 << i % _BLOCK
+    return out
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two sequences if it is `most` or less, else most + 1.
 
-    Only diagonals within the band are followed: for each number of edits, how far along each diagonal the two can be aligned.
+    Only the band of 2 * most + 1 diagonals is followed. A column's cells in the band are two numbers whose bits say where the distance grows and falls from one row to the next, so that a column costs a few operations on whole numbers; the band moves down one row a column.
     """
-    n, m = len(a), len(b)
-    goal = m - n
-    if abs(goal) > most:
+    same = min(len(a), len(b))
+    differ = np.flatnonzero(a[:same] != b[:same])
+    head = int(differ[0]) if len(differ) else same
+    a, b = a[head:], b[head:]
+    same = min(len(a), len(b))
+    differ = np.flatnonzero(a[len(a) - same :][::-1] != b[len(b) - same :][::-1])
+    tail = int(differ[0]) if len(differ) else same
+    x, y = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+    m, n = len(x), len(y)
+    if abs(m - n) > most:
         return most + 1
-
-    def slide(i: int, j: int) -> int:
-        while i < n and j < m:
-            size = min(64, n - i, m - j)
-            differ = np.flatnonzero(a[i : i + size] != b[j : j + size])
-            if len(differ):
-                return i + int(differ[0])
-            i, j = i + size, j + size
-        return i
-
-    reach = {0: slide(0, 0)}
-    if goal == 0 and reach[0] == n:
-        return 0
-    for e in range(1, most + 1):
-        now = {}
-        for d in range(max(-e, -n, goal - (most - e)), min(e, m, goal + (most - e)) + 1):  # d = j - i
-            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1)
-            if i < 0:
-                continue
-            i = min(i, n, m - d)
-            if i + d < 0:
-                continue
-            now[d] = slide(i, i + d)
-        if now.get(goal, -1) == n:
-            return e
-        reach = now
-    return most + 1
-
-
-def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[bool, np.ndarray, np.ndarray]:
-    """Whether two sequences of word hashes are a link, the shingles of the first that the second lacks, and those that it has beyond them."""
-    x, y = np.unique(shingles_of(a)), np.unique(shingles_of(b))
-    lost, gained = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
-    common = len(x) - len(lost)
-    if common < threshold * (len(x) + len(gained)):
-        return False, lost, gained
-    most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
-    return banded_distance(a, b, most) <= most, lost, gained
-
-
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if not m or not n:
+        return max(m, n)
+    if not most:
+        return 1
+    where = places(x)
+    last_block = (m - 1) // _BLOCK
+    full = (1 << 2 * most + 1) - 1
+    top = 1 << 2 * most
+    up, down = full ^ (1 << most) - 1, 0  # rows that are one more, and one less, than the row before
+    distance = min(m, most)
+    limit = most + n - m + most
+    for j in range(1, n + 1):
+        low = j - most - 1  # the first place in the band
+        word, match = y[j - 1], 0
+        for block in range(max(0, low) // _BLOCK, min(last_block, (low + 2 * most) // _BLOCK) + 1):
+            if bits := where.get((word, block)):
+                shift = block * _BLOCK - low
+                match |= bits << shift if shift >= 0 else bits >> -shift
+        match &= full
+        diagonal = (((match & up) + up) ^ up | match | down) & full  # cells equal to their diagonal neighbour
+        right_up = (down | ~(diagonal | up)) & full
+        right_down = diagonal & up
+        if j <= m - most:  # along the lower edge of the band to the last row, then along that row
+            distance += not diagonal & top
+            if distance > limit:
+                return most + 1
+        else:
+            bit = 1 << m - j + most
+            distance += bool(right_up & bit) - bool(right_down & bit)
+        on = diagonal >> 1
+        up, down = right_down | ~(on | right_up) & full, on & right_up
+    return min(distance, most + 1)
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two multisets share."""
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
+
+
+def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether two sequences of word hashes are a link. Words that are missing are edits, so bags of words that differ too much need no alignment."""
+    longer = max(len(a), len(b))
+    most = most_edits(longer, threshold)
+    if abs(len(a) - len(b)) > most or longer - common(a, b) > most:
+        return False
+    return banded_distance(a, b, most) <= most
+
+
+def pairs_of(words: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of neighbours; of a single word, the word."""
+    return gram_hashes(words, min(2, max(1, len(words))))
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("_t").to_pylist()
         for s, e in slices(texts):
             words, first = word_hashes([normal(t) for t in texts[s:e]])
-            sizes, out = [], []
-            for k in range(e - s):
-                grams = shingles_of(words[first[k] : first[k + 1]])
-                different = np.unique(grams)
-                sizes.append(len(different))
-                out.append(np.concatenate([order_sketches(grams), set_sketches(different)]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), batch.column("_row").slice(s, e - s), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_size", "_sketch"])
+            out = [keys_of(words[first[k] : first[k + 1]], threshold).view(np.int64) for k in range(e - s)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), batch.column("_row").slice(s, e - s), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_keys"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(batch, from, words of the pairs _ta and _tb) of a bounded number of rows at a time."""
     for batch in batches:
         left, right = batch.column("_ta").to_pylist(), batch.column("_tb").to_pylist()
         for s, e in slices([a + b for a, b in zip(left, right)]):
             wa, fa = word_hashes([normal(t) for t in left[s:e]])
             wb, fb = word_hashes([normal(t) for t in right[s:e]])
-            found = [similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)]
-            # a lost and a gained shingle are never the same, so the two kinds can share one list of differences
-            differ = [np.concatenate([x, y]).view(np.int64) for _, x, y in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_a").slice(s, e - s), batch.column("_b").slice(s, e - s), pa.array([k for k, _, _ in found], pa.bool_()), pa.array([len(x) for _, x, _ in found], pa.int64()), pa.array([len(y) for _, _, y in found], pa.int64()), pa.array(differ, pa.list_(pa.int64()))],
-                ["_a", "_b", "_link", "_lost", "_gained", "_diff"],
-            )
+            yield batch, s, [(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]]) for k in range(e - s)]
+
+
+def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Whether pairs are links; how many labelled pairs of neighbours only one of the two has; the words of the second."""
+    for batch, s, rows in _aligned(batches):
+        links = [similar(a, b, threshold) for a, b in rows]
+        grams = [(pairs_of(a), pairs_of(b)) for a, b in rows]
+        apart = [len(x) + len(y) - 2 * common(x, y) for x, y in grams]
+        yield pa.RecordBatch.from_arrays([batch.column("_a").slice(s, len(rows)), batch.column("_b").slice(s, len(rows)), pa.array(links, pa.bool_()), pa.array(apart, pa.int64()), pa.array([len(b) for _, b in rows], pa.int64())], ["_a", "_b", "_link", "_d", "_n"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labelled pairs of neighbours that only one of the two texts has."""
+    for batch, s, rows in _aligned(batches):
+        out = [np.setxor1d(labelled(pairs_of(a)), labelled(pairs_of(b)), assume_unique=True).view(np.int64) for a, b in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("_a").slice(s, len(rows)), batch.column("_b").slice(s, len(rows)), pa.array(out, pa.list_(pa.int64()))], ["_a", "_b", "_diff"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -182,46 +223,55 @@ def components(edges: DataFrame) -> DataFrame:
             release(spark)
 
 
-def missed(tried: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (_a, _b) of texts that reach the Jaccard threshold though neither star nor component joins them, among texts with a common pivot.
+def missed(tried: DataFrame, classes: DataFrame, with_texts, threshold: float) -> DataFrame | None:
+    """Pairs (_a, _b) of texts that may be a link though neither star nor component joins them, among texts that were compared with the same pivot; None without any.
 
-    A text is known by its pivot p and its differences D: the shingles it lost (L) and gained (G). For x and y, with q = threshold / (1 + threshold) and w = (1 - q) L + q G, the threshold is reached if and only if D(x) and D(y) share t = w(x) + w(y) - (1 - 2q) |p| shingles. Differences that no other text of the pivot has can't be shared: with R the rest of D, t <= min(R(x), R(y)). So y takes part only if R(y) - w(y) is at least w(x) - (1 - 2q) |p| for some x, and x only if some y allows it; what is left is compared difference by difference. Independent edits are unique, so next to nothing is left of a large group, and nothing that could be a link is dropped.
+    A text x is known by its pivot and its differences D(x): the labelled pairs of neighbouring words that only one of x and the pivot has. An edit changes four of them at most, and a link has (1 - t) / (1 + t) of both texts' words of edits at most, so x and y can be a link only if D(x) and D(y) share w(x) + w(y), with w = |D| / 2 - 2 (1 - t) / (1 + t) words. The numbers alone rule out nearly all; of the rest, two texts that share that many differences share one of the rarest |D| - w(x) - w(y) + 1 of each, so these are joined, difference by difference: texts that have nothing rare in common never meet. Where the bound is zero or less (texts with the pivot's words in another order, and those just below the threshold), the one nearest to the pivot is a pivot for the others.
     """
-    q = threshold / (1 + threshold)
-    own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
-    pivots = sizes.select(F.col("_node").alias("_a"), F.col("_size").alias("_base")).join(classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main")), "_a", "left")
-    pivots = saved(pivots.join(tried.select("_a").distinct(), "_a"), "pivots")
-    rows = (
-        saved(tried.join(own, "_b", "left").withColumn("_its", F.coalesce("_its", "_b")), "placed")
-        .join(pivots, "_a")
-        .withColumn("_apart", F.col("_its") != F.coalesce("_main", "_a"))
-        .withColumn("_w", (1 - q) * F.col("_lost") + q * F.col("_gained"))
-        .withColumn("_free", (1 - 2 * q) * F.col("_base"))
-        .select("_a", "_b", "_its", "_apart", "_w", "_free", "_diff")
-    )
-    rows = saved(rows, "apart")
-    open_ = saved(rows.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_n")).where("_n_apart > 0 and _n > 1").select("_a"), "pivots")
-    rows = saved(rows.join(open_, "_a"), "open")
-    lone = rows.select("_a", "_b", F.explode("_diff").alias("_h")).groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_n"), F.min("_b").alias("_b")).where("_n = 1")
-    lone = lone.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_u"))
+    share = 2 * (1 - threshold) / (1 + threshold)
     eps = F.lit(1e-6)
-    known = rows.join(lone, ["_a", "_b"], "left").withColumn("_r", F.size("_diff") - F.coalesce("_u", F.lit(0)))
-    known = saved(known, "known")
-    bounds = known.groupBy("_a").agg(F.max(F.col("_r") - F.col("_w")).alias("_most"), F.min(F.when(F.col("_apart"), F.col("_w") - F.col("_free"))).alias("_least"), F.min("_w").alias("_w_min"))
-    known = known.join(saved(bounds, "bounds"), "_a")
-    y = known.where(F.col("_r") - F.col("_w") >= F.col("_least") - eps).select("_a", F.col("_b").alias("_y"), F.col("_its").alias("_y_its"), F.col("_w").alias("_wy"), F.col("_r").alias("_ry"), F.col("_diff").alias("_dy"))
-    x = known.where(F.col("_apart") & (F.col("_w") - F.col("_free") <= F.col("_most") + eps) & (F.col("_r") >= F.col("_w") + F.col("_w_min") - F.col("_free") - eps))
-    needed = F.col("_w") + F.col("_wy") - F.col("_free") - eps
-    both = x.join(y, "_a").where((F.col("_its") != F.col("_y_its")) & (F.least("_r", "_ry") >= needed) & (F.size(F.array_intersect("_diff", "_dy")) >= needed))
-    return both.select(F.least("_b", "_y").alias("_a"), F.greatest("_b", "_y").alias("_b")).distinct()
+    own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
+    main = classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main"))
+    rows = tried.join(own, "_b", "left").join(main, "_a", "left").select("_a", "_b", F.coalesce("_its", "_b").alias("_its"), (F.coalesce("_its", "_b") != F.coalesce("_main", "_a")).alias("_apart"), F.col("_d").cast("double").alias("_d"), (F.col("_d") / 2 - share * F.col("_n")).alias("_w"))
+    rows = saved(rows.withColumn("_v", F.col("_d") - F.col("_w")), "placed")
+    apart = F.col("_apart")
+    bounds = rows.groupBy("_a").agg(F.max(F.struct("_v", "_b")).alias("_top"), F.min("_w").alias("_low"), F.max(F.when(apart, F.col("_v"))).alias("_v_apart"), F.min(F.when(apart, F.col("_w"))).alias("_w_apart"), F.count(F.lit(1)).alias("_of")).where("_w_apart is not null and _of > 1")
+    bounds = saved(bounds, "bounds")
+    near = rows.join(bounds, "_a")
+    second = near.where("_b <> _top._b").groupBy("_a").agg(F.max("_v").alias("_next"))
+    best = F.when(F.col("_b") == F.col("_top._b"), F.col("_next")).otherwise(F.col("_top._v"))
+    near = near.join(second, "_a").where(F.when(apart, (F.col("_w") <= best + eps) & (F.col("_low") <= F.col("_v") + eps)).otherwise((F.col("_w") <= F.col("_v_apart") + eps) & (F.col("_w_apart") <= F.col("_v") + eps)))
+    near = saved(near.select("_a", "_b", "_its", "_apart", "_d", "_w"), "near")
+    left = near.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_of"), F.min("_w").alias("_low")).where("_n_apart > 0 and _of > 1").select("_a", "_low")
+    near = saved(near.join(left, "_a"), "open")
+    if not near.limit(1).count():
+        return None
+
+    loose = near.where(F.col("_w") + F.col("_low") <= eps)
+    pivot = loose.where("_apart").groupBy("_a").agg(F.min(F.struct("_d", "_b", "_its")).alias("_p"))
+    stars = loose.join(pivot, "_a").where("_its <> _p._its").select(F.col("_p._b").alias("_x"), F.col("_b").alias("_y"))
+
+    known = saved(with_texts(near.select("_a", "_b")).mapInArrow(_differences, f"_a {_NODE}, _b {_NODE}, _diff array<bigint>"), "differences")
+    each = known.select("_a", "_b", F.explode("_diff").alias("_h"))
+    often = each.groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
+    common_ones = each.join(often, ["_a", "_h"]).groupBy("_a", "_b").agg(F.sort_array(F.collect_list(F.struct("_f", "_h"))).alias("_r"))
+    # differences that no other text of the pivot has come first in the order, and are shared with none
+    needed = F.greatest(F.lit(1), F.ceil(F.col("_w") + F.col("_low") - eps)).cast("int")
+    whole = saved(near.join(common_ones, ["_a", "_b"]).withColumn("_first", F.size("_r") - needed + 1).where("_first > 0"), "ranked")
+    entry = whole.select("_a", "_b", "_its", "_apart", "_w", F.transform("_r", lambda z: z["_h"]).alias("_r"), F.explode(F.slice("_r", F.lit(1), F.col("_first"))).alias("_k")).withColumn("_k", F.col("_k._h"))
+    x = entry.where("_apart").select("_a", "_k", F.col("_b").alias("_x"), F.col("_its").alias("_x_its"), F.col("_w").alias("_wx"), F.col("_r").alias("_rx"))
+    y = entry.select("_a", "_k", F.col("_b").alias("_y"), F.col("_its").alias("_y_its"), F.col("_w").alias("_wy"), F.col("_r").alias("_ry"))
+    both = x.join(y, ["_a", "_k"]).where((F.col("_x_its") != F.col("_y_its")) & (F.size(F.array_intersect("_rx", "_ry")) >= F.col("_wx") + F.col("_wy") - eps)).select("_x", "_y")
+    found = both.unionByName(stars).select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
+    return saved(found, "missed")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """_id, class_id (the smallest id of its class), class_size and kept (whether it is that id) of every row.
+    """_id, class_id (the smallest id of its class), class_size and kept (whether it is the row that stays) of every row.
 
     Equal texts are one node. Each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Links that such stars miss, between texts of one pivot that are then in different components, are found from the differences to the pivot (see missed) and verified too. No bucket is capped and no candidate dropped.
 
-    Cases: null and empty texts are one class. A text of fewer than five words is one shingle; one without words has none, and is in a class with equal texts alone. Equal ids are judged by their texts; null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
+    Cases: null and empty texts are one class. Texts without words are in a class with equal texts alone. The row that stays has the smallest id of its class, and of texts with that id the one of the smallest hash; rows that repeat it all are marked. Null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
     return _judged(docs, id_col, text_col, threshold).drop("_node")
 
@@ -232,24 +282,27 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumns({"_node": node_of("_t"), "_row": F.xxhash64("_id", "_t")})
     with scratch(spark) as kept:
-        sketched = saved(rows.mapInArrow(_sketch, f"_id {kind}, _node {_NODE}, _row bigint, _size bigint, _sketch array<bigint>"), "sketches")
-        distinct = sketched.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_sketch").alias("_sketch"), F.min("_row").alias("_row"))
-        entries = distinct.select("_node", "_size", "_row", F.explode(F.array_distinct("_sketch")).alias("_bucket"))
+        sketched = saved(rows.mapInArrow(lambda x: _sketch(x, threshold), f"_id {kind}, _node {_NODE}, _row bigint, _keys array<bigint>"), "sketches")
+        distinct = sketched.groupBy("_node").agg(F.first("_keys").alias("_keys"), F.min("_row").alias("_row"))
+        entries = distinct.select("_node", "_row", F.explode(F.array_distinct("_keys")).alias("_bucket"))
         # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
         shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
-        members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_size", "_row"), "buckets")
+        members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_row"), "buckets")
         release(spark)
 
         # one row of each text, so that copies of a text don't meet; merged at every size, since the table of texts grows with the input
-        sizes = saved(members.groupBy("_node").agg(F.first("_size").alias("_size"), F.sum("_n").alias("_score"), F.first("_row").alias("_row")), "sizes")
-        texts = saved(rows.select("_row", "_t").join(sizes.select("_row", "_node").hint("merge"), "_row").groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
+        sizes = saved(members.groupBy("_node").agg(F.sum("_n").alias("_score"), F.first("_row").alias("_row")), "sizes")
+        texts = saved(rows.select("_node", "_row", "_t").join(sizes.select("_node", "_row").hint("merge"), ["_node", "_row"]).groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
         release(spark)
 
-        def verified(pairs: DataFrame) -> DataFrame:
+        def with_texts(pairs: DataFrame) -> DataFrame:
             a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
             b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
-            schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _lost bigint, _gained bigint, _diff array<bigint>"
-            return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
+            return pairs.select("_a", "_b").join(a, "_a").join(b, "_b")
+
+        def verified(pairs: DataFrame) -> DataFrame:
+            schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _d bigint, _n bigint"
+            return saved(with_texts(pairs).mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
 
         scored = members.join(sizes.select("_node", "_score"), "_node")
         pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
@@ -259,19 +312,24 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
         classes = components(links)
         release(spark)
 
-        more = verified(missed(tried, classes, sizes, threshold)).where("_link").select("_a", "_b")
-        if more.limit(1).count():
-            classes = components(links.unionByName(more))
+        pairs = missed(tried, classes, with_texts, threshold)
+        if pairs is not None:
+            more = verified(pairs).where("_link").select("_a", "_b")
+            if more.limit(1).count():
+                classes = components(links.unionByName(more))
         release(spark)
 
         placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", "_node", F.coalesce("_class", "_node").alias("_class")), "placed"))
-        groups = kept(saved(placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
-    class_id = F.when(F.col("class_size").isNull(), F.col("_id")).otherwise(F.col("class_id"))
+        first = F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id").alias("_id"), F.col("_node").alias("_node")))
+        groups = kept(saved(placed.groupBy("_class").agg(first.alias("_first"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
+    alone = F.col("class_size").isNull()
+    class_id = F.when(alone, F.col("_id")).otherwise(F.col("_first._id"))
+    stays = alone | (F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_node") == F.col("_first._node")))
     out = placed.join(groups, "_class", "left")
-    return out.select("_id", "_node", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.col("_id").eqNullSafe(class_id).alias("kept"))
+    return out.select("_id", "_node", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), stays.alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The rows of docs that stay, one id of each class, with all their columns; cases as in near_classes. Rows without an id stay if no row of their class has one."""
+    """One row of docs for each class, with all its columns; cases as in near_classes. Of rows that repeat an id and text any one stays."""
     rows = _judged(docs, id_col, text_col, threshold).select("_id", F.col("_node").alias("_digest"), F.col("kept").alias("_stays"))
     return one_of_each(docs, rows, id_col, node_of(text_of(text_col)))
