@@ -7,7 +7,7 @@ Candidates: a sketch samples the few smallest of a text's k-mers of words, label
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -223,15 +223,18 @@ def components(edges: DataFrame) -> DataFrame:
             release(spark)
 
 
-def missed(tried: DataFrame, classes: DataFrame, with_texts, threshold: float) -> DataFrame | None:
-    """Pairs (_a, _b) of texts that may be a link though neither star nor component joins them, among texts that were compared with the same pivot; None without any.
+def missed(met: DataFrame, tried: DataFrame, classes: DataFrame, with_texts: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame | None:
+    """Pairs (_a, _b) of texts that may be a link though neither star nor component joins them, among texts that share a bucket (met: _bucket, its pivot _a, _b) and so were compared with its pivot; None without any.
 
-    A text x is known by its pivot and its differences D(x): the labelled pairs of neighbouring words that only one of x and the pivot has. An edit changes four of them at most, and a link has (1 - t) / (1 + t) of both texts' words of edits at most, so x and y can be a link only if D(x) and D(y) share w(x) + w(y), with w = |D| / 2 - 2 (1 - t) / (1 + t) words. The numbers alone rule out nearly all; of the rest, two texts that share that many differences share one of the rarest |D| - w(x) - w(y) + 1 of each, so these are joined, difference by difference: texts that have nothing rare in common never meet. Where the bound is zero or less (texts with the pivot's words in another order, and those just below the threshold), the one nearest to the pivot is a pivot for the others.
+    Only buckets whose texts beside the pivot are of two classes or more have such a pair. A text x is known by its pivot and its differences D(x): the labelled pairs of neighbouring words that only one of x and the pivot has. An edit changes four of them at most, and a link has (1 - t) / (1 + t) of both texts' words of edits at most, so x and y can be a link only if D(x) and D(y) share w(x) + w(y), with w = |D| / 2 - 2 (1 - t) / (1 + t) words. The numbers alone rule out nearly all; of the rest, two texts that share that many differences share one of the rarest |D| - w(x) - w(y) + 1 of each, so these are joined, difference by difference: texts that have nothing rare in common never meet. Where the bound is zero or less (texts with the pivot's words in another order, and those just below the threshold), the one nearest to the pivot is a pivot for the others.
     """
     share = 2 * (1 - threshold) / (1 + threshold)
     eps = F.lit(1e-6)
     own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
     main = classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main"))
+    classed = saved(met.join(own, "_b", "left").withColumn("_its", F.coalesce("_its", "_b")), "met")
+    mixed = classed.groupBy("_bucket").agg(F.min("_its").alias("_one"), F.max("_its").alias("_other")).where("_one <> _other").select("_bucket")
+    tried = tried.join(classed.join(mixed, "_bucket").select("_a", "_b").distinct(), ["_a", "_b"])
     rows = tried.join(own, "_b", "left").join(main, "_a", "left").select("_a", "_b", F.coalesce("_its", "_b").alias("_its"), (F.coalesce("_its", "_b") != F.coalesce("_main", "_a")).alias("_apart"), F.col("_d").cast("double").alias("_d"), (F.col("_d") / 2 - share * F.col("_n")).alias("_w"))
     rows = saved(rows.withColumn("_v", F.col("_d") - F.col("_w")), "placed")
     apart = F.col("_apart")
@@ -254,14 +257,16 @@ def missed(tried: DataFrame, classes: DataFrame, with_texts, threshold: float) -
     known = saved(with_texts(near.select("_a", "_b")).mapInArrow(_differences, f"_a {_NODE}, _b {_NODE}, _diff array<bigint>"), "differences")
     each = known.select("_a", "_b", F.explode("_diff").alias("_h"))
     often = each.groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
-    common_ones = each.join(often, ["_a", "_h"]).groupBy("_a", "_b").agg(F.sort_array(F.collect_list(F.struct("_f", "_h"))).alias("_r"))
+    ranked = each.join(often, ["_a", "_h"]).groupBy("_a", "_b").agg(F.sort_array(F.collect_list(F.struct("_f", "_h"))).alias("_r"))
     # differences that no other text of the pivot has come first in the order, and are shared with none
     needed = F.greatest(F.lit(1), F.ceil(F.col("_w") + F.col("_low") - eps)).cast("int")
-    whole = saved(near.join(common_ones, ["_a", "_b"]).withColumn("_first", F.size("_r") - needed + 1).where("_first > 0"), "ranked")
-    entry = whole.select("_a", "_b", "_its", "_apart", "_w", F.transform("_r", lambda z: z["_h"]).alias("_r"), F.explode(F.slice("_r", F.lit(1), F.col("_first"))).alias("_k")).withColumn("_k", F.col("_k._h"))
-    x = entry.where("_apart").select("_a", "_k", F.col("_b").alias("_x"), F.col("_its").alias("_x_its"), F.col("_w").alias("_wx"), F.col("_r").alias("_rx"))
-    y = entry.select("_a", "_k", F.col("_b").alias("_y"), F.col("_its").alias("_y_its"), F.col("_w").alias("_wy"), F.col("_r").alias("_ry"))
-    both = x.join(y, ["_a", "_k"]).where((F.col("_x_its") != F.col("_y_its")) & (F.size(F.array_intersect("_rx", "_ry")) >= F.col("_wx") + F.col("_wy") - eps)).select("_x", "_y")
+    ranked = near.join(ranked, ["_a", "_b"]).withColumn("_first", F.size("_r") - needed + 1).where("_first > 0")
+    ranked = saved(ranked.select("_a", "_b", "_its", "_apart", "_w", "_first", F.transform("_r", lambda z: z["_h"]).alias("_r")), "ranked")
+    keys = ranked.select("_a", "_b", "_its", "_apart", "_w", F.size("_r").alias("_m"), F.explode(F.slice("_r", F.lit(1), F.col("_first"))).alias("_k"))
+    x, y = (keys.select("_a", "_k", *(F.col(c).alias(c + side) for c in ("_b", "_its", "_apart", "_w", "_m"))) for side in ("x", "y"))
+    both_keys = x.where("_apartx").join(y, ["_a", "_k"]).where((F.col("_itsx") != F.col("_itsy")) & (F.least("_mx", "_my") >= F.col("_wx") + F.col("_wy") - eps)).select("_a", "_bx", "_by", "_wx", "_wy").distinct()
+    rx, ry = (ranked.select("_a", F.col("_b").alias("_b" + side), F.col("_r").alias("_r" + side)) for side in ("x", "y"))
+    both = saved(both_keys, "shared").join(rx, ["_a", "_bx"]).join(ry, ["_a", "_by"]).where(F.size(F.array_intersect("_rx", "_ry")) >= F.col("_wx") + F.col("_wy") - eps).select(F.col("_bx").alias("_x"), F.col("_by").alias("_y"))
     found = both.unionByName(stars).select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
     return saved(found, "missed")
 
@@ -306,13 +311,13 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
 
         scored = members.join(sizes.select("_node", "_score"), "_node")
         pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
-        stars = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b").select("_a", "_b").distinct()
-        tried = verified(stars)
+        met = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b")
+        tried = verified(met.select("_a", "_b").distinct())
         links = tried.where("_link").select("_a", "_b")
         classes = components(links)
         release(spark)
 
-        pairs = missed(tried, classes, with_texts, threshold)
+        pairs = missed(met, tried, classes, with_texts, threshold)
         if pairs is not None:
             more = verified(pairs).where("_link").select("_a", "_b")
             if more.limit(1).count():
