@@ -7,7 +7,8 @@ Candidates: a sketch samples the few smallest of a text's k-mers of words, label
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ _NODE = "decimal(38,0)"
 _BLOCK = 2048
 
 
-def node_of(text: str | F.Column) -> F.Column:
+def node_of(*values: str | F.Column) -> F.Column:
     """124 bits of hash as one number, which Spark can group, order and join by."""
-    high = F.xxhash64(text).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")
-    return (high + F.pmod(F.xxhash64(text, F.lit(1)), F.lit(10**18)).cast("decimal(18,0)")).cast(_NODE)
+    high = F.xxhash64(*values).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")
+    return (high + F.pmod(F.xxhash64(*values, F.lit(1)), F.lit(10**18)).cast("decimal(18,0)")).cast(_NODE)
 
 
 def most_edits(words: int, threshold: float) -> int:
@@ -162,44 +163,24 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return banded_distance(a, b, most) <= most
 
 
-def pairs_of(words: np.ndarray) -> np.ndarray:
-    """Hashes of the pairs of neighbours; of a single word, the word."""
-    return gram_hashes(words, min(2, max(1, len(words))))
-
-
 def _sketch(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("_t").to_pylist()
         for s, e in slices(texts):
             words, first = word_hashes([normal(t) for t in texts[s:e]])
             out = [keys_of(words[first[k] : first[k + 1]], threshold).view(np.int64) for k in range(e - s)]
-            yield pa.RecordBatch.from_arrays([batch.column("_id").slice(s, e - s), batch.column("_node").slice(s, e - s), batch.column("_row").slice(s, e - s), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in ("_id", "_node", "_row")] + [pa.array(np.diff(first), pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["_id", "_node", "_row", "_words", "_keys"])
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[tuple[np.ndarray, np.ndarray]]]]:
-    """(batch, from, words of the pairs _ta and _tb) of a bounded number of rows at a time."""
+def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The pairs (_a, _b, _ta, _tb) that are links."""
     for batch in batches:
         left, right = batch.column("_ta").to_pylist(), batch.column("_tb").to_pylist()
         for s, e in slices([a + b for a, b in zip(left, right)]):
             wa, fa = word_hashes([normal(t) for t in left[s:e]])
             wb, fb = word_hashes([normal(t) for t in right[s:e]])
-            yield batch, s, [(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]]) for k in range(e - s)]
-
-
-def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Whether pairs are links; how many labelled pairs of neighbours only one of the two has; the words of the second."""
-    for batch, s, rows in _aligned(batches):
-        links = [similar(a, b, threshold) for a, b in rows]
-        grams = [(pairs_of(a), pairs_of(b)) for a, b in rows]
-        apart = [len(x) + len(y) - 2 * common(x, y) for x, y in grams]
-        yield pa.RecordBatch.from_arrays([batch.column("_a").slice(s, len(rows)), batch.column("_b").slice(s, len(rows)), pa.array(links, pa.bool_()), pa.array(apart, pa.int64()), pa.array([len(b) for _, b in rows], pa.int64())], ["_a", "_b", "_link", "_d", "_n"])
-
-
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The labelled pairs of neighbours that only one of the two texts has."""
-    for batch, s, rows in _aligned(batches):
-        out = [np.setxor1d(labelled(pairs_of(a)), labelled(pairs_of(b)), assume_unique=True).view(np.int64) for a, b in rows]
-        yield pa.RecordBatch.from_arrays([batch.column("_a").slice(s, len(rows)), batch.column("_b").slice(s, len(rows)), pa.array(out, pa.list_(pa.int64()))], ["_a", "_b", "_diff"])
+            links = pa.array([similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s).filter(links) for c in ("_a", "_b")], ["_a", "_b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -223,58 +204,17 @@ def components(edges: DataFrame) -> DataFrame:
             release(spark)
 
 
-def missed(met: DataFrame, tried: DataFrame, classes: DataFrame, with_texts: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame | None:
-    """Pairs (_a, _b) of texts that may be a link though neither star nor component joins them, among texts that share a bucket (met: _bucket, its pivot _a, _b) and so were compared with its pivot; None without any.
-
-    Only buckets whose texts beside the pivot are of two classes or more have such a pair. A text x is known by its pivot and its differences D(x): the labelled pairs of neighbouring words that only one of x and the pivot has. An edit changes four of them at most, and a link has (1 - t) / (1 + t) of both texts' words of edits at most, so x and y can be a link only if D(x) and D(y) share w(x) + w(y), with w = |D| / 2 - 2 (1 - t) / (1 + t) words. The numbers alone rule out nearly all; of the rest, two texts that share that many differences share one of the rarest |D| - w(x) - w(y) + 1 of each, so these are joined, difference by difference: texts that have nothing rare in common never meet. Where the bound is zero or less (texts with the pivot's words in another order, and those just below the threshold), the one nearest to the pivot is a pivot for the others.
-    """
-    share = 2 * (1 - threshold) / (1 + threshold)
-    eps = F.lit(1e-6)
-    own = classes.select(F.col("_node").alias("_b"), F.col("_class").alias("_its"))
-    main = classes.select(F.col("_node").alias("_a"), F.col("_class").alias("_main"))
-    classed = saved(met.join(own, "_b", "left").withColumn("_its", F.coalesce("_its", "_b")), "met")
-    mixed = classed.groupBy("_bucket").agg(F.min("_its").alias("_one"), F.max("_its").alias("_other")).where("_one <> _other").select("_bucket")
-    tried = tried.join(classed.join(mixed, "_bucket").select("_a", "_b").distinct(), ["_a", "_b"])
-    rows = tried.join(own, "_b", "left").join(main, "_a", "left").select("_a", "_b", F.coalesce("_its", "_b").alias("_its"), (F.coalesce("_its", "_b") != F.coalesce("_main", "_a")).alias("_apart"), F.col("_d").cast("double").alias("_d"), (F.col("_d") / 2 - share * F.col("_n")).alias("_w"))
-    rows = saved(rows.withColumn("_v", F.col("_d") - F.col("_w")), "placed")
-    apart = F.col("_apart")
-    bounds = rows.groupBy("_a").agg(F.max(F.struct("_v", "_b")).alias("_top"), F.min("_w").alias("_low"), F.max(F.when(apart, F.col("_v"))).alias("_v_apart"), F.min(F.when(apart, F.col("_w"))).alias("_w_apart"), F.count(F.lit(1)).alias("_of")).where("_w_apart is not null and _of > 1")
-    bounds = saved(bounds, "bounds")
-    near = rows.join(bounds, "_a")
-    second = near.where("_b <> _top._b").groupBy("_a").agg(F.max("_v").alias("_next"))
-    best = F.when(F.col("_b") == F.col("_top._b"), F.col("_next")).otherwise(F.col("_top._v"))
-    near = near.join(second, "_a").where(F.when(apart, (F.col("_w") <= best + eps) & (F.col("_low") <= F.col("_v") + eps)).otherwise((F.col("_w") <= F.col("_v_apart") + eps) & (F.col("_w_apart") <= F.col("_v") + eps)))
-    near = saved(near.select("_a", "_b", "_its", "_apart", "_d", "_w"), "near")
-    left = near.groupBy("_a").agg(F.count_if("_apart").alias("_n_apart"), F.count(F.lit(1)).alias("_of"), F.min("_w").alias("_low")).where("_n_apart > 0 and _of > 1").select("_a", "_low")
-    near = saved(near.join(left, "_a"), "open")
-    if not near.limit(1).count():
-        return None
-
-    loose = near.where(F.col("_w") + F.col("_low") <= eps)
-    pivot = loose.where("_apart").groupBy("_a").agg(F.min(F.struct("_d", "_b", "_its")).alias("_p"))
-    stars = loose.join(pivot, "_a").where("_its <> _p._its").select(F.col("_p._b").alias("_x"), F.col("_b").alias("_y"))
-
-    known = saved(with_texts(near.select("_a", "_b")).mapInArrow(_differences, f"_a {_NODE}, _b {_NODE}, _diff array<bigint>"), "differences")
-    each = known.select("_a", "_b", F.explode("_diff").alias("_h"))
-    often = each.groupBy("_a", "_h").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
-    ranked = each.join(often, ["_a", "_h"]).groupBy("_a", "_b").agg(F.sort_array(F.collect_list(F.struct("_f", "_h"))).alias("_r"))
-    # differences that no other text of the pivot has come first in the order, and are shared with none
-    needed = F.greatest(F.lit(1), F.ceil(F.col("_w") + F.col("_low") - eps)).cast("int")
-    ranked = near.join(ranked, ["_a", "_b"]).withColumn("_first", F.size("_r") - needed + 1).where("_first > 0")
-    ranked = saved(ranked.select("_a", "_b", "_its", "_apart", "_w", "_first", F.transform("_r", lambda z: z["_h"]).alias("_r")), "ranked")
-    keys = ranked.select("_a", "_b", "_its", "_apart", "_w", F.size("_r").alias("_m"), F.explode(F.slice("_r", F.lit(1), F.col("_first"))).alias("_k"))
-    x, y = (keys.select("_a", "_k", *(F.col(c).alias(c + side) for c in ("_b", "_its", "_apart", "_w", "_m"))) for side in ("x", "y"))
-    both_keys = x.where("_apartx").join(y, ["_a", "_k"]).where((F.col("_itsx") != F.col("_itsy")) & (F.least("_mx", "_my") >= F.col("_wx") + F.col("_wy") - eps)).select("_a", "_bx", "_by", "_wx", "_wy").distinct()
-    rx, ry = (ranked.select("_a", F.col("_b").alias("_b" + side), F.col("_r").alias("_r" + side)) for side in ("x", "y"))
-    both = saved(both_keys, "shared").join(rx, ["_a", "_bx"]).join(ry, ["_a", "_by"]).where(F.size(F.array_intersect("_rx", "_ry")) >= F.col("_wx") + F.col("_wy") - eps).select(F.col("_bx").alias("_x"), F.col("_by").alias("_y"))
-    found = both.unionByName(stars).select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
-    return saved(found, "missed")
+def pairs_with(members: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """(_a, _b), each once, of the pivots (_bucket, _p: _node, _words, _its) and the members (_bucket, _node, _words, _its) of other classes that are long enough to be links: words that one text has more are edits."""
+    longer, shorter = F.greatest("_words", "_p._words"), F.least("_words", "_p._words")
+    met = members.join(pivots.hint("merge"), "_bucket").where((F.col("_its") != F.col("_p._its")) & (longer - shorter <= (1 - threshold) * longer + 1e-9))
+    return met.select(F.least("_node", "_p._node").alias("_a"), F.greatest("_node", "_p._node").alias("_b")).distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """_id, class_id (the smallest id of its class), class_size and kept (whether it is the row that stays) of every row.
 
-    Equal texts are one node. Each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Links that such stars miss, between texts of one pivot that are then in different components, are found from the differences to the pivot (see missed) and verified too. No bucket is capped and no candidate dropped.
+    Equal texts are one node. First each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Then, round by round, another member of each bucket that isn't of one class yet is the pivot for the members of other classes, until a round joins no classes: a link shares several buckets and has a new chance in each of them every round. No bucket is capped; a round is linear in the buckets' members, however large one is.
 
     Cases: null and empty texts are one class. Texts without words are in a class with equal texts alone. The row that stays has the smallest id of its class, and of texts with that id the one of the smallest hash; rows that repeat it all are marked. Null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
@@ -287,12 +227,12 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumns({"_node": node_of("_t"), "_row": F.xxhash64("_id", "_t")})
     with scratch(spark) as kept:
-        sketched = saved(rows.mapInArrow(lambda x: _sketch(x, threshold), f"_id {kind}, _node {_NODE}, _row bigint, _keys array<bigint>"), "sketches")
-        distinct = sketched.groupBy("_node").agg(F.first("_keys").alias("_keys"), F.min("_row").alias("_row"))
-        entries = distinct.select("_node", "_row", F.explode(F.array_distinct("_keys")).alias("_bucket"))
+        sketched = saved(rows.mapInArrow(lambda x: _sketch(x, threshold), f"_id {kind}, _node {_NODE}, _row bigint, _words bigint, _keys array<bigint>"), "sketches")
+        distinct = sketched.groupBy("_node").agg(F.first("_words").alias("_words"), F.first("_keys").alias("_keys"), F.min("_row").alias("_row"))
+        entries = distinct.select("_node", "_words", "_row", F.explode(F.array_distinct("_keys")).alias("_bucket"))
         # what a join looks up is written first: both sides are then plain shuffles, which Spark can split at a hot key
         shared = saved(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "shared")
-        members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_row"), "buckets")
+        members = saved(entries.join(shared.hint("merge"), "_bucket").select("_bucket", "_n", "_node", "_words", "_row"), "buckets")
         release(spark)
 
         # one row of each text, so that copies of a text don't meet; merged at every size, since the table of texts grows with the input
@@ -300,30 +240,34 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
         texts = saved(rows.select("_node", "_row", "_t").join(sizes.select("_node", "_row").hint("merge"), ["_node", "_row"]).groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
         release(spark)
 
-        def with_texts(pairs: DataFrame) -> DataFrame:
+        def verified(pairs: DataFrame) -> DataFrame:
             a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
             b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
-            return pairs.select("_a", "_b").join(a, "_a").join(b, "_b")
-
-        def verified(pairs: DataFrame) -> DataFrame:
-            schema = f"_a {_NODE}, _b {_NODE}, _link boolean, _d bigint, _n bigint"
-            return saved(with_texts(pairs).mapInArrow(lambda x: _verify(x, threshold), schema), "pairs")
-
-        scored = members.join(sizes.select("_node", "_score"), "_node")
-        pivot = saved(scored.groupBy("_bucket").agg(F.max(F.struct("_score", "_node")).alias("_p")).select("_bucket", F.col("_p._node").alias("_a")), "pivots")
-        met = members.select("_bucket", F.col("_node").alias("_b")).join(pivot.hint("merge"), "_bucket").where("_a <> _b")
-        tried = verified(met.select("_a", "_b").distinct())
-        links = tried.where("_link").select("_a", "_b")
-        classes = components(links)
-        release(spark)
-
-        pairs = missed(met, tried, classes, with_texts, threshold)
-        if pairs is not None:
-            more = verified(pairs).where("_link").select("_a", "_b")
-            if more.limit(1).count():
-                classes = components(links.unionByName(more))
-        release(spark)
-
+            return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), f"_a {_NODE}, _b {_NODE}"), "found")
+
+        # each text is a class of its own at first
+        left = members.join(sizes.select("_node", "_score"), "_node").select("_bucket", "_node", "_words", "_score", F.col("_node").alias("_its"))
+        links: DataFrame | None = None
+        tried: DataFrame | None = None
+        for turn in count():
+            first = F.col("_score") if not turn else F.xxhash64("_bucket", "_node", F.lit(turn))
+            pivots = saved(left.groupBy("_bucket").agg(F.max(F.struct(first.alias("_first"), "_node", "_words", "_its")).alias("_p")), "pivots")
+            pairs = pairs_with(left, pivots, threshold)
+            pairs = saved(pairs if tried is None else pairs.join(tried.hint("merge"), ["_a", "_b"], "left_anti"), "pairs")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            found = verified(pairs)
+            if not found.limit(1).count():
+                break
+            links = found if links is None else links.unionByName(found)
+            classes = components(links)
+            release(spark)
+            # buckets of several classes are left
+            again = left.drop("_its").join(classes.withColumnRenamed("_class", "_its"), "_node", "left").withColumn("_its", F.coalesce("_its", "_node"))
+            mixed = again.groupBy("_bucket").agg(F.min("_its").alias("_low"), F.max("_its").alias("_high")).where("_low <> _high").select("_bucket")
+            left = saved(again.join(mixed.hint("merge"), "_bucket"), "left")
+            release(spark)
+        if links is None:
+            classes = spark.createDataFrame([], f"_node {_NODE}, _class {_NODE}")
         placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", "_node", F.coalesce("_class", "_node").alias("_class")), "placed"))
         first = F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id").alias("_id"), F.col("_node").alias("_node")))
         groups = kept(saved(placed.groupBy("_class").agg(first.alias("_first"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
