@@ -8,7 +8,6 @@ Candidates: a sketch samples the few smallest of a text's k-mers of words, label
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,8 @@ KMER, SAMPLE, SKETCHES = 2, 3, 40
 #: The same of texts of fewer words. Texts of LONG words to LONG / threshold have both, since a link joins texts of like length.
 SHORT_KMER, SHORT_SAMPLE, SHORT_SKETCHES = 1, 4, 28
 LONG = 40
+#: How often buckets of several classes are searched again, and with how many pivots each.
+TURNS, PIVOTS = 2, 4
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -173,55 +174,65 @@ def _sketch(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """The pairs (_a, _b, _ta, _tb) that are links."""
+    """The pairs (with their texts _ta, _tb) that are links."""
+    ends = ["_a", "_b", "_ia", "_ib"]
     for batch in batches:
         left, right = batch.column("_ta").to_pylist(), batch.column("_tb").to_pylist()
         for s, e in slices([a + b for a, b in zip(left, right)]):
             wa, fa = word_hashes([normal(t) for t in left[s:e]])
             wb, fb = word_hashes([normal(t) for t in right[s:e]])
             links = pa.array([similar(wa[fa[k] : fa[k + 1]], wb[fb[k] : fb[k + 1]], threshold) for k in range(e - s)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s).filter(links) for c in ("_a", "_b")], ["_a", "_b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s).filter(links) for c in ends], ends)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """_node, _class (its component's smallest node) of all nodes of the edges (_a, _b). Nothing is gathered on the driver but a count per round.
+    """_node, _class (its component's smallest node) of all nodes of the edges (_a, _b). Nothing is gathered on the driver but a count per step.
 
-    Each round takes the smallest class among neighbours, then the class of that class, so long paths halve.
+    Each round every node points to its smallest neighbour if that is smaller, pointers are followed to their roots by doubling, and the roots take the place of their nodes in the edges: what is left are the few edges between different roots.
     """
     spark = edges.sparkSession
     with scratch(spark) as kept:
-        both = saved(edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct(), "links")
-        classes = both.groupBy(F.col("_a").alias("_node")).agg(F.least(F.min("_b"), F.first("_a")).alias("_class"))
-        classes = saved(classes, "classes")
-        while True:
-            near = both.join(classes.withColumnRenamed("_node", "_b"), "_b").groupBy(F.col("_a").alias("_node")).agg(F.min("_class").alias("_near"))
-            lower = classes.join(near, "_node").select("_node", F.col("_class").alias("_was"), F.least("_class", "_near").alias("_class"))
-            jump = classes.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
-            new = saved(lower.join(jump, "_class", "left").select("_node", F.least("_class", F.coalesce("_up", "_class")).alias("_class"), "_was"), "classes")
-            if not new.where("_class <> _was").limit(1).count():
-                return kept(new).select("_node", "_class")
-            classes = new.select("_node", "_class")
+        left = saved(edges.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).where("_a <> _b").distinct(), "links")
+        classes = None
+        while left.limit(1).count():
+            both = left.unionByName(left.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
+            to = saved(both.groupBy("_a").agg(F.min("_b").alias("_b")).select(F.col("_a").alias("_node"), F.least("_a", "_b").alias("_to")), "pointers")
+            moved = True
+            while moved:
+                up = to.select(F.col("_node").alias("_to"), F.col("_to").alias("_up"))
+                new = saved(to.select("_node", "_to").join(up, "_to").select("_node", F.col("_up").alias("_to"), (F.col("_up") < F.col("_to")).alias("_moved")), "pointers")
+                moved, to = bool(new.where("_moved").limit(1).count()), new.select("_node", "_to")
+            step = to.select(F.col("_node").alias("_class"), F.col("_to").alias("_up"))
+            classes = to.withColumnRenamed("_to", "_class") if classes is None else saved(classes.join(step, "_class", "left").select("_node", F.coalesce("_up", "_class").alias("_class")), "classes")
+            ends = [to.select(F.col("_node").alias(c), F.col("_to").alias(f"{c}_to")) for c in ("_a", "_b")]
+            across = left.join(ends[0], "_a").join(ends[1], "_b").where("_a_to <> _b_to")
+            left = saved(across.select(F.least("_a_to", "_b_to").alias("_a"), F.greatest("_a_to", "_b_to").alias("_b")).distinct(), "links")
             release(spark)
+        if classes is None:
+            classes = spark.createDataFrame([], f"_node {edges.schema['_a'].dataType.simpleString()}, _class {edges.schema['_a'].dataType.simpleString()}")
+        return kept(saved(classes, "classes"))
 
 
 def pairs_with(members: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
-    """(_a, _b), each once, of the pivots (_bucket, _p: _node, _words, _its) and the members (_bucket, _node, _words, _its) of other classes that are long enough to be links: words that one text has more are edits."""
+    """(_a, _b, their classes _ia, _ib), each pair once, of the pivots (_bucket, _p: _node, _words, _its) and the members (_bucket, _node, _words, _its) of other classes that are long enough to be links: words that one text has more are edits."""
     longer, shorter = F.greatest("_words", "_p._words"), F.least("_words", "_p._words")
     met = members.join(pivots.hint("merge"), "_bucket").where((F.col("_its") != F.col("_p._its")) & (longer - shorter <= (1 - threshold) * longer + 1e-9))
-    return met.select(F.least("_node", "_p._node").alias("_a"), F.greatest("_node", "_p._node").alias("_b")).distinct()
+    first = F.col("_node") < F.col("_p._node")
+    ends = [F.least("_node", "_p._node").alias("_a"), F.greatest("_node", "_p._node").alias("_b")]
+    return met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_p._its")).alias("_ia"), F.when(first, F.col("_p._its")).otherwise(F.col("_its")).alias("_ib")).distinct()
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, turns: int = TURNS) -> DataFrame:
     """_id, class_id (the smallest id of its class), class_size and kept (whether it is the row that stays) of every row.
 
-    Equal texts are one node. First each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Then, round by round, another member of each bucket that isn't of one class yet is the pivot for the members of other classes, until a round joins no classes: a link shares several buckets and has a new chance in each of them every round. No bucket is capped; a round is linear in the buckets' members, however large one is.
+    Equal texts are one node. First each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Then, `turns` times, PIVOTS other members of each bucket that isn't of one class yet are pivots for its members of other classes: a link shares several buckets and has new chances in each of them. No bucket is capped; a turn is linear in the buckets' members, however large one is.
 
     Cases: null and empty texts are one class. Texts without words are in a class with equal texts alone. The row that stays has the smallest id of its class, and of texts with that id the one of the smallest hash; rows that repeat it all are marked. Null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
-    return _judged(docs, id_col, text_col, threshold).drop("_node")
+    return _judged(docs, id_col, text_col, threshold, turns).drop("_node")
 
 
-def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, turns: int = TURNS) -> DataFrame:
     """The rows of near_classes, and _node, the hash of the row's text."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -241,33 +252,37 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
         release(spark)
 
         def verified(pairs: DataFrame) -> DataFrame:
-            a = texts.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
-            b = texts.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
-            return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), f"_a {_NODE}, _b {_NODE}"), "found")
+            ends = pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
+            some = saved(texts.join(ends, "_node", "left_semi"), "some")
+            a = some.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
+            b = some.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
+            return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), f"_a {_NODE}, _b {_NODE}, _ia {_NODE}, _ib {_NODE}"), "found")
 
         # each text is a class of its own at first
         left = members.join(sizes.select("_node", "_score"), "_node").select("_bucket", "_node", "_words", "_score", F.col("_node").alias("_its"))
-        links: DataFrame | None = None
-        tried: DataFrame | None = None
-        for turn in count():
-            first = F.col("_score") if not turn else F.xxhash64("_bucket", "_node", F.lit(turn))
-            pivots = saved(left.groupBy("_bucket").agg(F.max(F.struct(first.alias("_first"), "_node", "_words", "_its")).alias("_p")), "pivots")
-            pairs = pairs_with(left, pivots, threshold)
+        classes = tried = None
+        for turn in range(turns + 1):
+            orders = [F.xxhash64("_bucket", "_node", F.lit(turn), F.lit(k)) for k in range(PIVOTS)] if turn else [F.col("_score")]
+            chosen = left.groupBy("_bucket").agg(*(F.max(F.struct(o.alias("_first"), "_node", "_words", "_its")).alias(f"_p{k}") for k, o in enumerate(orders)))
+            each = F.array_distinct(F.array(*(F.struct(f"_p{k}._node", f"_p{k}._words", f"_p{k}._its") for k in range(len(orders)))))
+            pairs = pairs_with(left, saved(chosen.select("_bucket", F.explode(each).alias("_p")), "pivots"), threshold)
             pairs = saved(pairs if tried is None else pairs.join(tried.hint("merge"), ["_a", "_b"], "left_anti"), "pairs")
-            tried = pairs if tried is None else tried.unionByName(pairs)
+            tried = pairs.select("_a", "_b") if tried is None else tried.unionByName(pairs.select("_a", "_b"))
             found = verified(pairs)
-            if not found.limit(1).count():
-                break
-            links = found if links is None else links.unionByName(found)
-            classes = components(links)
+            joined = components(found.select(F.col("_ia").alias("_a"), F.col("_ib").alias("_b")))
             release(spark)
-            # buckets of several classes are left
-            again = left.drop("_its").join(classes.withColumnRenamed("_class", "_its"), "_node", "left").withColumn("_its", F.coalesce("_its", "_node"))
-            mixed = again.groupBy("_bucket").agg(F.min("_its").alias("_low"), F.max("_its").alias("_high")).where("_low <> _high").select("_bucket")
-            left = saved(again.join(mixed.hint("merge"), "_bucket"), "left")
-            release(spark)
-        if links is None:
-            classes = spark.createDataFrame([], f"_node {_NODE}, _class {_NODE}")
+            step = joined.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
+            if classes is None:
+                classes = joined
+            else:
+                moved = classes.join(step, "_class", "left").select("_node", F.coalesce("_up", "_class").alias("_class"))
+                classes = saved(moved.unionByName(joined.join(classes, "_node", "left_anti")), "classes")
+            if turn < turns:  # buckets of several classes are left
+                again = left.join(step.withColumnRenamed("_class", "_its"), "_its", "left").withColumn("_its", F.coalesce("_up", "_its")).drop("_up")
+                mixed = again.groupBy("_bucket").agg(F.min("_its").alias("_low"), F.max("_its").alias("_high")).where("_low <> _high").select("_bucket")
+                left = saved(again.join(mixed.hint("merge"), "_bucket"), "left")
+                release(spark)
+
         placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", "_node", F.coalesce("_class", "_node").alias("_class")), "placed"))
         first = F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id").alias("_id"), F.col("_node").alias("_node")))
         groups = kept(saved(placed.groupBy("_class").agg(first.alias("_first"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "groups"))
