@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.functions.vocabulary import BLANKS, CONSONANTS, STOCK_WORDS
+from weftline.functions.vocabulary import BLANKS, CONSONANTS, MENU_HOME, MENU_MARK, STOCK_WORDS
 
 _SPACE = "[\\s\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\u0085\\u001c-\\u001f]"
 
@@ -83,7 +83,11 @@ def absolute_url(base: str, href: Column) -> Column:
 
 def category_text(x: Column) -> Column:
     """Link text of a category, without the mark before and 'home' after it."""
-    return strip(F.regexp_replace(_or_blank(x), "^[«\\s]+|\\s*(முதல் பக்கம்|Home|home)\\s*$", ""))
+    name = strip(F.ltrim(_or_blank(x), F.lit(MENU_MARK + _BLANKS)))
+    bare = name
+    for home in reversed(MENU_HOME):
+        bare = F.when(F.endswith(name, F.lit(home)), F.left(name, F.length(name) - len(home))).otherwise(bare)
+    return strip(bare)
 
 
 def skeleton(x: Column) -> Column:
@@ -138,24 +142,28 @@ def cell_text(x: Column, most: int = 32767) -> Column:
 
 
 def sentences(line: Column, least: int = 15) -> Column:
-    """The sentences of a line. A piece joins the one before it if that is shorter than `least` characters or ends in an abbreviation (a last word with a dot inside). The control character U+0001 is dropped."""
+    """The sentences of a line. A piece joins the one before it if that is shorter than `least` characters or ends in an abbreviation (a last word with a dot inside). The control character U+0001 is dropped.
 
-    def joins(last: Column) -> Column:
-        word = F.substring_index(F.translate(last, _BLANKS, " " * len(_BLANKS)), " ", -1)
-        return (F.length(last) < least) | (last.endswith(".") & F.contains(F.rtrim(word, F.lit(".")), F.lit(".")))
-
-    # pieces are gathered in one string with a separator, which costs a copy of text and not of arrays each step
-    def fold(state: Column, part: Column) -> Column:
-        more = joins(state["last"])
-        done = F.when(state["first"] | more, state["done"]).otherwise(F.concat(state["done"], state["last"], F.lit(_BETWEEN)))
-        last = F.when(state["first"], part).when(more, F.concat_ws(" ", state["last"], part)).otherwise(part)
-        return F.struct(done.alias("done"), last.alias("last"), F.lit(False).alias("first"))
-
-    start = F.struct(F.lit("").alias("done"), F.lit("").alias("last"), F.lit(True).alias("first"))
+    Whether a piece joins depends on the length so far and the end of the piece before it: the fold carries these and a mark for each piece, and the text is put together once, so the time grows with its length.
+    """
     clean = F.translate(_or_blank(line), _BETWEEN, "")
     parts = F.split(strip(clean), f"(?<=[.?!।]){_SPACE}+")
-    merged = F.split(F.aggregate(parts, start, fold, lambda s: F.concat(s["done"], s["last"])), _BETWEEN)
-    return F.filter(merged, lambda s: strip(s) != "")
+
+    def shape(part: Column) -> Column:
+        word = F.substring_index(F.translate(part, _BLANKS, " " * len(_BLANKS)), " ", -1)
+        return F.struct(F.length(part).alias("size"), (part.endswith(".") & F.contains(F.rtrim(word, F.lit(".")), F.lit("."))).alias("short"))
+
+    def fold(state: Column, part: Column) -> Column:
+        joins = (state["size"] < least) | state["short"]
+        # the first piece joins nothing, and its mark isn't read
+        size = F.when(joins & (state["marks"] != ""), state["size"] + 1 + part["size"]).otherwise(part["size"])
+        return F.struct(size.alias("size"), part["short"].alias("short"), F.concat(state["marks"], F.when(joins, " ").otherwise(_BETWEEN)).alias("marks"))
+
+    start = F.struct(F.lit(0).alias("size"), F.lit(False).alias("short"), F.lit("").alias("marks"))
+    marks = F.split(F.aggregate(F.transform(parts, shape), start, fold, lambda s: s["marks"]), "")
+    both = F.transform(F.arrays_zip(parts.alias("part"), marks.alias("mark")), lambda x: F.concat(x["mark"], x["part"]))
+    whole = F.array_join(both, "")
+    return F.filter(F.split(F.substr(whole, F.lit(2)), _BETWEEN), lambda s: strip(s) != "")
 
 
 def apply_glossary(x: Column, terms: dict[str, str]) -> Column:

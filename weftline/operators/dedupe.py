@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 Order = Sequence[str | Column]
@@ -17,18 +18,21 @@ def _required(order: Order) -> list:
     return list(order)
 
 
+def _ranked(df: DataFrame, order: Order) -> Column:
+    """What rows are compared by: the order, then all their columns (of maps, the sorted entries)."""
+    at = [F.col(c) if isinstance(c, str) else c for c in _required(order)]
+    every = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in df.schema]
+    return F.struct(*(c.alias(f"_o{i}") for i, c in enumerate([*at, *every])))
+
+
 def keep_first(df: DataFrame, key: Sequence[str], order: Order) -> DataFrame:
     """The first row of each key, by aggregation: rows meet before the shuffle and no group is sorted. Rows that tie in the order are told apart by all their columns."""
-    at = [F.col(c) if isinstance(c, str) else c for c in _required(order)]
-    ranked = F.struct(*(c.alias(f"_o{i}") for i, c in enumerate(at)), F.struct(*df.columns).alias("_row"))
-    return df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(F.min(ranked).alias("_first")).select("_first._row.*")
+    return df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(F.min_by(F.struct(*df.columns), _ranked(df, order)).alias("_row")).select("_row.*")
 
 
 def keep_last(df: DataFrame, key: Sequence[str], order: Order) -> DataFrame:
     """The last row of each key."""
-    at = [F.col(c) if isinstance(c, str) else c for c in _required(order)]
-    ranked = F.struct(*(c.alias(f"_o{i}") for i, c in enumerate(at)), F.struct(*df.columns).alias("_row"))
-    return df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(F.max(ranked).alias("_last")).select("_last._row.*")
+    return df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(F.max_by(F.struct(*df.columns), _ranked(df, order)).alias("_row")).select("_row.*")
 
 
 def first_slot_first_value(df: DataFrame, key: Sequence[str], order: str, value: str) -> DataFrame:

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared folder of spark.checkpoint.dir; where that is unset (tests), to a local one."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+    """The same rows, written to the shared folder of spark.checkpoint.dir. Where that is unset, a local folder will do on a local master, as in tests; a cluster must set it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="weftline-"))
     return df.checkpoint()

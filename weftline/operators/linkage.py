@@ -5,12 +5,14 @@ Two equi-joins make the candidates: the pincode, and, only for records whose bes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weftline.functions.scoring import score_link
 from weftline.functions.text import confidence, latin_skeleton, name_skeletons, ngrams, pincode, skeleton
 from weftline.operators.dedupe import best_two
+from weftline.operators.lineage import cut
 
 #: A pincode candidate of this score makes the wider search unnecessary.
 GOOD = 0.8
@@ -32,8 +34,13 @@ def prepare_records(records: DataFrame) -> DataFrame:
     )
 
 
+def _in_latin(place: Column) -> Column:
+    return F.coalesce(place, F.lit("")).rlike("[A-Za-z]{3}")
+
+
 def prepare_register(register: DataFrame) -> DataFrame:
-    """Skeletons of the register, computed once a row; reg_ord is its place."""
+    """Skeletons of the register, computed once a row; reg_ord is its place. Places that are given in Latin letters are compared as they are, others after their glyphs are repaired."""
+    latin = F.transform("places_raw", _in_latin)
     return register.select(
         "reg_ord",
         "tm",
@@ -43,14 +50,14 @@ def prepare_register(register: DataFrame) -> DataFrame:
         F.col("pincode").alias("reg_pin"),
         skeleton(F.col("name")).alias("reg_name"),
         skeleton(F.array_join("places", " ")).alias("reg_places"),
-        "places_raw",
-        "places",
+        latin.alias("latin"),
+        F.zip_with("places_raw", "places", lambda raw, fixed: F.when(_in_latin(raw), latin_skeleton(raw)).otherwise(skeleton(fixed))).alias("place_keys"),
     )
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
     same = (F.col("pin") != "") & (F.col("reg_pin") == F.col("pin"))
-    return pairs.withColumn("same_pin", same).withColumn("score", score_link("names", "town", "town_latin", "reg_name", "places_raw", "places", "same_pin"))
+    return pairs.withColumn("same_pin", same).withColumn("score", score_link("names", "town", "town_latin", "reg_name", "latin", "place_keys", "same_pin"))
 
 
 def by_pincode(rec: DataFrame, reg: DataFrame) -> DataFrame:
@@ -59,20 +66,37 @@ def by_pincode(rec: DataFrame, reg: DataFrame) -> DataFrame:
     return _scored(pairs).withColumns({"branch": F.lit(0), "tie": F.col("reg_ord")})
 
 
+def town_pairs(rec: DataFrame, reg: DataFrame) -> DataFrame:
+    """(rec_ord, reg_ord, hits, tie) of records and register rows that share all or all but one of the town's trigrams, repeated ones counted as often as they occur on both sides; tie is the place of the first shared one.
+
+    A record of n trigrams needs n - 1 hits. A register row in which no trigram occurs more than m times gives m hits for each of the record's at most, so it shares (n - 1) / m of them, and one of the record's n + 1 - (n - 1) / m rarest: only these are joined. Common endings of towns are never the key unless a town has nothing else.
+    """
+    ours = rec.select("rec_ord", ngrams(F.col("town")).alias("grams"))
+    theirs = reg.select("reg_ord", ngrams(F.col("reg_places")).alias("all"))
+    one = theirs.select("reg_ord", F.explode("all").alias("gram")).groupBy("reg_ord", "gram").agg(F.count(F.lit(1)).alias("times"))
+    most = one.groupBy("reg_ord").agg(F.max("times").alias("m"))
+    often = one.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"))
+    rarest = Window.partitionBy("rec_ord").orderBy("rows", "at")
+    places = ours.select("rec_ord", F.size("grams").alias("n"), F.posexplode("grams").alias("at", "gram")).join(often, "gram", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    ranked = places.withColumn("rank", F.row_number().over(rarest)).where("rows > 0").select("rec_ord", "n", "gram", "rank")
+    needed = F.greatest(F.lit(1), F.ceil((F.col("n") - 1) / F.col("m")))
+    met = ranked.join(one.select("reg_ord", "gram").join(most, "reg_ord"), "gram").where(F.col("rank") <= F.col("n") - needed + 1).select("rec_ord", "reg_ord").distinct()
+    both = met.join(ours, "rec_ord").join(theirs, "reg_ord")
+    times = F.transform("grams", lambda g: F.size(F.filter("all", lambda t: t == g)))
+    counted = both.select("rec_ord", "reg_ord", F.size("grams").alias("n"), times.alias("times")).select("rec_ord", "reg_ord", "n", F.aggregate("times", F.lit(0), lambda s, x: s + x).alias("hits"), F.expr("array_position(transform(times, x -> x > 0), true) - 1").alias("tie"))
+    return counted.where(F.col("hits") >= F.greatest(F.lit(1), F.col("n") - 1)).select("rec_ord", "reg_ord", "hits", "tie")
+
+
 def by_town(rec: DataFrame, reg: DataFrame) -> DataFrame:
-    """Candidates that share all or all but one of the town's trigrams, repeated ones counted as often as they occur on both sides, and that the pincode has not given. Ties are in the order of the first shared trigram, then of the register."""
-    ours = rec.select("rec_ord", "pin", F.size(ngrams(F.col("town"))).alias("n"), F.posexplode(ngrams(F.col("town"))).alias("at", "gram"))
-    theirs = reg.select("reg_ord", "reg_pin", F.explode(ngrams(F.col("reg_places"))).alias("gram"))
-    hits = ours.join(theirs, "gram").groupBy("rec_ord", "reg_ord", "pin", "reg_pin", "n").agg(F.count(F.lit(1)).alias("hits"), F.min("at").alias("tie"))
-    wanted = hits.where((F.col("hits") >= F.greatest(F.lit(1), F.col("n") - 1)) & ~((F.col("pin") != "") & (F.col("reg_pin") == F.col("pin"))))
-    pairs = rec.join(wanted.select("rec_ord", "reg_ord", "tie"), "rec_ord").join(reg, "reg_ord")
-    return _scored(pairs).withColumns({"branch": F.lit(1), "tie": F.col("tie").cast("long")})
+    """Candidates that share the town's trigrams (see town_pairs) and that the pincode has not given. Ties are in the order of the first shared trigram, then of the register."""
+    pairs = rec.join(town_pairs(rec, reg).select("rec_ord", "reg_ord", "tie"), "rec_ord").join(reg, "reg_ord")
+    return _scored(pairs.where(~((F.col("pin") != "") & (F.col("reg_pin") == F.col("pin"))))).withColumn("branch", F.lit(1))
 
 
 def link(records: DataFrame, register: DataFrame) -> DataFrame:
     """One row per record: its best register row with score, runner_up and confidence (exact, likely, none); tid and hrce_no only if linked. Columns that are unset are null; the CSV sink writes them as ''."""
     rec, reg = prepare_records(records), prepare_register(register)
-    first = by_pincode(rec, reg)
+    first = cut(by_pincode(rec, reg))  # scored once, read twice
     strong = first.groupBy("rec_ord").agg(F.max("score").alias("best")).where(F.col("best") >= GOOD).select("rec_ord")
     weak = rec.where("length(town) >= 3").join(strong, "rec_ord", "left_anti")
     columns = ["rec_ord", "reg_ord", "tm", "tid", "register_name", "register_place", "same_pin", "score", "branch", "tie"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -9,6 +10,7 @@ from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from pyspark.sql.window import Window
 from weftline.functions.scoring import split_long
 from weftline.functions.text import apply_glossary, apply_rules, content_hash, has_tamil, sentences, strip
 from weftline.functions.vocabulary import GLOSSARY
+from weftline.operators.lineage import cut
 
 
 class Model(Protocol):
@@ -58,13 +61,19 @@ def first_available(*factories: Callable[[], Model]) -> Callable[[], Model]:
     return make
 
 
-_LOADED: dict[int, Model] = {}
+_LOADED: dict[str, Model] = {}
 
 
-def _model(factory: Callable[[], Model]) -> Model:
-    if id(factory) not in _LOADED:
-        _LOADED[id(factory)] = factory()
-    return _LOADED[id(factory)]
+def name_of(factory: Callable[[], Model]) -> str:
+    """A stable name: factories that pickle alike make the same model."""
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def _model(name: str, factory: Callable[[], Model]) -> Model:
+    """The worker's model of that name, loaded once."""
+    if name not in _LOADED:
+        _LOADED[name] = factory()
+    return _LOADED[name]
 
 
 def plan_lines(texts: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -77,8 +86,10 @@ def plan_pieces(lines: DataFrame, key: list[str], factory: Callable[[], Model],
     """(key, line_no, piece_no, piece, h) of the lines to translate. The glossary is applied to the whole line first; only sentences that may be too long go to Python."""
     found = lines.where("not copy").select(*key, "line_no", F.explode(F.transform(sentences(apply_glossary(F.col("line"), options.glossary["pre"])), lambda s, i: F.struct(i.alias("s_no"), s.alias("s")))).alias("x")).select(*key, "line_no", "x.s_no", "x.s")
 
+    name = name_of(factory)
+
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = _model(factory)
+        model = _model(name, factory)
         counts: dict[str, int] = {}
 
         def count(text: str) -> int:
@@ -103,11 +114,11 @@ def pending_pieces(pieces: DataFrame, cache: DataFrame) -> DataFrame:
 
 def translate_pieces(pieces: DataFrame, factory: Callable[[], Model], options: Options) -> DataFrame:
     """(h, en, m) of pieces (h, piece): pieces of like length meet in batches of the model's size."""
-    size = options.batch_size
+    size, name = options.batch_size, name_of(factory)
     ordered = pieces.repartitionByRange(F.length("piece"), "piece").sortWithinPartitions(F.length("piece"), "piece")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _model(factory)
+        model = _model(name, factory)
         for batch in batches:
             out: list[str] = []
             texts = batch["piece"].tolist()
@@ -163,9 +174,10 @@ def translation_stats(jobs: DataFrame, key: str) -> DataFrame:
 
 
 def batch_number(df: DataFrame, text: str, size: int) -> DataFrame:
-    """Number the batches of a length-sorted table: rows counted by length first, so that only rows of one length are numbered together."""
-    lengths = df.groupBy(F.length(text).alias("_n")).agg(F.count(F.lit(1)).alias("_c"))
-    before = lengths.withColumn("_before", F.coalesce(F.sum("_c").over(Window.orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = df.withColumn("_n", F.length(text)).join(before.select("_n", "_before"), "_n")
-    place = F.col("_before") + F.row_number().over(Window.partitionBy("_n").orderBy(text)) - 1
-    return placed.withColumn("batch", F.floor(place / size)).drop("_n", "_before")
+    """Number the batches of a length-sorted table. Ranges of (length, text) are sorted apart and written; a row's place is its range's start and its place in the range, so a common length is no hot group."""
+    ordered = cut(df.withColumn("_n", F.length(text)).repartitionByRange("_n", text).sortWithinPartitions("_n", text).drop("_n"))
+    # what is written keeps its partitions: the identifier counts rows in its lower 33 bits
+    placed = ordered.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))  # a row for each range
+    starts = sizes.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.join(starts, "_p").withColumn("batch", F.floor((F.col("_before") + F.col("_i")) / size)).drop("_p", "_i", "_before")

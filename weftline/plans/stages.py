@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from itertools import islice
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from weftline.functions.vocabulary import CATEGORIES
 from weftline.operators import compare as comparing
 from weftline.operators import incremental, linkage, records, translation
 from weftline.operators.dedupe import first_slot_first_value, keep_first, keep_last, numeric_then_text
+from weftline.operators.lineage import cut
 from weftline.plans.settings import Settings
 from weftline.sources import files
 from weftline.sources.fetch import Fetcher, fetch_pages
@@ -54,6 +56,14 @@ class Store:
     def records(self) -> DataFrame:
         return self._rows("records", files.record_schema())
 
+    def ordered_records(self) -> DataFrame:
+        """Records with their place in the files (rec_ord), which doesn't change from one reading to the next."""
+        return files.read_jsonl(self.spark, self.at("records"), files.record_schema(), order="rec_ord")[0]
+
+    def english(self) -> DataFrame:
+        """Translations that are not in the records yet."""
+        return files.read_jsonl(self.spark, self.at("english"), files.strings("temple_id", "field", "en"), order="ord")[0]
+
     def second(self) -> DataFrame:
         return self._rows("second", files.SECOND)
 
@@ -114,11 +124,11 @@ def index(store: Store, fetcher: Fetcher, settings: Settings, limit: int | None
 
 def build(store: Store, items: DataFrame, fetcher: Fetcher, settings: Settings, chunk: int = 200) -> tuple[int, int]:
     """Fetch, parse and append records of items, a bounded chunk at a time. Returns how many are new and how many failed."""
-    todo = [r.asDict() for r in items.collect()]
+    rows = (r.asDict() for r in cut(items).toLocalIterator())  # as they were when the stage began
     ok = failed = 0
-    for i in range(0, len(todo), chunk):
-        part = store.spark.createDataFrame([(r["temple_id"], r.get("district_id") or "", r.get("district_name") or "") for r in todo[i : i + chunk]], "temple_id string, district_id string, district_name string")
-        tamil_urls = {f"{settings.base_url}/new.php?id={r['temple_id']}": r["temple_id"] for r in todo[i : i + chunk]}
+    while todo := list(islice(rows, chunk)):
+        part = store.spark.createDataFrame([(r["temple_id"], r.get("district_id") or "", r.get("district_name") or "") for r in todo], "temple_id string, district_id string, district_name string")
+        tamil_urls = {f"{settings.base_url}/new.php?id={r['temple_id']}": r["temple_id"] for r in todo}
         pages = fetch_pages(store.spark, tamil_urls, fetcher, settings.slots)
         have = [r for r in pages.collect() if r["error"] is None]
         english_urls = [f"{settings.base_url}/en/new_en.php?id={tamil_urls[r['url']]}" for r in have if (d := detail_of(r["html"]))["found"] and d["has_english_page"]]
@@ -185,12 +195,12 @@ def categories(store: Store, fetcher: Fetcher, settings: Settings, number: int |
 
 def link(store: Store, lines: DataFrame) -> DataFrame:
     """The register, its table, and the links of all records. Returns the counts."""
-    register = read_register(lines)
-    rows = store.records().withColumn("rec_ord", F.monotonically_increasing_id())
-    links = linkage.link(rows, register)
-    files.replace(links, store.at("links"))
+    register = cut(read_register(lines))
+    found = linkage.link(store.ordered_records(), register).orderBy("rec_ord").drop("rec_ord")
+    files.replace(found, store.at("links"))
+    links = files.read_jsonl(store.spark, store.at("links"), found.schema, order="ord")[0]  # computed once
     files.export_csv(register_table(register), store.at("register.csv"))
-    files.export_csv(links.drop("rec_ord"), store.at("links.csv"))
+    files.export_csv(links.orderBy("ord").drop("ord"), store.at("links.csv"))
     return linkage.link_stats(links, register)
 
 
@@ -216,35 +226,44 @@ def compare(store: Store) -> DataFrame:
     for needed in ("links", "records", "second"):
         if not files.exists(store.spark, store.at(needed)):
             raise FileNotFoundError(store.at(needed))
-    links = files.read_jsonl(store.spark, store.at("links"), files.strings("temple_id", "confidence"))[0].withColumn("link_ord", F.monotonically_increasing_id())
-    rows = comparing.compare(store.records().withColumn("rec_ord", F.monotonically_increasing_id()), store.second(), links)
-    files.replace(rows, store.at("compare"))
+    links = files.read_jsonl(store.spark, store.at("links"), files.strings("temple_id", "confidence"), order="link_ord")[0]
+    found = comparing.compare(store.ordered_records(), store.second(), links)
+    files.replace(found, store.at("compare"))
+    rows = files.read_jsonl(store.spark, store.at("compare"), found.schema)[0]  # computed once
     files.export_csv(rows, store.at("compare.csv"))
     return comparing.compare_stats(rows)
 
 
 def translate(store: Store, factory: Callable[[], translation.Model], options: translation.Options | None = None, region: str | None = None, limit: int | None = None, checkpoint: int = 50) -> dict[str, int]:
-    """Fill English fields that lack; records are rewritten after each `checkpoint` of them, and the cache is written before they are."""
+    """Fill English fields that lack. After each `checkpoint` records their translations are appended, the cache first; at the end, or when the next run begins, they are written into the records in one pass."""
+    write_english(store)
     stats = {"temples": 0, "fields": 0}
-    seen: set[str] = set()
+    rows = store.records()
+    jobs = records.missing_english(rows if region is None else rows.where(F.col("district_id") == region))
     while limit is None or stats["temples"] < limit:
-        rows = store.records()
-        jobs = records.missing_english(rows if region is None else rows.where(F.col("district_id") == region))
         left = checkpoint if limit is None else min(checkpoint, limit - stats["temples"])
-        todo = [r["temple_id"] for r in jobs.select("temple_id").distinct().where(~F.col("temple_id").isin(list(seen)) if seen else F.lit(True)).orderBy(*numeric_then_text("temple_id")).limit(left).collect()]
-        if not todo:
+        pending = incremental.pending(jobs, store.english(), ["temple_id", "field"])
+        some = pending.select("temple_id").distinct().orderBy(*numeric_then_text("temple_id")).limit(left)
+        mine = cut(pending.join(some, "temple_id", "left_semi"))
+        counts = translation.translation_stats(mine, "temple_id").first()
+        if not counts["fields"]:
             break
-        seen |= set(todo)
-        mine = jobs.where(F.col("temple_id").isin(todo))
-        done = translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options)
-        files.append(done.new_entries, store.at("cache"))
-        cached = translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options)
-        stats["temples"] += len(todo)
-        stats["fields"] += mine.count()  # before the files it reads are replaced
-        files.replace(records.write_back(rows, cached.english), store.at("records"))
+        files.append(translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options).new_entries, store.at("cache"))
+        files.append(translation.translate(mine, ["temple_id", "field"], "ta", store.cache(), factory, options).english, store.at("english"))
+        stats = {k: v + counts[k] for k, v in stats.items()}
+    write_english(store)
     return stats
 
 
+def write_english(store: Store) -> None:
+    """The records with the translations that were appended; doing it twice changes nothing."""
+    if not files.exists(store.spark, store.at("english")):
+        return
+    last = keep_last(store.english(), ["temple_id", "field"], ["ord"]).drop("ord")
+    files.replace(records.write_back(store.records(), last), store.at("records"))
+    files.remove(store.spark, store.at("english"))
+
+
 def export(store: Store) -> None:
     """All records as one CSV and one XLSX file, by region and item."""
     rows = records.flat(records.export_order(store.records()))

@@ -1,20 +1,17 @@
-"""One query per operator over the driver's tables, with the SQL that says the same."""
+"""The catalogue: a query for each operator over the driver's tables, with the SQL that says the same. This module has those of general operators; records, links and pages are in link_queries and page_queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.functions.scoring import text_ratio
+from weftline import link_queries, page_queries
 from weftline.functions.text import (
     apply_glossary,
     apply_rules,
     cell_text,
     clean_lines,
-    collapse,
     confidence,
     content_hash,
     latin_skeleton,
@@ -22,31 +19,13 @@ from weftline.functions.text import (
     normalize_label,
     query_param,
     sentences,
-    strip,
-    strip_numbering,
 )
 from weftline.operators.compare import theme_state, two_source
 from weftline.operators.dedupe import best_two, first_slot_first_value, keep_first, keep_last, numeric_then_text
 from weftline.operators.incremental import coverage, follow, pending, split_rejects, tag_existing, whole_groups, with_total
-from weftline.operators.records import nested_text, provenance
-from weftline.operators.translation import Options, batch_number, translate
-from weftline.sources.pages import parse_paragraphs
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Callable], Callable]:
-    """Register a query under its function's name."""
-
-    def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+from weftline.operators.records import nested_text
+from weftline.operators.translation import batch_number
+from weftline.registry import QUERIES, SQL, query
 
 
 def _coverage(t) -> DataFrame:
@@ -106,47 +85,11 @@ def first_slot_first_name(t):
     return first_slot_first_value(e, ["user_id"], "event_id", "name")
 
 
-@query("""SELECT page_id, href, min(ord) AS ord FROM (SELECT page_id, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS ord
-FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages)) GROUP BY 1, 2""")
-def distinct_links(t):
-    links = t("pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("ord", "href"))
-    return links.groupBy("page_id", "href").agg(F.min("ord").cast("long").alias("ord"))
-
-
-@query("""SELECT page_id, unnest(range(len(names))) AS ord, unnest(hrefs) AS href, trim(regexp_replace(unnest(names), '^[0-9]+\\.\\s*', '')) AS name FROM (
-SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS names FROM pages)""")
-def list_page_links(t):
-    anchor = F.lit('<a href="([^"]*)">([^<]*)</a>')
-    both = F.arrays_zip(F.regexp_extract_all("html", anchor, F.lit(1)).alias("href"), F.regexp_extract_all("html", anchor, F.lit(2)).alias("name"))
-    return t("pages").select("page_id", F.posexplode(both).alias("ord", "x")).select("page_id", F.col("ord").cast("long").alias("ord"), "x.href", strip_numbering(F.col("x.name")).alias("name"))
-
-
-@query("""SELECT page_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: contains(x, 'th')))), ' ') AS lists FROM pages""")
-def marker_sublists(t):
-    hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return t("pages").select("page_id", F.array_join(F.array_sort(F.array_distinct(F.filter(hrefs, lambda x: F.contains(x, F.lit("th"))))), " ").alias("lists"))
-
-
 @query("""SELECT page_id, regexp_extract(url, '^[^?#]*\\?(?:[^#]*&)?page=([^&#]*)', 1) AS page, regexp_extract(url, '^[^?#]*\\?(?:[^#]*&)?utm_source=([^&#]*)', 1) AS utm_source FROM pages""")
 def url_query_params(t):
     return t("pages").select("page_id", query_param(F.col("url"), "page").alias("page"), query_param(F.col("url"), "utm_source").alias("utm_source"))
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')) AS title FROM pages")
-def page_title(t):
-    return t("pages").select("page_id", collapse(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
-
-
-@query()
-def page_paragraphs(t):
-    return t("pages").select("page_id", parse_paragraphs("html").alias("p")).select("page_id", F.size("p").cast("long").alias("n"), F.array_join("p", "\n").alias("text"))
-
-
-@query("SELECT page_id, unnest(regexp_extract_all(html, '<li>(?:<a [^>]*>)?([^<]*)', 1)) AS item FROM pages")
-def nearby_items(t):
-    return t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<li>(?:<a [^>]*>)?([^<]*)"), F.lit(1))).alias("item"))
-
-
 @query("""SELECT doc_id, sha256(CASE WHEN x IN ('-', '--', '–', '—', '.') THEN '' ELSE x END) AS h FROM (
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(160) || chr(13), ' '), '[ \\t]+', ' ', 'g'), '(?m)^ +| +$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS x FROM documents)""")
 def clean_text_lines(t):
@@ -170,21 +113,6 @@ def trigram_counts(t):
     return t("part").select(F.explode(ngrams(F.col("p_name"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey")
-def key_block_pairs(t):
-    return t("customer").join(t("supplier"), F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey")
-
-
-@query("""WITH g AS (SELECT n_nationkey AS k, lower(n_name) AS s, greatest(length(n_name) - 2, 0) AS n, unnest(range(0, greatest(length(n_name) - 2, 0))) AS p FROM nation),
-a AS (SELECT k, n, p, substr(s, (p + 1)::BIGINT, 3) AS gram FROM g)
-SELECT x.k AS a, y.k AS b, count(*) AS hits, min(x.p) AS first_at FROM a x JOIN a y ON x.gram = y.gram AND x.k <> y.k GROUP BY x.k, y.k, x.n HAVING count(*) >= greatest(1, x.n // 4)""")
-def trigram_block_pairs(t):
-    grams = t("nation").select(F.col("n_nationkey").alias("k"), F.lower("n_name").alias("s")).select("k", F.size(ngrams(F.col("s"))).alias("n"), F.posexplode(ngrams(F.col("s"))).alias("at", "gram"))
-    x, y = grams.alias("x"), grams.alias("y")
-    hits = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.k") != F.col("y.k"))).groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("n")).agg(F.count(F.lit(1)).alias("hits"), F.min("x.at").cast("long").alias("first_at"))
-    return hits.where(F.col("hits") >= F.greatest(F.lit(1), F.floor(F.col("n") / 4))).drop("n")
-
-
 _TOP2 = """
 WITH r AS (SELECT c_nationkey, c_custkey, c_acctbal, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS k FROM customer),
 m AS (SELECT c_nationkey, max(c_custkey) FILTER (WHERE k = 1) AS c_custkey, max(c_acctbal) FILTER (WHERE k = 1) AS c_acctbal, coalesce(max(c_acctbal) FILTER (WHERE k = 2), 0.0) AS runner_up FROM r WHERE k <= 2 GROUP BY 1),
@@ -208,24 +136,6 @@ def margin_confidence(t):
     return _judged(t).select("c_nationkey", "confidence")
 
 
-@query(_TOP2 + "SELECT count(*) AS records, count(*) FILTER (WHERE confidence = 'exact') AS exact, count(*) FILTER (WHERE confidence = 'likely') AS likely, count(*) FILTER (WHERE confidence = 'none') AS none FROM j")
-def confidence_histogram(t):
-    return _judged(t).agg(F.count(F.lit(1)).alias("records"), *(F.count_if(F.col("confidence") == c).alias(c) for c in ("exact", "likely", "none")))
-
-
-@query()
-def fuzzy_link(t):
-    """Lines of documents and of benchmark items that begin alike, scored; the best item of each line."""
-
-    def lines(df: DataFrame, key: str) -> DataFrame:
-        one = df.select(key, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        return one.withColumn("head", F.substring_index("line", " ", 3)).where("length(head) >= 8")
-
-    pairs = lines(t("documents"), "doc_id").join(lines(t("benchmark"), "item_id").select("item_id", "head", F.col("line").alias("other")).distinct(), "head")
-    scored = pairs.select("doc_id", "line_no", "item_id", F.round(text_ratio("line", "other"), 3).alias("score"))
-    return best_two(scored, ["doc_id", "line_no"], "score", ["item_id"])
-
-
 _THEMES = {"first": "the|and", "second": "tion", "third": "zzz|qq"}
 _MATRIX = f"""
 WITH c AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn, role, text) AS said FROM conversations GROUP BY 1),
@@ -259,19 +169,6 @@ def two_source_flag(t):
     return _flagged(t).select("doc_id", "two_source")
 
 
-@query(_MATRIX + """SELECT count(*) AS read, count(*) FILTER (WHERE good) AS confirmed, count(*) FILTER (WHERE NOT good) AS doubtful, count(*) FILTER (WHERE good AND has_text) AS confirmed_with_text,
-count(*) FILTER (WHERE two_source = 'pariharam') AS two_source_pariharam, count(*) FILTER (WHERE two_source = 'theme') AS two_source_theme FROM f""")
-def compare_stats(t):
-    return _flagged(t).agg(
-        F.count(F.lit(1)).alias("read"),
-        F.count_if("good").alias("confirmed"),
-        F.count_if(~F.col("good")).alias("doubtful"),
-        F.count_if(F.col("good") & F.col("has_text")).alias("confirmed_with_text"),
-        F.count_if(F.col("two_source") == "pariharam").alias("two_source_pariharam"),
-        F.count_if(F.col("two_source") == "theme").alias("two_source_theme"),
-    )
-
-
 _PARTS = """
 WITH p AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g'), '([.?!।])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
 s AS (SELECT doc_id, string_split(list_reduce(parts, lambda a, x: CASE WHEN length(regexp_extract(a, '[^\\x01]*$')) < 15 OR (ends_with(a, '.') AND contains(rtrim(regexp_extract(a, '[^\\s\\x01]+$'), '.'), '.')) THEN a || ' ' || x ELSE a || chr(1) || x END), chr(1)) AS merged FROM p),
@@ -279,12 +176,6 @@ u AS (SELECT doc_id, unnest(list_filter(merged, lambda x: trim(x) <> '')) AS pie
 """
 
 
-@query(_PARTS + "SELECT doc_id, len(parts)::BIGINT AS n, sha256(array_to_string(parts, '|')) AS h FROM p")
-def sentence_split(t):
-    parts = F.split(strip(F.col("text")), "(?<=[.?!।])\\s+")
-    return t("documents").select("doc_id", F.size(parts).cast("long").alias("n"), F.sha2(F.array_join(parts, "|"), 256).alias("h"))
-
-
 def _pieces(t) -> DataFrame:
     return t("documents").select("doc_id", "source", F.explode(sentences(F.col("text"))).alias("piece"))
 
@@ -295,71 +186,11 @@ def sentence_merge(t):
     return t("documents").select("doc_id", F.size(merged).cast("long").alias("n"), F.sha2(F.array_join(merged, "|"), 256).alias("h")).where("n > 0")
 
 
-@query(_PARTS + "SELECT sha256(piece) AS h, count(*) AS n FROM u GROUP BY 1")
-def distinct_pieces_hash(t):
-    return _pieces(t).groupBy(content_hash(F.col("piece")).alias("h")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(_PARTS + """, d AS (SELECT u.piece, source FROM u JOIN documents ON u.doc_id = documents.doc_id)
-SELECT DISTINCT sha256(piece) AS h, length(piece) AS n FROM d WHERE source <> 'src1' AND piece NOT IN (SELECT piece FROM d WHERE source = 'src1')""")
-def cache_probe(t):
-    pieces = _pieces(t).select("source", content_hash(F.col("piece")).alias("h"), F.length("piece").cast("long").alias("n"))
-    return pieces.where("source <> 'src1'").select("h", "n").distinct().join(pieces.where("source = 'src1'").select("h"), "h", "left_anti")
-
-
 @query(_PARTS + "SELECT sha256(piece) AS h, ((row_number() OVER (ORDER BY length(piece), piece) - 1) // 32)::BIGINT AS batch FROM (SELECT DISTINCT piece FROM u)")
 def length_batches(t):
     return batch_number(_pieces(t).select("piece").distinct(), "piece", 32).select(content_hash(F.col("piece")).alias("h"), F.col("batch").cast("long").alias("batch"))
 
 
-@query("SELECT doc_id, sha256(text) AS h FROM documents")
-def reassemble_identity(t):
-    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    pieces = lines.select("doc_id", "line_no", F.posexplode(F.split("line", " ")).alias("piece_no", "piece"))
-    line = pieces.groupBy("doc_id", "line_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece_no", "piece"))), lambda x: x["piece"]), " ").alias("line"))
-    text = line.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    return text.select("doc_id", F.sha2("text", 256).alias("h"))
-
-
-@query("""SELECT d.doc_id, f AS field FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id, (VALUES ('quality'), ('toxic')) x(f)
-WHERE CASE f WHEN 'quality' THEN l.quality ELSE l.toxic END IS NULL""")
-def unpivot_missing(t):
-    rows = t("documents").select("doc_id").join(t("labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
-    one = [F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("quality", "toxic")]
-    return rows.select("doc_id", F.inline(F.array(*one))).where("value is null").select("doc_id", "field")
-
-
-@query("SELECT d.doc_id, coalesce(l.quality::VARCHAR, '') AS value, CASE WHEN l.quality IS NULL THEN '' ELSE 'site' END AS source_en FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
-def provenance_columns(t):
-    rows = t("documents").select("doc_id").join(t("labels").select("doc_id", F.col("quality").cast("string").alias("value")), "doc_id", "left")
-    return rows.select("doc_id", F.coalesce("value", F.lit("")).alias("value"), provenance(F.col("value")).alias("source_en"))
-
-
-@query("""SELECT conv_id, turn, role, md5(coalesce(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING), '')) AS header FROM conversations""")
-def last_header_walk(t):
-    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    header = F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(so_far)
-    return t("conversations").select("conv_id", "turn", "role", F.md5(F.coalesce(header, F.lit("")).cast("binary")).alias("header"))
-
-
-@query("""SELECT conv_id, part, md5(string_agg(text, ' ' ORDER BY turn, role, text)) AS raw FROM (
-SELECT *, (sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))::BIGINT AS part FROM conversations) WHERE part > 0 GROUP BY 1, 2""")
-def continuation_rows(t):
-    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = t("conversations").withColumn("part", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(so_far)).where("part > 0")
-    raw = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x["text"]), " ")
-    return rows.groupBy("conv_id", "part").agg(F.md5(raw.cast("binary")).alias("raw"))
-
-
-@query("""WITH theirs AS (SELECT l_orderkey, l_linenumber, arg_max(l_shipmode, (l_partkey, l_suppkey, l_extendedprice)) AS caption FROM (SELECT *, l_returnflag || l_linestatus AS l_shipmode FROM lineitem WHERE l_quantity < 25) GROUP BY 1, 2)
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, coalesce(t.caption, '') AS caption FROM lineitem l LEFT JOIN theirs t ON l.l_orderkey = t.l_orderkey AND l.l_linenumber = t.l_linenumber""")
-def aligned_captions(t):
-    items = t("lineitem")
-    theirs = keep_last(items.where("l_quantity < 25").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.concat("l_returnflag", "l_linestatus").alias("caption")), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
-    joined = items.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(theirs.select("l_orderkey", "l_linenumber", "caption"), ["l_orderkey", "l_linenumber"], "left")
-    return joined.withColumn("caption", F.coalesce("caption", F.lit("")))
-
-
 @query("SELECT user_id, '[' || string_agg('{\"id\":' || event_id || ',\"kind\":\"' || event_type || '\"}', ',' ORDER BY event_id) || ']' AS nested FROM events GROUP BY user_id")
 def nested_to_text(t):
     rows = t("events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind")))).alias("x"))
@@ -401,11 +232,6 @@ def resume_idempotent(t):
     return second.unionByName(pending(events, second, ["event_id"]))
 
 
-@query("SELECT doc_id, regexp_extract(text, '(^|[^0-9])([0-9]{4})([^0-9]|$)', 2) AS code FROM documents")
-def pin_extract(t):
-    return t("documents").select("doc_id", F.regexp_extract("text", "(?<!\\d)(\\d{4})(?!\\d)", 1).alias("code"))
-
-
 @query("SELECT doc_id, sha256(regexp_replace(replace(replace(text, 'there', 'DORT'), 'the', 'DER'), '([0-9]+)', '<\\1>', 'g')) AS h FROM documents")
 def glossary_words(t):
     text = apply_rules(apply_glossary(F.col("text"), {"the": "DER", "there": "DORT"}), {"([0-9]+)": "<\\1>"})
@@ -425,21 +251,4 @@ def reject_split(t):
     return both.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-class _Shouter:
-    """A model for tests: words in upper case, tokens are words."""
-
-    name = "upper"
-
-    def count_tokens(self, text: str) -> int:
-        return len(text.split())
-
-    def translate(self, texts: list[str]) -> list[str]:
-        return [x.upper() for x in texts]
-
-
-@query()
-def translate_fake(t):
-    """Benchmark items with a Tamil word before them, through the whole translation plan with a model that only shouts."""
-    items = t("benchmark").select("item_id", F.concat(F.lit("அருள்மிகு "), "text").alias("ta"))
-    cache = t("benchmark").sparkSession.createDataFrame([], "h string, en string")
-    return translate(items, ["item_id"], "ta", cache, _Shouter, Options(max_tokens=20)).english
+__all__ = ["QUERIES", "SQL", "link_queries", "page_queries"]

@@ -58,8 +58,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing_ok: b
     return rows.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) if rows.schema[c].dataType == S else F.col(c) for c in rows.columns))
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back what a replacement that died between its two renames has set aside."""
+    jvm = spark.sparkContext._jvm
+    at, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.old")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at) and fs.exists(aside):
+        fs.rename(aside, at)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of a JSON-lines file, and what could not be read (_corrupt_record). Lines end at a line feed only. Strict reading fails at the first bad line. With `order`, rows get their place: by the time and path of their file, then within it."""
+    recover(spark, path)
     if not exists(spark, path):
         none = empty(spark, schema)
         return none if order is None else none.withColumn(order, F.lit(0)), empty(spark, strings("_corrupt_record"))
@@ -90,16 +100,26 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def replace(rows: DataFrame, path: str) -> None:
-    """Replace a JSON-lines dataset as a whole: written beside it, then renamed."""
+    """Replace a JSON-lines dataset as a whole: written beside it, the old one set aside, the new one put in its place, the old one deleted. At every moment one of the two is whole, and a reader puts back an old one that was left aside."""
     spark = rows.sparkSession
     staged = f"{path}.new"
+    recover(spark, path)
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(staged)
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, f"{path}.old"))
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(old, True)
-    if not fs.rename(new, old):
+    if fs.exists(here) and not fs.rename(here, old):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(new, here):
         raise OSError(f"could not rename {staged} to {path}")
+    fs.delete(old, True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a dataset, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def failures(rows: DataFrame, url: str, reason: str) -> DataFrame:
