@@ -251,11 +251,13 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, turns
         texts = saved(rows.select("_node", "_row", "_t").join(sizes.select("_node", "_row").hint("merge"), ["_node", "_row"]).groupBy("_node").agg(F.first("_t").alias("_t")), "texts")
         release(spark)
 
-        def verified(pairs: DataFrame) -> DataFrame:
-            ends = pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
-            some = saved(texts.join(ends, "_node", "left_semi"), "some")
-            a = some.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta"))
-            b = some.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb"))
+        def verified(pairs: DataFrame, first: bool) -> DataFrame:
+            some = texts
+            if not first:  # a few of them
+                ends = pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
+                some = saved(texts.join(ends.hint("merge"), "_node", "left_semi"), "some")
+            a = some.select(F.col("_node").alias("_a"), F.col("_t").alias("_ta")).hint("merge")
+            b = some.select(F.col("_node").alias("_b"), F.col("_t").alias("_tb")).hint("merge")
             return saved(pairs.join(a, "_a").join(b, "_b").mapInArrow(lambda x: _verify(x, threshold), f"_a {_NODE}, _b {_NODE}, _ia {_NODE}, _ib {_NODE}"), "found")
 
         # each text is a class of its own at first
@@ -268,7 +270,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, turns
             pairs = pairs_with(left, saved(chosen.select("_bucket", F.explode(each).alias("_p")), "pivots"), threshold)
             pairs = saved(pairs if tried is None else pairs.join(tried.hint("merge"), ["_a", "_b"], "left_anti"), "pairs")
             tried = pairs.select("_a", "_b") if tried is None else tried.unionByName(pairs.select("_a", "_b"))
-            found = verified(pairs)
+            found = verified(pairs, first=not turn)
             joined = components(found.select(F.col("_ia").alias("_a"), F.col("_ib").alias("_b")))
             release(spark)
             step = joined.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
