@@ -1,11 +1,13 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from weftline.llm import crf, quality, toxicity
 from weftline.llm.common import crc_of_id
-from weftline.llm.license_scan import TEMPLATES, fit, scan_licenses, scan_one
+from weftline.llm.license_scan import CUES, fit, leave_one_out, scan_licenses, scan_one, statements
+from weftline.llm.license_texts import FAMILIES, OTHERS
 
 from .conftest import prose
 
@@ -110,16 +112,52 @@ def test_quality_on_held_out_rows(spark, odd_docs, no_docs):
     assert quality.score_quality(no_docs, tagger).count() == 0
 
 
+#: Statements as they are found in the wild, none of them a text that the model learns from, and what they state.
+IN_THE_WILD = [
+    ("SPDX-License-Identifier: MIT", "mit"),
+    ("GNU GPL v3", "gpl"),
+    ("ISC License", "isc"),
+    ("# Licensed under the Apache License, Version 2.0 (the License);\n# you may not use this file except in compliance with the License.", "apache-2.0"),
+    ("You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+    ("Redistributions in binary form must reproduce the above copyright\n    notice, this list of conditions and the following disclaimer in the\n    documentation and/or other materials provided with the distribution.", "bsd"),
+    ("Released under the\nMIT License.", "mit"),
+    ("All\nrights reserved.", "proprietary"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl-2.0"),
+    ("The data set is licensed under CC BY-SA 4.0", "cc-by-sa"),
+    ("This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public License", "gpl"),
+    ("licensed under the GNU Lesser General Public License", "lgpl"),
+    ("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to this work.", "public-domain"),
+    ("Licensed under the Fancy Open License, version 9.", "unknown"),
+]
+
+
 def test_licenses_native_equals_plain(spark, odd_docs, no_docs):
     model = fit()
     rng = random.Random(2)
-    texts = [prose(rng, 5) + "\n" + t + "\n" + prose(rng, 3) for ts in TEMPLATES.values() for t in ts]
-    texts += ["released UNDER the mit license", "Licensed under the Foo Public License, version 7", "all rights", "", "the license of the driver", "License\n\nAll rights reserved."]
+    texts = [prose(rng, 5) + ".\n" + t + ("" if t[-1] in ".:;" else "\n") + "\n" + prose(rng, 3) for f in FAMILIES.values() for t in statements(f)[::5] + list(f.texts)]
+    texts += [t for t, _ in IN_THE_WILD] + ["all rights", "", "the license of the driver", "License\n\nAll rights reserved.", *OTHERS]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(odd_docs.select("doc_id", "text"))
     got = sorted(((r._id, [(x.paragraph, x.family) for x in r.licenses]) for r in scan_licenses(docs, model).collect()), key=str)
     want = sorted(((r.doc_id, [x[:2] for x in scan_one(r.text, model)]) for r in docs.collect()), key=str)
     assert got == want
-    names = [k for k, ts in TEMPLATES.items() for _ in ts]
-    right = [scan_one(t, model) == [] or scan_one(t, model)[0][1] == n for t, n in zip(texts, names)]
-    assert np.mean(right) == 1 and all(scan_one(t, model) for t in texts[: len(names)])
     assert scan_licenses(no_docs, model).count() == 0
+
+
+def test_licenses_in_the_wild():
+    model = fit()
+    for text, family in IN_THE_WILD:
+        assert family in [f for _, f, _ in scan_one(text, model)], text
+    assert all(t not in f.texts for t, _ in IN_THE_WILD for f in FAMILIES.values())
+    assert sum(scan_one(t, model) != [] for t in OTHERS) == 0
+
+
+def test_every_statement_has_a_cue():
+    cue = re.compile(CUES, re.I | re.A)
+    assert [t for f in FAMILIES.values() for t in f.texts if not cue.search(t)] == []
+
+
+def test_families_left_out_are_not_taken_for_others():
+    table = leave_one_out(each=10)
+    close = {"gpl", "lgpl", "agpl", "cc-by", "cc-by-sa", "cc-by-nc"}  # their statements name one another
+    assert np.mean([v["known"] for v in table.values()]) >= 0.8
+    assert max(v["wrong"] for k, v in table.items() if k not in close) <= 0.05
