@@ -93,6 +93,17 @@ def test_copies_of_repetitive_items_are_leaks(spark):
     assert [r.doc_id for r in drop_leaks(frame, bench).collect()] == [8]
 
 
+def test_leaks_equal_plain_tiling_on_repetitive_texts(spark):
+    rng = random.Random(17)
+    docs = [" ".join(rng.choice("ab") for _ in range(rng.randint(5, 30))) for _ in range(120)]
+    items = [" ".join(rng.choice("ab") for _ in range(rng.randint(5, 14))) for _ in range(12)]
+    want = {(i, k): sum(plain_tiles(t.split(), x.split(), 5)) / len(x.split()) for i, t in enumerate(docs) for k, x in enumerate(items)}
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r._id, r._item): r.coverage for r in find_leaks(frame, bench).collect()}
+    assert got == {k: share for k, share in want.items() if share >= 0.8} and len(got) > 50
+
+
 def test_normal_words():
     assert normal("A, b’s “C”…d").split() == ["a", "b", "s", "c", "d"]
 
@@ -158,4 +169,20 @@ def test_cells_and_oracle(spark, odd_docs, no_docs, monkeypatch):
     for rows_per_cell in (4096, 4):
         monkeypatch.setattr(mixing, "CELL_ROWS", rows_per_cell)
         assert sorted((tuple(r) for r in mixed(docs).collect()), key=str) == want
-    assert mixed(odd_docs).count() >= 0 and mixed(no_docs).count() == 0
+    odd = odd_docs.select("doc_id", "text", "lang", "source").toPandas()
+    odd["doc_id"] = odd["doc_id"].astype("Int64")
+    con.register("odd", odd)
+    assert sorted((tuple(r) for r in mixed(odd_docs).collect()), key=str) == sorted(con.sql(op7_sql("odd")).fetchall(), key=str)
+    assert mixed(no_docs).count() == 0
+
+
+def test_a_hot_id_is_counted_not_sorted(spark):
+    """Most rows have no id: the same rows as SQL, which sorts them one by one."""
+    rng = random.Random(9)
+    rows = [(i if i % 4 == 0 else None, " ".join(["w"] * rng.choice([0, 1, 2, 7])), "en", "src0") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    con = duckdb.connect()
+    frame = docs.toPandas()
+    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    con.register("frame", frame)
+    assert sorted((tuple(r) for r in mixed(docs).collect()), key=str) == sorted(con.sql(op7_sql("frame")).fetchall(), key=str)

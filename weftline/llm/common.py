@@ -94,6 +94,12 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         _delete(spark, [p for p in made if p not in keep])
 
 
+def drop_saved(df: DataFrame) -> None:
+    """Delete a table that was saved by this thread, once nothing reads it any more."""
+    _SCOPE.get().remove(df._saved_at)
+    _delete(df.sparkSession, [df._saved_at])
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete all tables that operators have saved in this process and that results may still read; these results are gone too."""
     _delete(spark, _TABLES)

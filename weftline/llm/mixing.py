@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.llm.common import saved, text_of
+from weftline.llm.common import saved, scratch, text_of
 
 #: Documents that share a cell of a leaf's order, about; only one cell of a leaf is summed document by document.
 CELL_ROWS = 4096
@@ -88,38 +88,39 @@ def mix(
 
     The budget, `budget_share` of all tokens, goes down the tree of the levels (name, expression) by integer weights; children without a listed weight have weight 1. A leaf holds `max_epochs` times its tokens at most. It gives whole epochs first, then a prefix of one more: documents in the order of an MD5 of seed, epoch and id, until the tokens reach what is left; the document that reaches it is in.
 
-    A leaf with a third of all rows is no hot group: its order is cut into cells by the leading digits of the hash, the cells are summed before the shuffle, and only the one cell in which the prefix ends is summed row by row. The table of leaves is written and read again, so Spark broadcasts it only where its known size allows.
+    A leaf with a third of all rows is no hot group: its order is cut into cells by the leading digits of the hash, the cells are summed before the shuffle, and only the one cell in which the prefix ends is summed id by id. Rows that share an id and a number of tokens are counted first, so an id (or null) with a third of all rows isn't a hot cell either. The table of leaves is written and read again, so Spark broadcasts it only where its known size allows.
 
     Cases: null texts have no tokens; null levels are a leaf named ''. Null ids share one place in the order, ties are broken by the number of tokens, and rows that repeat an id and text are documents of their own. Leaves without tokens or with weight 0 give nothing. Weights without rows have no effect. An empty table gives an empty table; other columns are not touched.
     """
     names = [n for n, _ in levels]
     rows = docs.select(F.col(id_col).alias("_id"), *(F.coalesce(x.cast("string"), F.lit("")).alias(n) for n, x in levels), tokens_of(text_of(text_col)).alias("n_tokens"))
-    rows = saved(rows, "tokens")
-    leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("_all"), F.count(F.lit(1)).alias("_rows"))
-    leaves = saved(leaves, "leaves")
-    got = leaf_budgets(leaves.select(*names, (F.col("_all") * max_epochs).alias("_cap")), names, weights, lambda caps: F.floor(caps / max_epochs * F.lit(budget_share)).cast("long"))
-    plan = saved(
-        leaves.join(got, names)
-        .where("_all > 0")
-        .select(
+    with scratch(docs.sparkSession) as kept:
+        rows = kept(saved(rows, "tokens"))
+        leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("_all"), F.count(F.lit(1)).alias("_rows"))
+        leaves = saved(leaves, "leaves")
+        got = leaf_budgets(leaves.select(*names, (F.col("_all") * max_epochs).alias("_cap")), names, weights, lambda caps: F.floor(caps / max_epochs * F.lit(budget_share)).cast("long"))
+        plan = leaves.join(got, names).where("_all > 0")
+        plan = plan.select(
             *names,
             F.expr("cast(_got div _all as int)").alias("_whole"),
             (F.col("_got") % F.col("_all")).alias("_left"),
             F.least(F.lit(8), F.greatest(F.lit(0), F.ceil(F.log(F.col("_rows") / F.lit(float(CELL_ROWS))) / F.log(F.lit(16.0))))).cast("int").alias("_digits"),
-        ),
-        "plan",
-    )
-    placed = rows.join(plan, names)
+        )
+        plan = kept(saved(plan, "plan"))
+        placed = rows.join(plan, names)
+        key = F.md5(F.concat_ws(":", F.lit(seed), F.col("_whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
+        partial = placed.where("_left > 0").withColumn("_key", key).withColumn("_cell", F.expr("substring(_key, 1, _digits)"))
+        cells = partial.groupBy(*names, "_cell").agg(F.sum("n_tokens").alias("_sum"))
+        running = Window.partitionBy(*names).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cells = kept(saved(cells.withColumn("_until", F.sum("_sum").over(running)).withColumn("_from", F.col("_until") - F.col("_sum")), "cells"))
     whole = placed.where("_whole > 0").select("_id", *names, "n_tokens", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1)).alias("epoch"))
-
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("_whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
-    partial = placed.where("_left > 0").withColumn("_key", key).withColumn("_cell", F.expr("substring(_key, 1, _digits)"))
-    cells = partial.groupBy(*names, "_cell").agg(F.sum("n_tokens").alias("_sum"))
-    running = Window.partitionBy(*names).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = saved(cells.withColumn("_until", F.sum("_sum").over(running)).withColumn("_from", F.col("_until") - F.col("_sum")), "cells")
     begun = partial.join(cells.select(*names, "_cell", "_from", "_until"), [*names, "_cell"]).where("_from < _left")
     inside = begun.where("_until <= _left")
+    # rows of one id and length are alike, so they are counted before they are ordered: an id with a third of all rows is a few rows here
+    alike = begun.where("_until > _left").groupBy(*names, "_whole", "_left", "_from", "_cell", "_key", "_id", "n_tokens").agg(F.count(F.lit(1)).alias("_c"))
     within = Window.partitionBy(*names, "_cell").orderBy("_key", "_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = begun.where("_until > _left").withColumn("_before", F.col("_from") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0).cast("long"))).where("_before < _left")
+    edge = alike.withColumn("_room", F.col("_left") - F.col("_from") - F.coalesce(F.sum(F.col("n_tokens") * F.col("_c")).over(within), F.lit(0).cast("long"))).where("_room > 0")
+    fits = F.when(F.col("n_tokens") == 0, F.col("_c")).otherwise(F.least(F.col("_c"), F.expr("(_room + n_tokens - 1) div n_tokens")))
+    edge = edge.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), fits)))
     columns = ["_id", *names, "n_tokens", F.col("_whole").alias("epoch")]
     return whole.unionByName(inside.select(*columns)).unionByName(edge.select(*columns))
