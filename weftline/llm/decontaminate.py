@@ -76,10 +76,10 @@ def tile(text: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     """Greedy tiles (start in the text, start in the item, words), longest first."""
     free_t, free_i = np.ones(len(text), dtype=bool), np.ones(len(item), dtype=bool)
     tiles: list[tuple[int, int, int]] = []
+    words_t, words_i = text.tolist(), item.tolist()
     size = min(len(text), len(item))
     while size >= least:
         queue: list[tuple[int, int, int]] = []
-        seen: set[tuple[int, int]] = set()
         ours, theirs = gram_hashes(item, size), gram_hashes(text, size)
         # a run that is long enough begins at a place from which `size` words are free
         ours_at, theirs_at = free_places(free_i, size), free_places(free_t, size)
@@ -87,11 +87,14 @@ def tile(text: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
         places: dict[int, list[int]] = {}
         for j, h in zip(ours_at.tolist(), ours[ours_at].tolist()):
             places.setdefault(h, []).append(j)
-        for i in shared.tolist():
-            for j in places[int(theirs[i])]:
+        open_t, open_i = free_t.tolist(), free_i.tolist()
+        for i, h in zip(shared.tolist(), theirs[shared].tolist()):
+            for j in places[h]:
+                # only where a run begins: the places within it are the same run
+                if i and j and open_t[i - 1] and open_i[j - 1] and words_t[i - 1] == words_i[j - 1]:
+                    continue
                 for m in free_run(text, item, free_t, free_i, i, j):
-                    if m[2] >= size and (m[0], m[1]) not in seen:
-                        seen.add((m[0], m[1]))
+                    if m[2] >= size:
                         heapq.heappush(queue, (-m[2], m[0], m[1]))
         while queue:
             n, i, j = heapq.heappop(queue)
