@@ -2,9 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from weftline.llm import substring_dedup
 from weftline.llm.substring_dedup import find_repeats, without_spans
 
 from .conftest import prose
@@ -54,6 +56,31 @@ def test_small_alphabets(bare, texts):
     check(bare, texts, 12)
 
 
+def test_equal_windows_are_told_by_words_not_by_one_hash(bare, monkeypatch):
+    """Half of the window's hash forced to collide: nothing that differs is removed."""
+    monkeypatch.setattr(substring_dedup, "_windows", colliding(substring_dedup._windows))
+    rng = random.Random(11)
+    shared = prose(rng, 50)
+    check(bare, [prose(rng, 80) for _ in range(20)] + [prose(rng, 30) + " " + shared, shared + " " + prose(rng, 30)], 35)
+
+
+def colliding(windows):
+    def run(batches, window):
+        for b in windows(batches, window):
+            yield b.set_column(0, "_w", pa.array([0] * b.num_rows, pa.int64()))
+
+    return run
+
+
+def test_common_phrases_with_other_words_around(bare):
+    """A phrase of an anchor's length in all texts, and passages around it in some."""
+    rng = random.Random(13)
+    phrase = prose(rng, 12)
+    texts = [f"{prose(rng, 30)} {phrase} {prose(rng, 30)}" for _ in range(25)]
+    texts += [t for t in texts[:5]] + [" ".join(t.split(" ")[5:50]) for t in texts[5:9]]
+    check(bare, texts, 35)
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = find_repeats(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -94,6 +94,17 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+u AS (SELECT r, unnest(range(len(w))) AS p, unnest(w) AS x FROM d),
+k AS (SELECT r, p, CASE WHEN count(*) OVER f = 35 THEN sha256(string_agg(x, ' ') OVER f) END AS h FROM u WINDOW f AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+again AS (SELECT h FROM k WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, p + j AS p FROM (SELECT r, p, unnest(range(35)) AS j FROM k WHERE h IN (SELECT h FROM again))),
+n AS (SELECT u.r, count(*) AS n_words, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY u.p) FILTER (WHERE gone.p IS NULL) AS kept FROM u LEFT JOIN gone ON u.r = gone.r AND u.p = gone.p GROUP BY u.r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN n ON d.r = n.r
+"""
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """Documents mixed by the production weights; domains are the source numbers modulo 4."""
     number = F.coalesce(F.expr("try_cast(regexp_extract(source, '[0-9]+', 0) as int)"), F.lit(0))
@@ -236,4 +247,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_mixing": op7_sql(), "op9_secret_scan": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op6_substring": OP6_SQL, "op7_mixing": op7_sql(), "op9_secret_scan": OP9_SQL}

@@ -3,9 +3,9 @@
 1. Every window of `window` words has an anchor: its smallest-hash phrase of ANCHOR words (leftmost among equals). Equal windows have equal anchors, and neighbouring windows mostly share theirs, so a text has an anchor for about one word in fifteen.
 2. Only windows whose anchor recurs can recur; their hashes are counted, and those that occur twice are confirmed.
 3. Of each confirmed window one occurrence is kept; neighbouring ones are joined to passages.
-4. Texts with recurring anchors are dealt over shards. Each shard compiles the phrases of the passages that may occur in it into an Aho-Corasick automaton and streams its texts through it; around each hit, windows that are in a passage are extended word by word, and stretches of `window` words or more are marked.
+4. Texts with recurring anchors are dealt over shards. A window has half of its other words, or more, before its anchor or after it: a passage is sent to the shards that have one of its anchors with these words on one side. Each shard compiles the anchors of its passages into an Aho-Corasick automaton and streams its texts through it; around each hit, windows that are in a passage are extended word by word, and stretches of `window` words or more are marked.
 
-Windows are told apart by 64-bit hashes when they are counted; what is marked is compared word by word.
+Windows are told apart by 128 bits of hash when they are counted, rows by 124; what is marked is compared word by word.
 """
 
 from __future__ import annotations
@@ -20,14 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import release, saved, scratch, slices, text_of
+from weftline.llm.near_dedup import _NODE, node_of
 from weftline.llm.words import gram_hashes, word_hashes
 
 #: Words of an anchor.
 ANCHOR = 8
 #: Confirmed windows that a passage has at most; longer runs are cut, with whole windows in each part.
 RUN = 256
-#: Characters of text in a shard, about.
-SHARD_CHARS = 2_000_000
+#: Characters of text in a shard, about, and tasks that stream shards at most.
+SHARD_CHARS, MOST_TASKS = 4_000_000, 100_000
+#: A second hash of words, for windows.
+_OTHER = 0xC2B2AE3D27D4EB4F
 
 _POSITION = np.uint64((1 << 28) - 1)
 
@@ -92,8 +95,27 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             found = np.flatnonzero((where >= 0) & recurs[where])
             owner = np.searchsorted(first, found, side="right") - 1
             hashes = gram_hashes(words, window)[found]
-            ids, weights = uid.slice(a, b - a).to_numpy(), weight.slice(a, b - a).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[owner]), pa.array((found - first[owner]).astype(np.int32)), pa.array(weights[owner].astype(np.int32))], ["_w", "_uid", "_pos", "_weight"])
+            others = gram_hashes(word_hashes(texts[a:b], _OTHER)[0], window)[found]
+            row = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(others.view(np.int64)), uid.slice(a, b - a).take(row), pa.array((found - first[owner]).astype(np.int32)), weight.slice(a, b - a).take(row)], ["_w", "_w2", "_uid", "_pos", "_weight"])
+
+
+def sides_of(words: np.ndarray, anchors: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the anchors (places in the words of one text) with the words before, and those with the words after them, that the half of a window has; where the text has so many."""
+    more = (window - ANCHOR) // 2
+    grams = gram_hashes(words, ANCHOR + more)
+    before, after = anchors - more, anchors
+    return np.unique(np.concatenate([grams[before[(before >= 0) & (before < len(grams))]], ~grams[after[after < len(grams)]]]))
+
+
+def _sides(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """uid, text, recurring positions -> what passages are sent by."""
+    for batch in batches:
+        texts = batch.column("_t").to_pylist()
+        for a, b in slices(texts):
+            words, first = word_hashes(texts[a:b])
+            out = [sides_of(words[first[k] : first[k + 1]], np.unique(batch.column("_at")[a + k].values.to_numpy()), window).view(np.int64) for k in range(b - a)]
+            yield pa.RecordBatch.from_arrays([batch.column("_uid").slice(a, b - a), pa.array(out, pa.list_(pa.int64()))], ["_uid", "_side"])
 
 
 def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -101,7 +123,7 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
     for batch in batches:
         texts = batch.column("_t").to_pylist()
         for a, b in slices(texts):
-            _, first, grams, where = anchors_of(texts[a:b], window)
+            hashes, first, _, where = anchors_of(texts[a:b], window)
             out: list[tuple] = []
             for k in range(a, b):
                 words = words_of(texts[k]).split(" ")
@@ -111,9 +133,10 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                     for start in range(int(run[0]), int(run[-1]) + 1, RUN):
                         end = min(int(run[-1]) + 1, start + RUN)  # of window starts
                         base = int(first[k - a])
-                        own = np.unique(where[base + start : base + end])
-                        out.append((" ".join(words[start : end + window - 1]), grams[own].view(np.int64), (own - base - start).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in out], pa.string()), pa.array([h for _, h, _ in out], pa.list_(pa.int64())), pa.array([o for _, _, o in out], pa.list_(pa.int32()))], ["_passage", "_h", "_offset"])
+                        own = np.unique(where[base + start : base + end]) - base - start
+                        sides = sides_of(hashes[base + start : base + end + window - 1], own, window)
+                        out.append((" ".join(words[start : end + window - 1]), sides.view(np.int64), own.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in out], pa.string()), pa.array([h for _, h, _ in out], pa.list_(pa.int64())), pa.array([o for _, _, o in out], pa.list_(pa.int32()))], ["_passage", "_side", "_offset"])
 
 
 class Phrases:
@@ -198,7 +221,7 @@ def _stream(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
                 removed.append(n)
                 digests.append(hashlib.sha256(" ".join(w for w, m in zip(words, marked) if not m).encode("utf-8", "surrogatepass")).hexdigest())
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    return pa.table({"_uid": pa.array(uids, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "_kept": pa.array(digests, pa.string()), "spans": pa.array(spans, span)})
+    return pa.table({"_uid": pa.array(uids, docs.schema.field("_uid").type), "n_removed": pa.array(removed, pa.int64()), "_kept": pa.array(digests, pa.string()), "spans": pa.array(spans, span)})
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
@@ -213,9 +236,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     # a row's identity: its id and text; rows that share both have the same result
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumn("_uid", F.xxhash64("_id", "_t"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t")).withColumn("_uid", node_of("_id", "_t"))
     with scratch(spark) as kept:
-        schema = f"_id {kind}, _uid bigint, n_words bigint, _chars bigint, _all string, _h array<bigint>, _at array<int>"
+        schema = f"_id {kind}, _uid {_NODE}, n_words bigint, _chars bigint, _all string, _h array<bigint>, _at array<int>"
         phrases = kept(saved(rows.select("_id", "_t", "_uid").mapInArrow(lambda b: _phrases(b, window), schema), "phrases"))
         release(spark)
 
@@ -223,7 +246,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         # written first, so that both sides of the join are plain shuffles, which Spark can split at a hot anchor
         recurring = saved(each.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "recurring")
         release(spark)
-        again = kept(saved(each.join(recurring, "_h"), "anchors"))
+        again = saved(each.join(recurring, "_h"), "anchors")
         release(spark)
 
         # whole copies: the first of them stands for all
@@ -238,23 +261,28 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts = kept(saved(rows.select("_uid", "_t").join(info, "_uid").withColumn("_chars", F.length("_t")), "texts"))
         release(spark)
 
-        counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), "_w bigint, _uid bigint, _pos int, _weight int")
-        confirmed = counted.groupBy("_w").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_uid").alias("_pos"), F.min("_uid").alias("_uid")).where("_n > 1")
+        counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), f"_w bigint, _w2 bigint, _uid {_NODE}, _pos int, _weight int")
+        confirmed = counted.groupBy("_w", "_w2").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_uid").alias("_pos"), F.min("_uid").alias("_uid")).where("_n > 1")
         starts = confirmed.groupBy("_uid").agg(F.collect_set("_pos").alias("_pos"))
-        found = texts.select("_uid", "_t").dropDuplicates(["_uid"]).join(starts, "_uid").mapInArrow(lambda b: _passages(b, window), "_passage string, _h array<bigint>, _offset array<int>")
-        passages = kept(saved(found.withColumn("_pid", F.xxhash64("_passage")), "passages"))
+        found = texts.select("_uid", "_t").dropDuplicates(["_uid"]).join(starts, "_uid").mapInArrow(lambda b: _passages(b, window), "_passage string, _side array<bigint>, _offset array<int>")
+        passages = kept(saved(found.withColumn("_pid", node_of("_passage")), "passages"))
+        release(spark)
+
+        shards = max(1, -(-(texts.agg(F.sum("_chars")).first()[0] or 0) // SHARD_CHARS))
+        shard = F.pmod(F.xxhash64("_uid", F.lit(1)), F.lit(shards)).alias("_shard")
+        has = texts.select("_uid", "_t", "_at").mapInArrow(lambda b: _sides(b, window), f"_uid {_NODE}, _side array<bigint>").select(shard, F.explode("_side").alias("_side")).distinct()
+        sent = kept(saved(passages.select("_pid", F.explode("_side").alias("_side")).join(has, "_side").select("_pid", "_shard").distinct(), "sent"))
         release(spark)
 
-    shards = max(1, -(-(texts.agg(F.sum("_chars")).first()[0] or 0) // SHARD_CHARS))
-    shard = F.pmod(F.xxhash64("_uid", F.lit(1)), F.lit(shards)).alias("_shard")
-    wanted = again.select("_h", shard).distinct()
-    sent = passages.select("_pid", F.explode("_h").alias("_h")).join(wanted, "_h").select("_pid", "_shard").distinct()
+    tasks = min(shards, MOST_TASKS)
     dealt = sent.join(passages.select("_pid", "_passage", "_offset"), "_pid").select("_shard", "_passage", "_offset")
+    # as many tasks as shards, so that a task doesn't grow with the corpus
     marked = (
         texts.select("_uid", "_t", shard)
+        .repartition(tasks, "_shard")
         .groupBy("_shard")
-        .cogroup(dealt.groupBy("_shard"))
-        .applyInArrow(lambda a, b: _stream(a, b, window), "_uid bigint, n_removed bigint, _kept string, spans array<struct<start:bigint,end:bigint>>")
+        .cogroup(dealt.repartition(tasks, "_shard").groupBy("_shard"))
+        .applyInArrow(lambda a, b: _stream(a, b, window), f"_uid {_NODE}, n_removed bigint, _kept string, spans array<struct<start:bigint,end:bigint>>")
         .dropDuplicates(["_uid"])
     )
     return phrases.join(marked, "_uid", "left").select(

@@ -43,14 +43,14 @@ def sums(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without ASCII whitespace), and where each text's words begin: text i has words first[i]:first[i + 1]."""
+def word_hashes(texts: list[str], base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs without ASCII whitespace), and where each text's words begin: text i has words first[i]:first[i + 1]. Another odd base gives other hashes."""
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*parts, b""]), dtype=np.uint8)
     inside = ~_SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     begin, end = edge[::2], edge[1::2]
-    up, down = powers(_BASE, len(data) + 1)
+    up, down = powers(base, len(data) + 1)
     total = sums((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])
     hashes = mix((total[end] - total[begin]) * down[begin])
     at = np.cumsum([0, *(len(p) + 1 for p in parts)])
