@@ -85,9 +85,17 @@ def test_urls_against_brute_force(spark):
     rules = [*URL_RULES, ("block", "example.com", "/en/deep/"), ("block", "b.com", "/"), ("allow", "a.b.com", "/x"), ("block", "com", "/x")]
     urls = [*URLS, "http://a.b.com/x/y", "http://a.b.com/q", "http://z.a.b.com/x", "http://example.com/en/deep/1"]
     pages = spark.createDataFrame([(i, u, "h", "k") for i, u in enumerate(urls)] + [(None, "http://a.com/", "h", "k"), (0, None, "h", "k")], "page_id long, url string, host string, key string")
-    got = sorted((tuple(r) for r in judge_urls(pages, rules_frame(spark, rules), lanes=3).collect()), key=str)
     want = sorted(((r.page_id, *verdict(r.url, rules)) for r in pages.collect()), key=str)
-    assert got == want
+    for ranges in (1, 3, 20):
+        assert sorted((tuple(r) for r in judge_urls(pages, rules_frame(spark, rules), ranges=ranges).collect()), key=str) == want
+
+
+def test_a_hot_host_is_in_many_ranges(spark):
+    """Most urls have one host; stacks are carried over ranges without a boundary."""
+    urls = [f"http://hot.example.com/en/{i}" if i % 3 else f"http://h{i % 7}.net/{'es' if i % 2 else 'x'}/" for i in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = sorted((tuple(r) for r in judge_urls(pages, rules_frame(spark, URL_RULES), ranges=16).collect()), key=str)
+    assert got == sorted(((i, *verdict(u, URL_RULES)) for i, u in enumerate(urls)), key=str)
 
 
 def test_urls_without_rules_or_pages(spark):

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from weftline.llm.common import saved, scratch
+
 RULE = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("verdict", T.StringType())])
 
 _ON_STACK = "array<struct<size:int,host_size:int,host:string,path:string,verdict:string>>"
@@ -60,35 +62,33 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     otherwise: str = "allow",
-    lanes: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """_id, host, path, rule, verdict of every row of pages.
 
     A rule fits its host and all subdomains if the path starts with the rule's path; the longest rule (host and path) wins, then the longer host, then the larger text. Rows without a fitting rule get `otherwise`.
 
-    Urls and the boundaries of the rules' intervals are sorted together by reversed-host key; the sweep carries the last boundary's stack to each url. Urls are dealt over `lanes` sorted lanes by a hash (four per shuffle partition unless given), and each lane sees every boundary, so a host with a third of all rows is spread evenly. Rules are thus sent `lanes` times; a rule is a few dozen bytes, and they are not rows of the corpus.
+    Urls and the boundaries of the rules' intervals are dealt over `ranges` ranges of reversed-host keys (one per shuffle partition unless given), together: neither is sent twice. Urls of one host are told apart by a hash, so a host with a third of all rows has many ranges. A range's sweep begins with the stack of the last boundary before it, which is carried from range to range, a row each; from there the last boundary's stack is handed to each url.
 
     Cases: a null url, or one without ://, has an empty host and path and no rule. Null ids and repeated rows are judged like any other; a null path of a rule fits every path, a null host none. Empty tables give empty results, no rules give `otherwise`. Further columns of pages are not touched.
     """
     spark = pages.sparkSession
-    lanes = lanes or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     url = F.coalesce(F.col("_url"), F.lit(""))
     found = (
         pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
         .select("_id", "_url", host_of(url).alias("host"), path_of(url).alias("path"))
-        .select("_id", "host", "path", reversed_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), F.pmod(F.xxhash64("_id", "_url"), F.lit(lanes)).alias("lane"), F.lit(None).cast(_ON_STACK).alias("stack"))
-    )
-    marks = rule_events(rules).select(
-        F.lit(None).cast(pages.schema[id_col].dataType).alias("_id"),
-        F.lit("").alias("host"),
-        F.lit("").alias("path"),
-        "key",
-        F.lit(0).alias("kind"),
-        F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)).cast("array<bigint>")).alias("lane"),
-        "stack",
+        .select("_id", "host", "path", reversed_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), F.xxhash64("_id", "_url", F.monotonically_increasing_id()).alias("salt"), F.lit(None).cast(_ON_STACK).alias("stack"))
     )
-    sweep = Window.partitionBy("lane").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = found.unionByName(marks).withColumn("active", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1")
+    marks = rule_events(rules).select(F.lit(None).cast(pages.schema[id_col].dataType).alias("_id"), F.lit("").alias("host"), F.lit("").alias("path"), "key", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("salt"), "stack")
+    with scratch(spark) as kept:
+        order = ["key", "kind", "salt"]
+        events = kept(saved(found.unionByName(marks).repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "events"))
+        ends = events.groupBy("range").agg(F.max_by(F.when(F.col("kind") == 0, F.col("stack")), F.when(F.col("kind") == 0, F.col("key"))).alias("last"))
+        before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+        carried = kept(saved(ends.select("range", F.last("last", ignorenulls=True).over(before).alias("carry")), "carried"))
+    sweep = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = events.withColumn("own", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1").join(carried, "range").withColumn("active", F.coalesce("own", "carry"))
     best = F.expr("array_max(filter(coalesce(active, array()), r -> startswith(path, r.path)))")
     return swept.withColumn("best", best).select(
         "_id",
