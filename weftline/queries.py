@@ -220,7 +220,7 @@ def follow_next_chain(t):
     name = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit(":"), turn.cast("string"))
     following = turns.join(turns.select("conv_id", (F.col("turn") - 1).alias("turn")), ["conv_id", "turn"])
     edges = following.select(name(F.col("turn")).alias("src"), name(F.col("turn") + 1).alias("dst"))
-    return follow(edges, turns.where("turn = 0").select(name(F.col("turn")).alias("start")))
+    return follow(edges, turns.where("turn = 0").select(name(F.col("turn")).alias("start")), most=1_000_000)
 
 
 @query("SELECT DISTINCT event_id, user_id, event_type FROM events")
