@@ -8,6 +8,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ from weftline.llm.words import gram_hashes, normal, word_hashes
 
 #: Shortest tile, and the share of an item's words that tiles must cover.
 LEAST, COVERAGE = 5, 0.8
-#: Words of benchmark that are sent to the executors at a time; a larger benchmark is run in blocks.
-BLOCK_WORDS = 1_000_000
+#: Words of a block of the benchmark, which is indexed and sent as a whole, and blocks that one scan of the documents is compared with (some 60 MB each in a worker).
+BLOCK_WORDS, BLOCKS_A_SCAN = 1_000_000, 8
 
 @dataclass
 class Block:
@@ -154,7 +155,7 @@ def matches(texts: list[str], block: Block, least: int, coverage: float) -> Iter
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, least: int, block_words: int) -> Iterator[Block]:
-    """The benchmark in blocks of about `block_words` words, one at a time on the driver."""
+    """The benchmark in blocks of about `block_words` words; the driver holds one at a time."""
     rows = benchmark.select(F.col(item_col).alias("_item"), text_of(text_col).alias("_t"))
     total = rows.agg(F.sum(F.size(F.split("_t", "\\s+")))).first()[0] or 0
     n = -(-total // block_words)
@@ -162,6 +163,13 @@ def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, least: int, bl
         yield Block.of([(r["_item"], r["_t"]) for r in rows.where(F.pmod(F.xxhash64("_item", "_t"), F.lit(n)) == k).collect()], least)
 
 
+def sent_together(docs: DataFrame, blocks: Iterator[Block]) -> Iterator[list]:
+    """The blocks, broadcast, as many together as one scan is compared with."""
+    sent = (docs.sparkSession.sparkContext.broadcast(b) for b in blocks)
+    while some := list(islice(sent, BLOCKS_A_SCAN)):
+        yield some
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -175,7 +183,7 @@ def find_leaks(
 ) -> DataFrame:
     """A row for each document and benchmark item whose words lie in tiles to the share `coverage` or more: _id, _item, coverage, n_tiles, tiles (starts in words of the text and the item, and length).
 
-    Documents stay where they are: no shuffle. Each block of the benchmark is sent to the executors, with a bound on its words.
+    Documents stay where they are: no shuffle. Blocks of the benchmark, of bounded size, are sent to the executors; one scan of the documents is compared with BLOCKS_A_SCAN of them.
 
     Cases: null and empty texts match nothing; items of fewer than `least` words have no seed and match nothing; a tie at the threshold is a match. Very long texts are read whole. Repeated documents and items each give their rows; null ids pass through. Empty tables give an empty table; other columns are not touched.
     """
@@ -185,14 +193,13 @@ def find_leaks(
     schema = f"_id {id_kind}, _item {item_kind}, coverage double, n_tiles int, tiles array<struct<text:int,item:int,words:int>>"
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"))
     out = spark.createDataFrame([], schema)
-    for block in blocks_of(benchmark, item_col, item_text_col, least, block_words):
-        sent = spark.sparkContext.broadcast(block)
+    for sent in sent_together(docs, blocks_of(benchmark, item_col, item_text_col, least, block_words)):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(1).to_pylist()
                 for a, b in slices(texts):
-                    got = list(matches(texts[a:b], sent.value, least, coverage))
+                    got = [m for block in sent for m in matches(texts[a:b], block.value, least, coverage)]
                     ids = batch.column(0).slice(a, b - a)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -220,18 +227,17 @@ def drop_leaks(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """The rows of docs that match no item of the benchmark, with all their columns; cases as in find_leaks."""
-    spark = docs.sparkSession
     at, schema = docs.columns.index(text_col), docs.schema
-    for block in blocks_of(benchmark, item_col, item_text_col, least, block_words):
-        sent = spark.sparkContext.broadcast(block)
+    for sent in sent_together(docs, blocks_of(benchmark, item_col, item_text_col, least, block_words)):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = [t or "" for t in batch.column(at).to_pylist()]
                 keep = np.ones(len(texts), dtype=bool)
                 for a, b in slices(texts):
-                    for t, *_ in matches(texts[a:b], sent.value, least, coverage):
-                        keep[a + t] = False
+                    for block in sent:
+                        for t, *_ in matches(texts[a:b], block.value, least, coverage):
+                            keep[a + t] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, schema)
