@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import release, saved, scratch, slices, text_of
+from weftline.llm.common import drop_saved, release, saved, scratch, slices, text_of
 from weftline.llm.near_dedup import _NODE, node_of
 from weftline.llm.words import gram_hashes, word_hashes
 
@@ -28,7 +28,7 @@ ANCHOR = 8
 #: Confirmed windows that a passage has at most; longer runs are cut, with whole windows in each part.
 RUN = 256
 #: Characters of text in a shard, about, and tasks that stream shards at most.
-SHARD_CHARS, MOST_TASKS = 4_000_000, 100_000
+SHARD_CHARS, MOST_TASKS = 2_000_000, 100_000
 #: A second hash of words, for windows.
 _OTHER = 0xC2B2AE3D27D4EB4F
 
@@ -84,7 +84,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
     """uid, text, recurring positions, weight -> a row for each window with a recurring anchor."""
     for batch in batches:
         texts = batch.column("_t").to_pylist()
-        uid, weight, at = (batch.column(c) for c in ("_uid", "_weight", "_at"))
+        uid, weight, at = (batch.column(c) for c in ("_row", "_weight", "_at"))
         for a, b in slices(texts):
             words, first, _, where = anchors_of(texts[a:b], window)
             if len(words) < window:
@@ -97,7 +97,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             hashes = gram_hashes(words, window)[found]
             others = gram_hashes(word_hashes(texts[a:b], _OTHER)[0], window)[found]
             row = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(others.view(np.int64)), uid.slice(a, b - a).take(row), pa.array((found - first[owner]).astype(np.int32)), weight.slice(a, b - a).take(row)], ["_w", "_w2", "_uid", "_pos", "_weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(others.view(np.int64)), uid.slice(a, b - a).take(row), pa.array((found - first[owner]).astype(np.int32)), weight.slice(a, b - a).take(row)], ["_w", "_w2", "_row", "_pos", "_weight"])
 
 
 def sides_of(words: np.ndarray, anchors: np.ndarray, window: int) -> np.ndarray:
@@ -258,13 +258,16 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .distinct()
         )
         info = again.groupBy("_uid").agg(F.collect_set("_at").alias("_at")).join(weight, "_uid", "left").withColumn("_weight", F.coalesce("_weight", F.lit(1)))
-        texts = kept(saved(rows.select("_uid", "_t").join(info, "_uid").withColumn("_chars", F.length("_t")), "texts"))
+        # a number for each row of what is written: half as long as its identity, and exact
+        texts = kept(saved(rows.select("_uid", "_t").join(info, "_uid").withColumns({"_chars": F.length("_t"), "_row": F.monotonically_increasing_id()}), "texts"))
+        for done in (again, recurring, copies):
+            drop_saved(done)
         release(spark)
 
-        counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), f"_w bigint, _w2 bigint, _uid {_NODE}, _pos int, _weight int")
-        confirmed = counted.groupBy("_w", "_w2").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_uid").alias("_pos"), F.min("_uid").alias("_uid")).where("_n > 1")
-        starts = confirmed.groupBy("_uid").agg(F.collect_set("_pos").alias("_pos"))
-        found = texts.select("_uid", "_t").dropDuplicates(["_uid"]).join(starts, "_uid").mapInArrow(lambda b: _passages(b, window), "_passage string, _side array<bigint>, _offset array<int>")
+        counted = texts.where("_weight > 0").mapInArrow(lambda b: _windows(b, window), "_w bigint, _w2 bigint, _row bigint, _pos int, _weight int")
+        confirmed = counted.groupBy("_w", "_w2").agg(F.sum("_weight").alias("_n"), F.min_by("_pos", "_row").alias("_pos"), F.min("_row").alias("_row")).where("_n > 1")
+        starts = confirmed.groupBy("_row").agg(F.collect_set("_pos").alias("_pos"))
+        found = texts.select("_row", "_t").join(starts, "_row").mapInArrow(lambda b: _passages(b, window), "_passage string, _side array<bigint>, _offset array<int>")
         passages = kept(saved(found.withColumn("_pid", node_of("_passage")), "passages"))
         release(spark)
 
