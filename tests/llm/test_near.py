@@ -147,6 +147,36 @@ def test_links_that_stars_miss_are_found(bare):
     assert judged(bare(rows)) == want
 
 
+def test_links_in_large_buckets_that_no_pivot_shows(bare):
+    """All texts share a passage, and so buckets; a text has one link, which differs from it in all but a few of its other words."""
+    rng = random.Random(33)
+    passage, rows = prose(rng, 70).split(" "), []
+    for _ in range(200):
+        own = prose(rng, 30).split(" ")
+        for words in (own, own[:10] + prose(rng, 20).split(" ")):
+            rows.append(" ".join(words[:6] + passage + words[6:]))
+    rows = list(enumerate(rows))
+    want = brute(rows)
+    assert {x[2] for x in want} == {2}
+    assert judged(bare(rows)) == want
+
+
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=40), st.data())
+def test_a_link_has_a_part_of_the_longer_text(words, data):
+    other = list(words)
+    for _ in range(data.draw(st.integers(0, near_dedup.most_edits(len(words), 0.8)))):
+        at = data.draw(st.integers(0, len(other) - 1))
+        if data.draw(st.booleans()) and len(other) > 1:
+            del other[at]
+        else:
+            other[at] = data.draw(st.integers(0, 3))
+    a, b = (np.array(x, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in (words, other))
+    counts = np.array([1 + data.draw(st.integers(0, 9)) for _ in range(4)])
+    known = np.sort(gram_hashes(np.arange(4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 1))
+    parts = near_dedup.parts_of(a, 0.8, known, counts)
+    assert set(parts.tolist()) & {h for k in (1, 2) for h in gram_hashes(b, k).tolist()}
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_recall_at_all_rates_and_lengths(bare, spread):
     """Pairs of 5 to 500 words with 2 to 20 % of the words edited, end to end; recall of the links that the definition gives."""

@@ -24,6 +24,8 @@ SHORT_KMER, SHORT_SAMPLE, SHORT_SKETCHES = 1, 4, 28
 LONG = 40
 #: How often buckets of several classes are searched again, and with how many pivots each.
 TURNS, PIVOTS = 2, 4
+#: Texts from which the exact search learns which words and pairs of words are frequent, hashes that it keeps, and characters of a block of texts that are verified together.
+KNOWN_TEXTS, KNOWN_HASHES, BLOCK_CHARS = 2000, 200_000, 2_000_000
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -222,10 +224,105 @@ def pairs_with(members: DataFrame, pivots: DataFrame, threshold: float) -> DataF
     return met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_p._its")).alias("_ia"), F.when(first, F.col("_p._its")).otherwise(F.col("_its")).alias("_ib")).distinct()
 
 
+def parts_of(words: np.ndarray, threshold: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes of most_edits + 1 disjoint parts, words or pairs of neighbours, those that are rarest by the known counts (of the sorted hashes).
+
+    An edit touches one of them at most, so a link that is no longer has one of them whole, whichever they are: the counts decide the cost alone.
+    """
+    needed, best = most_edits(len(words), threshold) + 1, None
+    for size in (1, 2):
+        grams = gram_hashes(words, size)
+        at = np.minimum(np.searchsorted(hashes, grams), max(0, len(hashes) - 1))
+        cost = np.where(hashes[at] == grams, counts[at], 0) if len(hashes) else np.zeros(len(grams), dtype=np.int64)
+        for start in range(size):
+            some, price = grams[start::size], cost[start::size]
+            if len(some) >= needed or best is None:  # there are always enough words
+                first = np.lexsort((some, price))[:needed]
+                if best is None or price[first].sum() < best[0]:
+                    best = price[first].sum(), some[first]
+    return np.unique(best[1])
+
+
+def _parts(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarray | None, counts: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Texts (_node, _its, _words, _t) with their parts, or without hashes with all their words and pairs; _band puts texts of like length together, so that a link has the same or the next lower one."""
+    width = max(-np.log(threshold), 0.01) * 1.001
+    names = ["_node", "_its", "_words"]
+    for batch in batches:
+        texts = batch.column("_t").to_pylist()
+        for s, e in slices(texts):
+            words, first = word_hashes([normal(t) for t in texts[s:e]])
+            each = [words[first[k] : first[k + 1]] for k in range(e - s)]
+            if hashes is None:
+                out = [np.unique(np.concatenate([gram_hashes(w, 1), gram_hashes(w, 2)])) for w in each]
+            else:
+                out = [parts_of(w, threshold, hashes, counts) if len(w) else w for w in each]
+            band = np.floor(np.log(np.maximum(np.diff(first), 1)) / width).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in names] + [pa.array(band), pa.array([o.view(np.int64) for o in out], pa.list_(pa.int64()))], [*names, "_band", "_parts"])
+
+
+def _verify_block(pairs: pa.Table, texts: pa.Table, threshold: float) -> pa.Table:
+    """The pairs that are links; the texts are those of two blocks, each once."""
+    nodes, content = texts.column("_node").to_pylist(), texts.column("_t").to_pylist()
+    words, bags = {}, {}
+    for s, e in slices(content):
+        w, first = word_hashes([normal(t) for t in content[s:e]])
+        for k in range(e - s):
+            words[nodes[s + k]] = own = w[first[k] : first[k + 1]].copy()
+            bags[nodes[s + k]] = np.sort(labelled(own))
+    links = []
+    for a, b in zip(pairs.column("_a").to_pylist(), pairs.column("_b").to_pylist()):
+        x, y = words[a], words[b]
+        longer = max(len(x), len(y))
+        most = most_edits(longer, threshold)
+        links.append(longer - len(np.intersect1d(bags[a], bags[b], assume_unique=True)) <= most and banded_distance(x, y, most) <= most)
+    return pairs.select(["_a", "_b", "_ia", "_ib"]).filter(pa.array(links, pa.bool_()))
+
+
+def rest_of_links(left: DataFrame, tried: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The links (_a, _b, their classes _ia, _ib) between texts of different classes in the buckets that are left (_bucket, _node, _words, _its), without the pairs tried before. Exact: no pair is left out, however large a bucket is.
+
+    Of each text the rarest disjoint parts, one more than a link may have edits, are looked up among all words and pairs of words of the texts that are no longer; a link has one of them. What is met is compared by its bag of words and by alignment, in blocks of texts, so that a text in many pairs is sent once for each block. The lookup is between texts, not within buckets: texts that share many buckets meet once, and some links without a bucket are found as well.
+    """
+    spark = left.sparkSession
+    nodes = saved(left.select("_node", "_its", "_words").where("_words > 0").distinct(), "open")
+    some = saved(texts.join(nodes.hint("merge"), "_node").select("_node", "_its", "_words", "_t"), "some")
+    size = some.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("_t")).alias("chars")).first()
+    schema = f"_node {_NODE}, _its {_NODE}, _words bigint, _band int, _parts array<bigint>"
+
+    def parts(of: DataFrame, hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> DataFrame:
+        return of.mapInArrow(lambda x: _parts(x, threshold, hashes, counts), schema)
+
+    share = F.lit(min(1.0, KNOWN_TEXTS / max(1, size["n"])))
+    sample = some.where(F.pmod(F.xxhash64("_node", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share).withColumn("_t", F.substring("_t", 1, 20_000)).limit(2 * KNOWN_TEXTS)
+    known = parts(sample).select(F.explode("_parts").alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").orderBy(F.desc("_n"), "_h").limit(KNOWN_HASHES).collect()
+    hashes, counts = np.array([r["_h"] for r in known], dtype=np.int64).view(np.uint64), np.array([r["_n"] for r in known], dtype=np.int64)
+    order = np.argsort(hashes)
+
+    asked = parts(some, hashes[order], counts[order]).select("_node", "_its", "_words", F.explode("_parts").alias("_h"), "_band")
+    asked = asked.select("_node", "_its", "_words", "_h", F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_band"))
+    there = parts(some).select(*(F.col(c).alias(f"{c}_of") for c in ("_node", "_its", "_words")), "_band", F.explode("_parts").alias("_h"))
+    # as most_edits() of the longer text
+    near = (F.col("_words_of") <= F.col("_words")) & (F.col("_words") - F.col("_words_of") <= F.lit(1 - threshold) * F.col("_words") + 1e-9)
+    met = asked.hint("merge").join(there, ["_h", "_band"]).where((F.col("_its") != F.col("_its_of")) & near)
+    first = F.col("_node") < F.col("_node_of")
+    ends = [F.least("_node", "_node_of").alias("_a"), F.greatest("_node", "_node_of").alias("_b")]
+    pairs = met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_its_of")).alias("_ia"), F.when(first, F.col("_its_of")).otherwise(F.col("_its")).alias("_ib")).distinct()
+    pairs = saved(pairs.join(tried.hint("merge"), ["_a", "_b"], "left_anti"), "rest")
+    release(spark)
+
+    blocks = F.lit(max(1, -(-(size["chars"] or 0) // BLOCK_CHARS)))
+    block = [F.pmod(F.xxhash64(c, F.lit(7)), blocks) for c in ("_a", "_b")]
+    dealt = pairs.withColumn("_block", block[0] * blocks + block[1])
+    needed = dealt.select(F.col("_a").alias("_node"), "_block").unionByName(dealt.select(F.col("_b").alias("_node"), "_block")).distinct()
+    sent = some.select("_node", "_t").join(needed.hint("merge"), "_node").select(F.col("_block").alias("_to"), "_node", "_t")
+    found = dealt.groupBy("_block").cogroup(sent.groupBy("_to")).applyInArrow(lambda a, b: _verify_block(a, b, threshold), f"_a {_NODE}, _b {_NODE}, _ia {_NODE}, _ib {_NODE}")
+    return saved(found, "found")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, turns: int = TURNS) -> DataFrame:
     """_id, class_id (the smallest id of its class), class_size and kept (whether it is the row that stays) of every row.
 
-    Equal texts are one node. First each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Then, `turns` times, PIVOTS other members of each bucket that isn't of one class yet are pivots for its members of other classes: a link shares several buckets and has new chances in each of them. No bucket is capped; a turn is linear in the buckets' members, however large one is.
+    Equal texts are one node. First each sketch's bucket has a pivot, the text that shares most buckets with most others, and all texts of the bucket are compared with it: a group of n near copies costs n comparisons, not n * n. Then, `turns` times, PIVOTS other members of each bucket that isn't of one class yet are pivots for its members of other classes: a link shares several buckets and has new chances in each of them. A turn is linear in the buckets' members, however large one is. The links of texts in buckets that still have several classes, which no pivot has shown, are then looked up exactly (see rest_of_links): two texts that share a bucket and are a link are always of one class.
 
     Cases: null and empty texts are one class. Texts without words are in a class with equal texts alone. The row that stays has the smallest id of its class, and of texts with that id the one of the smallest hash; rows that repeat it all are marked. Null ids never name a class that has another id, and a class of null ids alone has class_id null. Texts of any length are aligned whole. An empty table gives an empty table; other columns are not touched.
     """
@@ -263,6 +360,14 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, turns
         # each text is a class of its own at first
         left = members.join(sizes.select("_node", "_score"), "_node").select("_bucket", "_node", "_words", "_score", F.col("_node").alias("_its"))
         classes = tried = None
+
+        def merged(joined: DataFrame) -> DataFrame:
+            """The classes of all texts, with those of new links between classes."""
+            if classes is None:
+                return joined
+            moved = classes.join(joined.select(F.col("_node").alias("_class"), F.col("_class").alias("_up")), "_class", "left").select("_node", F.coalesce("_up", "_class").alias("_class"))
+            return saved(moved.unionByName(joined.join(classes, "_node", "left_anti")), "classes")
+
         for turn in range(turns + 1):
             orders = [F.xxhash64("_bucket", "_node", F.lit(turn), F.lit(k)) for k in range(PIVOTS)] if turn else [F.col("_score")]
             chosen = left.groupBy("_bucket").agg(*(F.max(F.struct(o.alias("_first"), "_node", "_words", "_its")).alias(f"_p{k}") for k, o in enumerate(orders)))
@@ -273,17 +378,16 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, turns
             found = verified(pairs, first=not turn)
             joined = components(found.select(F.col("_ia").alias("_a"), F.col("_ib").alias("_b")))
             release(spark)
-            step = joined.select(F.col("_node").alias("_class"), F.col("_class").alias("_up"))
-            if classes is None:
-                classes = joined
-            else:
-                moved = classes.join(step, "_class", "left").select("_node", F.coalesce("_up", "_class").alias("_class"))
-                classes = saved(moved.unionByName(joined.join(classes, "_node", "left_anti")), "classes")
-            if turn < turns:  # buckets of several classes are left
-                again = left.join(step.withColumnRenamed("_class", "_its"), "_its", "left").withColumn("_its", F.coalesce("_up", "_its")).drop("_up")
-                mixed = again.groupBy("_bucket").agg(F.min("_its").alias("_low"), F.max("_its").alias("_high")).where("_low <> _high").select("_bucket")
-                left = saved(again.join(mixed.hint("merge"), "_bucket"), "left")
-                release(spark)
+            classes = merged(joined)
+            # buckets of several classes are left
+            again = left.join(joined.select(F.col("_node").alias("_its"), F.col("_class").alias("_up")), "_its", "left").withColumn("_its", F.coalesce("_up", "_its")).drop("_up")
+            mixed = again.groupBy("_bucket").agg(F.min("_its").alias("_low"), F.max("_its").alias("_high")).where("_low <> _high").select("_bucket")
+            left = saved(again.join(mixed.hint("merge"), "_bucket"), "left")
+            release(spark)
+        if left.limit(1).count():
+            found = rest_of_links(left, tried, texts, threshold)
+            classes = merged(components(found.select(F.col("_ia").alias("_a"), F.col("_ib").alias("_b"))))
+            release(spark)
 
         placed = kept(saved(sketched.select("_id", "_node").join(classes, "_node", "left").select("_id", "_node", F.coalesce("_class", "_node").alias("_class")), "placed"))
         first = F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id").alias("_id"), F.col("_node").alias("_node")))
