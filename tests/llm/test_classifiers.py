@@ -161,3 +161,11 @@ def test_families_left_out_are_not_taken_for_others():
     close = {"gpl", "lgpl", "agpl", "cc-by", "cc-by-sa", "cc-by-nc"}  # their statements name one another
     assert np.mean([v["known"] for v in table.values()]) >= 0.8
     assert max(v["wrong"] for k, v in table.items() if k not in close) <= 0.05
+
+
+def test_statements_without_a_cue_are_scored(spark):
+    texts = [("This project is Apache-2.0.", "apache-2.0"), ("BSD-3-Clause", "bsd"), ("Some prose first.\nDual MIT / Apache-2.0", "apache-2.0"), ("Sie kamen mit dem Schiff und mit vielen Freunden.", None)]
+    assert not any(re.search(CUES, t, re.I | re.A) for t, _ in texts)
+    docs = spark.createDataFrame(list(enumerate(t for t, _ in texts)), "doc_id long, text string")
+    got = {r._id: [x.family for x in r.licenses] for r in scan_licenses(docs).collect()}
+    assert got == {k: [f] if f else [] for k, (_, f) in enumerate(texts)}

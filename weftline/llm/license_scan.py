@@ -24,7 +24,7 @@ LEAST_CHANCE, LEAST_TRIPLES = 0.55, 0.5
 
 #: A paragraph ends at a blank line, or with a line that ends a sentence: wrapped lines are one paragraph.
 PARAGRAPH = "\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+|(?<=[.!?:;])[ \\t\\r]*\\n"
-#: What every statement has: a paragraph without any of these states no licence and is read no further.
+#: What the paragraphs of license_texts have. No paragraph is left out for the want of these: identifiers alone ("This project is Apache-2.0.") have none.
 CUES = "licen[sc]|copyright|rights|redistribut|permission|permitted|warrant|public domain|spdx|creative commons|creativecommons|\\bcc[ -]?(?:by|0)|\\b[al]?gpl|\\bmpl|\\bepl|unencumbered|as.is\\b|you must|you may|you are free|you can|anyone is free|strictly prohibited|misrepresented|reproduced|neither the name|unless required|liable|corresponding source"
 
 _TOKEN = "[^a-z0-9.]+"
@@ -171,7 +171,7 @@ def _adder(weights: Column):
 def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", least_chance: float = LEAST_CHANCE, least_triples: float = LEAST_TRIPLES) -> DataFrame:
     """_id and licenses, an array of (paragraph, family, chance) of each row: its paragraphs (from 0; see PARAGRAPH) that state a licence. The family is 'unknown' where the chance is under `least_chance` or neither a name nor a paragraph of the family confirms it.
 
-    Paragraphs without any of CUES are read no further. No shuffle; the model's size follows from license_texts.
+    Every paragraph is scored. No shuffle; the model's size follows from license_texts.
 
     Cases: null and empty texts have no licence. Very long texts and paragraphs are read whole. Null ids and repeated rows pass through; an empty table gives an empty table; other columns are not touched.
     """
@@ -191,10 +191,15 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
 
     vocabulary = _array(model.features)
 
-    def judged(words: Column) -> Column:
-        """The families' scores of a paragraph's words."""
-        own = F.array_intersect(F.array_union(words, joined(words, 2)), vocabulary)
-        at = F.transform(own, lambda g: F.array_position(vocabulary, g).cast("int"))
+    # so much none is ahead without features, and so much a feature gives a family over none: too few features can't state a licence
+    ahead = float(model.bias[-1] - model.bias[:-1].max())
+    gain = float(max(1e-9, (model.weights[:, :-1] - model.weights[:, -1:]).max(initial=0.0)))
+
+    def features(words: Column) -> Column:
+        return F.array_intersect(F.array_union(words, joined(words, 2)), vocabulary)
+
+    def judged(at: Column) -> Column:
+        """The families' scores of a paragraph's features, given by their places."""
         return F.array(*(F.aggregate(at, F.lit(float(b)), _adder(col), lambda s: s / F.lit(model.temperature)) for col, b in zip(columns, model.bias.tolist())))
 
     def pick(z: Column) -> Column:
@@ -202,13 +207,12 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
         total = F.aggregate(z, F.lit(0.0), lambda s, x: s + F.exp(x - top))
         return F.struct(F.element_at(_array(names), F.array_position(z, top).cast("int")).alias("family"), (F.lit(1.0) / total).alias("chance"))
 
-    # one search of the whole text first: most have no cue at all
-    cued = F.regexp_like("_t", F.lit(f"(?i){CUES}"))
-    paragraphs = F.filter(F.transform(F.split("_t", PARAGRAPH), lambda p, i: F.struct(i.alias("paragraph"), p.alias("text"))), lambda p: F.regexp_like(p["text"], F.lit(f"(?i){CUES}")))
-    kind = "array<struct<paragraph:int,text:string>>"
-    some = rows.select("_id", F.when(cued, paragraphs).otherwise(F.array().cast(kind)).alias("_p"))
+    some = rows.select("_id", F.transform(F.split("_t", PARAGRAPH), lambda p, i: F.struct(i.alias("paragraph"), p.alias("text"))).alias("_p"))
     some = some.withColumn("_s", F.transform("_p", lambda p: F.struct(p["paragraph"].alias("paragraph"), words_in(p["text"]).alias("words"))))
-    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), judged(p["words"]).alias("z"))))
+    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), features(p["words"]).alias("own"))))
+    some = some.withColumn("_s", F.filter("_s", lambda p: F.size(p["own"]) * F.lit(gain) + F.lit(1e-9) >= F.lit(ahead)))
+    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), F.transform(p["own"], lambda g: F.array_position(vocabulary, g).cast("int")).alias("at"))))
+    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), judged(p["at"]).alias("z"))))
     some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), pick(p["z"]).alias("best"))))
     some = some.withColumn("_s", F.filter("_s", lambda p: p["best"]["family"] != "none"))
     known = {f: FAMILIES[f] for f in model.families}
@@ -226,9 +230,8 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
 
 def scan_one(text: str | None, model: Model, least_chance: float = LEAST_CHANCE, least_triples: float = LEAST_TRIPLES) -> list[tuple[int, str, float]]:
     """What scan_licenses finds in one text, in plain Python; the tests compare the two."""
-    cue = re.compile(CUES, re.I | re.A)
     out = []
     for i, paragraph in enumerate(re.split(PARAGRAPH, text or "")):
-        if cue.search(paragraph) and (found := judge(tokens(paragraph), model, least_chance, least_triples)):
+        if found := judge(tokens(paragraph), model, least_chance, least_triples):
             out.append((i, *found))
     return out
