@@ -177,6 +177,52 @@ def test_a_link_has_a_part_of_the_longer_text(words, data):
     assert set(parts.tolist()) & {h for k in (1, 2) for h in gram_hashes(b, k).tolist()}
 
 
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=120), st.data())
+def test_a_link_has_all_parts_but_its_edits(words, data):
+    most, other = near_dedup.most_edits(len(words), 0.8), list(words)
+    for _ in range(most):
+        at = data.draw(st.integers(0, len(other) - 1))
+        if data.draw(st.booleans()) and len(other) > 1:
+            del other[at]
+        else:
+            other[at] = data.draw(st.integers(0, 30))
+    a, b = (np.array(x, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in (words, other))
+    counts = np.array([1 + data.draw(st.integers(0, 5)) for _ in range(31)])
+    known = np.sort(gram_hashes(np.arange(31, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 1))
+    parts = near_dedup.parts_of(a, 0.8, known, counts).tolist()
+    there = {h for k in (1, 2) for h in gram_hashes(b, k).tolist()}
+    assert most < len(parts) <= most + 1 + len(words) // near_dedup.SPARE_WORDS
+    assert sum(h in there for h in parts) >= len(parts) - most
+
+
+def test_texts_that_share_a_rare_word_by_chance_are_not_sent(spark, monkeypatch):
+    """Each two texts share a word that no other has; two pairs are links."""
+    rng = random.Random(5)
+    shared, texts = {}, []
+    for i in range(60):
+        words = [shared.setdefault((min(i, j), max(i, j)), prose(rng, 1) + f"q{i}z{j}") for j in range(60) if j != i]
+        words += [f"{prose(rng, 1)}r{i}" for _ in range(41)]
+        rng.shuffle(words)
+        texts.append(words)
+    texts += [edited(rng, texts[i], 18) for i in (3, 40)]
+    node = "cast(_k as decimal(38,0))"
+    rows = spark.createDataFrame([(k, " ".join(t), len(t)) for k, t in enumerate(texts)], "_k long, _t string, _words long")
+    left = rows.selectExpr("1L as _bucket", f"{node} as _node", "_words", f"{node} as _its")
+    sizes, saved = {}, near_dedup.saved
+
+    def counted(df, label):
+        out = saved(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "saved", counted)
+    monkeypatch.setattr(near_dedup, "KNOWN_HASHES", 0)  # nothing is known to be frequent
+    tried = left.selectExpr("_node as _a", "_node as _b").limit(0)
+    found = near_dedup.rest_of_links(left, tried, rows.selectExpr(f"{node} as _node", "_t"), 0.8)
+    assert sorted((int(r._a), int(r._b)) for r in found.collect()) == [(3, 60), (40, 61)]
+    assert sizes["rest"] <= 10
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_recall_at_all_rates_and_lengths(bare, spread):
     """Pairs of 5 to 500 words with 2 to 20 % of the words edited, end to end; recall of the links that the definition gives."""

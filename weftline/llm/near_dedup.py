@@ -26,6 +26,8 @@ LONG = 40
 TURNS, PIVOTS = 2, 4
 #: Texts from which the exact search learns which words and pairs of words are frequent, hashes that it keeps, and characters of a block of texts that are verified together.
 KNOWN_TEXTS, KNOWN_HASHES, BLOCK_CHARS = 2000, 200_000, 2_000_000
+#: The exact search looks up one part more for so many words, if it is as rare as the others or the sample has it so often at most.
+SPARE_WORDS, SPARE_COUNT = 16, 2
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -225,26 +227,29 @@ def pairs_with(members: DataFrame, pivots: DataFrame, threshold: float) -> DataF
 
 
 def parts_of(words: np.ndarray, threshold: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hashes of most_edits + 1 disjoint parts, words or pairs of neighbours, those that are rarest by the known counts (of the sorted hashes).
+    """Hashes of most_edits + 1 disjoint parts or more, words or pairs of neighbours, those that are rarest by the known counts (of the sorted hashes). A part that occurs twice may be there twice.
 
-    An edit touches one of them at most, so a link that is no longer has one of them whole, whichever they are: the counts decide the cost alone.
+    An edit touches one of them at most, so a link that is no longer has all of them whole but most_edits, whichever they are: the counts decide the cost alone. The spare ones (see SPARE_WORDS) make more than one necessary, which few texts have by chance.
     """
-    needed, best = most_edits(len(words), threshold) + 1, None
+    most, best = most_edits(len(words), threshold), None
     for size in (1, 2):
         grams = gram_hashes(words, size)
         at = np.minimum(np.searchsorted(hashes, grams), max(0, len(hashes) - 1))
         cost = np.where(hashes[at] == grams, counts[at], 0) if len(hashes) else np.zeros(len(grams), dtype=np.int64)
         for start in range(size):
             some, price = grams[start::size], cost[start::size]
-            if len(some) >= needed or best is None:  # there are always enough words
-                first = np.lexsort((some, price))[:needed]
-                if best is None or price[first].sum() < best[0]:
-                    best = price[first].sum(), some[first]
-    return np.unique(best[1])
+            if len(some) > most or best is None:  # there are always enough words
+                first = np.lexsort((some, price))[: most + 1 + len(words) // SPARE_WORDS]
+                dearest = price[first[: most + 1]].max()
+                first = first[price[first] <= max(dearest, SPARE_COUNT)]
+                key = (price[first[: most + 1]].sum(), -len(first))
+                if best is None or key < best[0]:
+                    best = key, some[first]
+    return best[1]
 
 
 def _parts(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarray | None, counts: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Texts (_node, _its, _words, _t) with their parts, or without hashes with all their words and pairs; _band puts texts of like length together, so that a link has the same or the next lower one."""
+    """Texts (_node, _its, _words, _t) with their parts, how often each is among them, and how many a link must have (_need); or, without hashes, with all their words and pairs once. _band puts texts of like length together, so that a link has the same or the next lower one."""
     width = max(-np.log(threshold), 0.01) * 1.001
     names = ["_node", "_its", "_words"]
     for batch in batches:
@@ -254,10 +259,14 @@ def _parts(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarr
             each = [words[first[k] : first[k + 1]] for k in range(e - s)]
             if hashes is None:
                 out = [np.unique(np.concatenate([gram_hashes(w, 1), gram_hashes(w, 2)])) for w in each]
+                times, need = [None] * len(each), [0] * len(each)
             else:
-                out = [parts_of(w, threshold, hashes, counts) if len(w) else w for w in each]
+                chosen = [parts_of(w, threshold, hashes, counts) if len(w) else w for w in each]
+                need = [len(c) - most_edits(len(w), threshold) for c, w in zip(chosen, each)]
+                out, times = zip(*(np.unique(c, return_counts=True) for c in chosen))
             band = np.floor(np.log(np.maximum(np.diff(first), 1)) / width).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in names] + [pa.array(band), pa.array([o.view(np.int64) for o in out], pa.list_(pa.int64()))], [*names, "_band", "_parts"])
+            more = [pa.array(band), pa.array(need, pa.int32()), pa.array([o.view(np.int64) for o in out], pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in names] + more, [*names, "_band", "_need", "_parts", "_times"])
 
 
 def _verify_block(pairs: pa.Table, texts: pa.Table, threshold: float) -> pa.Table:
@@ -281,13 +290,13 @@ def _verify_block(pairs: pa.Table, texts: pa.Table, threshold: float) -> pa.Tabl
 def rest_of_links(left: DataFrame, tried: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The links (_a, _b, their classes _ia, _ib) between texts of different classes in the buckets that are left (_bucket, _node, _words, _its), without the pairs tried before. Exact: no pair is left out, however large a bucket is.
 
-    Of each text the rarest disjoint parts, one more than a link may have edits, are looked up among all words and pairs of words of the texts that are no longer; a link has one of them. What is met is compared by its bag of words and by alignment, in blocks of texts, so that a text in many pairs is sent once for each block. The lookup is between texts, not within buckets: texts that share many buckets meet once, and some links without a bucket are found as well.
+    Of each text the rarest disjoint parts, more than a link may have edits, are looked up among all words and pairs of words of the texts that are no longer; a link has all of them but as many as it may have edits. Only pairs that do have their texts sent: they are compared by their bags of words and by alignment, in blocks of texts, so that a text in many pairs is sent once for each other block. The lookup is between texts, not within buckets: texts that share many buckets meet once, and some links without a bucket are found as well.
     """
     spark = left.sparkSession
     nodes = saved(left.select("_node", "_its", "_words").where("_words > 0").distinct(), "open")
     some = saved(texts.join(nodes.hint("merge"), "_node").select("_node", "_its", "_words", "_t"), "some")
     size = some.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("_t")).alias("chars")).first()
-    schema = f"_node {_NODE}, _its {_NODE}, _words bigint, _band int, _parts array<bigint>"
+    schema = f"_node {_NODE}, _its {_NODE}, _words bigint, _band int, _need int, _parts array<bigint>, _times array<bigint>"
 
     def parts(of: DataFrame, hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> DataFrame:
         return of.mapInArrow(lambda x: _parts(x, threshold, hashes, counts), schema)
@@ -298,12 +307,13 @@ def rest_of_links(left: DataFrame, tried: DataFrame, texts: DataFrame, threshold
     hashes, counts = np.array([r["_h"] for r in known], dtype=np.int64).view(np.uint64), np.array([r["_n"] for r in known], dtype=np.int64)
     order = np.argsort(hashes)
 
-    asked = parts(some, hashes[order], counts[order]).select("_node", "_its", "_words", F.explode("_parts").alias("_h"), "_band")
-    asked = asked.select("_node", "_its", "_words", "_h", F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_band"))
+    asked = parts(some, hashes[order], counts[order]).select("_node", "_its", "_words", "_need", F.explode(F.arrays_zip("_parts", "_times")).alias("_p"), "_band")
+    asked = asked.select("_node", "_its", "_words", "_need", F.col("_p._parts").alias("_h"), F.col("_p._times").alias("_times"), F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_band"))
     there = parts(some).select(*(F.col(c).alias(f"{c}_of") for c in ("_node", "_its", "_words")), "_band", F.explode("_parts").alias("_h"))
     # as most_edits() of the longer text
     near = (F.col("_words_of") <= F.col("_words")) & (F.col("_words") - F.col("_words_of") <= F.lit(1 - threshold) * F.col("_words") + 1e-9)
     met = asked.hint("merge").join(there, ["_h", "_band"]).where((F.col("_its") != F.col("_its_of")) & near)
+    met = met.groupBy("_node", "_node_of").agg(*(F.first(c).alias(c) for c in ("_its", "_its_of", "_need")), F.sum("_times").alias("_n")).where("_n >= _need")
     first = F.col("_node") < F.col("_node_of")
     ends = [F.least("_node", "_node_of").alias("_a"), F.greatest("_node", "_node_of").alias("_b")]
     pairs = met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_its_of")).alias("_ia"), F.when(first, F.col("_its_of")).otherwise(F.col("_its")).alias("_ib")).distinct()
@@ -312,7 +322,7 @@ def rest_of_links(left: DataFrame, tried: DataFrame, texts: DataFrame, threshold
 
     blocks = F.lit(max(1, -(-(size["chars"] or 0) // BLOCK_CHARS)))
     block = [F.pmod(F.xxhash64(c, F.lit(7)), blocks) for c in ("_a", "_b")]
-    dealt = pairs.withColumn("_block", block[0] * blocks + block[1])
+    dealt = pairs.withColumn("_block", F.least(*block) * blocks + F.greatest(*block))
     needed = dealt.select(F.col("_a").alias("_node"), "_block").unionByName(dealt.select(F.col("_b").alias("_node"), "_block")).distinct()
     sent = some.select("_node", "_t").join(needed.hint("merge"), "_node").select(F.col("_block").alias("_to"), "_node", "_t")
     found = dealt.groupBy("_block").cogroup(sent.groupBy("_to")).applyInArrow(lambda a, b: _verify_block(a, b, threshold), f"_a {_NODE}, _b {_NODE}, _ia {_NODE}, _ib {_NODE}")
