@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,8 @@ PARAGRAPH = "\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+|(?<=[.!?:;])[ \\t\\r]*\\n"
 CUES = "licen[sc]|copyright|rights|redistribut|permission|permitted|warrant|public domain|spdx|creative commons|creativecommons|\\bcc[ -]?(?:by|0)|\\b[al]?gpl|\\bmpl|\\bepl|unencumbered|as.is\\b|you must|you may|you are free|you can|anyone is free|strictly prohibited|misrepresented|reproduced|neither the name|unless required|liable|corresponding source"
 
 _TOKEN = "[^a-z0-9.]+"
+#: Bins of features on the executors.
+BINS = 1024
 
 
 def tokens(text: str) -> list[str]:
@@ -177,11 +180,16 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
     """
     model = model or fit()
     names = [*model.families, "none"]
-    columns = [F.lit([float(v) for v in model.weights[:, c]]) for c in range(len(names))]
+    # features are dealt to bins by their crc32, so that a place is looked up in a bin and not in all of them
+    deal = [zlib.crc32(f.encode()) % BINS for f in model.features]
+    by_bin = sorted(range(len(deal)), key=lambda i: deal[i])
+    bins = [[model.features[i] for i in by_bin if deal[i] == b] for b in range(BINS)]
+    weights = model.weights[by_bin]
+    columns = [F.lit([float(v) for v in weights[:, c]]) for c in range(len(names))]
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"))
 
     def words_in(paragraph: Column) -> Column:
-        cut = F.split(F.regexp_replace(F.lower(paragraph), _TOKEN, " "), " ")
+        cut = F.split(F.lower(paragraph), _TOKEN)
         return F.filter(F.transform(cut, lambda w: F.btrim(w, F.lit("."))), lambda w: w != "")
 
     def joined(words: Column, n: int) -> Column:
@@ -189,14 +197,26 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
         at = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
         return F.transform(at, lambda i: F.concat_ws(" ", *(F.get(words, i + (k - 1)) for k in range(n))))
 
-    vocabulary = _array(model.features)
-
-    # so much none is ahead without features, and so much a feature gives a family over none: too few features can't state a licence
+    # so much none is ahead without features, and so much each feature gives the family it favours most over none: features that give less together can't state a licence
     ahead = float(model.bias[-1] - model.bias[:-1].max())
-    gain = float(max(1e-9, (model.weights[:, :-1] - model.weights[:, -1:]).max(initial=0.0)))
+    gains = _array((weights[:, :-1] - weights[:, -1:]).max(axis=1, initial=-np.inf).tolist())
+    alone = [f for f in model.features if " " not in f]
+    pairs = [f.split(" ") for f in model.features if " " in f]
+    begins, ends = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
+    in_bins, before = F.array(*(_array(b) if b else F.array().cast("array<string>") for b in bins)), _array(np.cumsum([0, *(len(b) for b in bins)])[:-1].tolist())
+
+    def place(g: Column) -> Column:
+        """A feature's place, from 1 on; null if it is none."""
+        b = F.pmod(F.crc32(g.cast("binary")), F.lit(BINS)).cast("int")
+        at = F.array_position(F.get(in_bins, b), g).cast("int")
+        return F.when(at > 0, F.get(before, b).cast("int") + at)
 
     def features(words: Column) -> Column:
-        return F.array_intersect(F.array_union(words, joined(words, 2)), vocabulary)
+        """Places of the words, then of the pairs, that are features, each once. Few words begin a pair, so few pairs are made."""
+        own = F.array_distinct(F.filter(words, lambda w: w.isin(alone)))
+        both = F.transform(words, lambda w, i: F.when(w.isin(begins) & F.get(words, i + 1).isin(ends), F.concat_ws(" ", w, F.get(words, i + 1))))
+        both = F.array_distinct(F.filter(both, lambda g: g.isNotNull()))
+        return F.filter(F.transform(F.concat(own, both), place), lambda i: i.isNotNull())
 
     def judged(at: Column) -> Column:
         """The families' scores of a paragraph's features, given by their places."""
@@ -209,9 +229,8 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
 
     some = rows.select("_id", F.transform(F.split("_t", PARAGRAPH), lambda p, i: F.struct(i.alias("paragraph"), p.alias("text"))).alias("_p"))
     some = some.withColumn("_s", F.transform("_p", lambda p: F.struct(p["paragraph"].alias("paragraph"), words_in(p["text"]).alias("words"))))
-    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), features(p["words"]).alias("own"))))
-    some = some.withColumn("_s", F.filter("_s", lambda p: F.size(p["own"]) * F.lit(gain) + F.lit(1e-9) >= F.lit(ahead)))
-    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), F.transform(p["own"], lambda g: F.array_position(vocabulary, g).cast("int")).alias("at"))))
+    some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), features(p["words"]).alias("at"))))
+    some = some.withColumn("_s", F.filter("_s", lambda p: F.aggregate(p["at"], F.lit(1e-6), _adder(gains)) >= F.lit(ahead)))
     some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), judged(p["at"]).alias("z"))))
     some = some.withColumn("_s", F.transform("_s", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), pick(p["z"]).alias("best"))))
     some = some.withColumn("_s", F.filter("_s", lambda p: p["best"]["family"] != "none"))
