@@ -223,6 +223,57 @@ def test_texts_that_share_a_rare_word_by_chance_are_not_sent(spark, monkeypatch)
     assert sizes["rest"] <= 10
 
 
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=120), st.data())
+def test_a_link_has_its_parts_about_where_they_were(words, data):
+    most, other = near_dedup.most_edits(len(words), 0.8), list(words)
+    for _ in range(most):
+        at = data.draw(st.integers(0, len(other) - 1))
+        if data.draw(st.booleans()) and len(other) > 1:
+            del other[at]
+        else:
+            other[at] = data.draw(st.integers(0, 30))
+    a, b = (np.array(x, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in (words, other))
+    counts = np.array([1 + data.draw(st.integers(0, 5)) for _ in range(31)])
+    known = np.sort(gram_hashes(np.arange(31, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 1))
+    parts, places = near_dedup.parts_at(a, 0.8, known, counts)
+    where, more = defaultdict(list), len(words) - len(other)
+    for k in (1, 2):
+        for j, h in enumerate(gram_hashes(b, k).tolist()):
+            where[h].append(j)
+    fit = sum(any(abs(i - j) + abs(more - (i - j)) <= most for j in where[h]) for h, i in zip(parts.tolist(), places.tolist()))
+    assert len(set(places.tolist())) == len(places) and fit >= len(parts) - most
+    bands = np.array([1 << 3 if h in set(parts.tolist()) else 0 for h in known.tolist()], dtype=np.uint64)
+    there = near_dedup.askable(b, 3, known, counts, bands)[0].tolist()
+    assert all(h in there for h in parts.tolist() if where[h])
+
+
+def rest_of_links(spark, monkeypatch, texts, buckets):
+    """The links that the exact search finds between texts (lists of words) in buckets (a number for each text), and how many pairs it compares."""
+    node = "cast(_k as decimal(38,0))"
+    rows = spark.createDataFrame([(k, " ".join(t), len(t), b) for k, (t, b) in enumerate(zip(texts, buckets))], "_k long, _t string, _words long, _bucket long")
+    left = rows.selectExpr("_bucket", f"{node} as _node", "_words", f"{node} as _its")
+    sizes, saved = {}, near_dedup.saved
+
+    def counted(df, label):
+        out = saved(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "saved", counted)
+    found = near_dedup.rest_of_links(left, left.selectExpr("_node as _a", "_node as _b").limit(0), rows.selectExpr(f"{node} as _node", "_t"), 0.8)
+    return sorted((int(r._a), int(r._b)) for r in found.collect()), sizes["rest"]
+
+
+def test_texts_with_the_same_parts_elsewhere_are_not_compared(spark, monkeypatch):
+    """All in one large bucket; of each text there is one with its halves swapped, and of two there is a link."""
+    rng = random.Random(11)
+    texts = [prose(rng, 100).split(" ") for _ in range(30)]
+    texts += [t[50:] + t[:50] for t in texts]
+    texts += [edited(rng, texts[i], 18) for i in (4, 50)]
+    links, compared = rest_of_links(spark, monkeypatch, texts, [1] * len(texts))
+    assert links == [(4, 60), (50, 61)] and compared == 2
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_recall_at_all_rates_and_lengths(bare, spread):
     """Pairs of 5 to 500 words with 2 to 20 % of the words edited, end to end; recall of the links that the definition gives."""

@@ -28,6 +28,8 @@ TURNS, PIVOTS = 2, 4
 KNOWN_TEXTS, KNOWN_HASHES, BLOCK_CHARS = 2000, 200_000, 2_000_000
 #: The exact search looks up one part more for so many words, if it is as rare as the others or the sample has it so often at most.
 SPARE_WORDS, SPARE_COUNT = 16, 2
+#: Lookups of rare parts, of which about one finds the part where it may be, for one of a part that is all over the text.
+ASTRAY = 3
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NODE = "decimal(38,0)"
@@ -226,47 +228,126 @@ def pairs_with(members: DataFrame, pivots: DataFrame, threshold: float) -> DataF
     return met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_p._its")).alias("_ia"), F.when(first, F.col("_p._its")).otherwise(F.col("_its")).alias("_ib")).distinct()
 
 
-def parts_of(words: np.ndarray, threshold: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hashes of most_edits + 1 disjoint parts or more, words or pairs of neighbours, those that are rarest by the known counts (of the sorted hashes). A part that occurs twice may be there twice.
+def pairs_between(single: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """The most disjoint pairs of neighbours, of those that may be parts, between the words that are parts alone: with these they are the most disjoint parts there are."""
+    at = np.flatnonzero(pair & ~single[:-1] & ~single[1:])
+    if not len(at):
+        return at
+    new = np.concatenate(([True], np.diff(at) > 1))
+    return at[(at - at[new][np.cumsum(new) - 1]) % 2 == 0]
+
+
+def prices(grams: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The known count of each gram, 0 if there is none (counts are of the sorted hashes)."""
+    if not len(hashes):
+        return np.zeros(len(grams), dtype=np.int64)
+    at = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
+    return np.where(hashes[at] == grams, counts[at], 0)
+
+
+def parts_at(words: np.ndarray, threshold: float, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of most_edits + 1 disjoint parts or more, words or pairs of neighbours, those that are rarest by the known counts (of the sorted hashes). A part that occurs twice may be there twice. No pair has a word that is known SPARE_COUNT times or less (see askable).
 
-    An edit touches one of them at most, so a link that is no longer has all of them whole but most_edits, whichever they are: the counts decide the cost alone. The spare ones (see SPARE_WORDS) make more than one necessary, which few texts have by chance.
+    An edit touches one of them at most, so a link that is no longer has all of them whole but most_edits, whichever they are: the counts decide the cost alone. The spare ones (see SPARE_WORDS) make more than one necessary, which few texts have by chance. Where one part occurs often enough to be all of them and is found less often than the rare ones together, it is: one lookup in place of many.
     """
-    most, best = most_edits(len(words), threshold), None
-    for size in (1, 2):
-        grams = gram_hashes(words, size)
-        at = np.minimum(np.searchsorted(hashes, grams), max(0, len(hashes) - 1))
-        cost = np.where(hashes[at] == grams, counts[at], 0) if len(hashes) else np.zeros(len(grams), dtype=np.int64)
-        for start in range(size):
-            some, price = grams[start::size], cost[start::size]
-            if len(some) > most or best is None:  # there are always enough words
-                first = np.lexsort((some, price))[: most + 1 + len(words) // SPARE_WORDS]
-                dearest = price[first[: most + 1]].max()
-                first = first[price[first] <= max(dearest, SPARE_COUNT)]
-                key = (price[first[: most + 1]].sum(), -len(first))
-                if best is None or key < best[0]:
-                    best = key, some[first]
-    return best[1]
-
-
-def _parts(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarray | None, counts: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Texts (_node, _its, _words, _t) with their parts, how often each is among them, and how many a link must have (_need); or, without hashes, with all their words and pairs once. _band puts texts of like length together, so that a link has the same or the next lower one."""
-    width = max(-np.log(threshold), 0.01) * 1.001
+    least = most_edits(len(words), threshold) + 1
+    limit = least + len(words) // SPARE_WORDS
+    grams = [gram_hashes(words, size) for size in (1, 2)]
+    price = [prices(g, hashes, counts) for g in grams]
+
+    def chosen(level: int) -> tuple[np.ndarray, np.ndarray]:
+        single = price[0] <= level
+        return np.flatnonzero(single), pairs_between(single, price[1] <= level)
+
+    levels = np.unique(np.concatenate(price))
+    low, high = 0, len(levels) - 1  # at the highest, every word is a part
+    while low < high:
+        middle = (low + high) // 2
+        if sum(map(len, chosen(levels[middle]))) >= least:
+            high = middle
+        else:
+            low = middle + 1
+    ones, twos = chosen(max(levels[low], SPARE_COUNT))
+    some, at, cost = np.concatenate([grams[0][ones], grams[1][twos]]), np.concatenate([ones, twos]), np.concatenate([price[0][ones], price[1][twos]])
+    first = np.lexsort((some, cost))[:limit]
+    _, each = np.unique(some[first[:least]], return_index=True)
+    whole = cost[first[:least]][each].sum()
+    frequent = np.flatnonzero((price[0][:-1] > SPARE_COUNT) & (price[0][1:] > SPARE_COUNT))
+    for k, may in ((0, np.arange(len(words))), (1, frequent[frequent % 2 == 0]), (1, frequent[frequent % 2 == 1])):
+        values, times = np.unique(grams[k][may], return_counts=True)
+        if len(values) and times.max() >= least:
+            often = may[grams[k][may] == values[times.argmax()]]
+            if ASTRAY * price[k][often[0]] < whole:
+                return grams[k][often[:limit]], often[:limit]
+    return some[first], at[first]
+
+
+def askable(words: np.ndarray, band: int, hashes: np.ndarray, counts: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the words and pairs that parts_at can have chosen in a text of like length; of the known ones those that it did choose in one (a bit of `bands` for each band)."""
+    grams = [gram_hashes(words, size) for size in (1, 2)]
+    frequent = prices(grams[0], hashes, counts) > SPARE_COUNT
+    out = []
+    for g, may in zip(grams, (np.full(len(words), True), frequent[:-1] & frequent[1:])):
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, g), len(hashes) - 1)
+            may = may & ((hashes[at] != g) | (bands[at] >> np.uint64(min(band, 63)) & np.uint64(1)).astype(bool))
+        out.append((g[may], np.flatnonzero(may)))
+    return np.concatenate([g for g, _ in out]), np.concatenate([i for _, i in out])
+
+
+def parts_of(words: np.ndarray, threshold: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The hashes of parts_at."""
+    return parts_at(words, threshold, hashes, counts)[0]
+
+
+def _spans(grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once, how often it is there, and its first and last place."""
+    order = np.lexsort((at, grams))
+    grams, at = grams[order], at[order]
+    begin = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))[: len(grams)])
+    end = np.append(begin[1:], len(grams))[: len(begin)]
+    return grams[begin], end - begin, at[begin], at[end - 1]
+
+
+def _parts(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarray | None = None, counts: np.ndarray | None = None, bands: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Texts (_node, _its, _words, _t) with their parts, how often each is among them, its first place and how far on the last is, and how many a link must have (_need); with bands, with their words and pairs that may be asked for; without hashes, with all. _band puts texts of like length together; the shorter text of a link has the band of the longer one or its _lower, mostly the same."""
+    width = max(-np.log(threshold), 0.01) * 4
     names = ["_node", "_its", "_words"]
+    none = np.empty(0, dtype=np.uint64)
     for batch in batches:
         texts = batch.column("_t").to_pylist()
         for s, e in slices(texts):
             words, first = word_hashes([normal(t) for t in texts[s:e]])
             each = [words[first[k] : first[k + 1]] for k in range(e - s)]
+            length = np.diff(first)
+            band, lower = (np.floor(np.log(np.maximum(n, 1)) / width).astype(np.int32) for n in (length, [n - most_edits(int(n), threshold) for n in length]))
+            need = [0] * len(each)
             if hashes is None:
-                out = [np.unique(np.concatenate([gram_hashes(w, 1), gram_hashes(w, 2)])) for w in each]
-                times, need = [None] * len(each), [0] * len(each)
+                chosen = [(np.concatenate([gram_hashes(w, 1), gram_hashes(w, 2)]), np.concatenate([np.arange(len(w)), np.arange(max(0, len(w) - 1))])) for w in each]
+            elif bands is not None:
+                chosen = [askable(w, int(b), hashes, counts, bands) if len(w) else (none, np.arange(0)) for w, b in zip(each, band)]
             else:
-                chosen = [parts_of(w, threshold, hashes, counts) if len(w) else w for w in each]
-                need = [len(c) - most_edits(len(w), threshold) for c, w in zip(chosen, each)]
-                out, times = zip(*(np.unique(c, return_counts=True) for c in chosen))
-            band = np.floor(np.log(np.maximum(np.diff(first), 1)) / width).astype(np.int32)
-            more = [pa.array(band), pa.array(need, pa.int32()), pa.array([o.view(np.int64) for o in out], pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in names] + more, [*names, "_band", "_need", "_parts", "_times"])
+                chosen = [parts_at(w, threshold, hashes, counts) if len(w) else (none, np.arange(0)) for w in each]
+                need = [len(c) - most_edits(len(w), threshold) for (c, _), w in zip(chosen, each)]
+            spans = [_spans(*c) for c in chosen]
+            rest = [pa.array([x.astype(np.int32) for x in some], pa.list_(pa.int32())) for some in ([x[1] for x in spans], [x[2] for x in spans], [x[3] - x[2] for x in spans])]
+            more = [pa.array(band), pa.array(lower), pa.array(need, pa.int32()), pa.array([x[0].view(np.int64) for x in spans], pa.list_(pa.int64())), *rest]
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(s, e - s) for c in names] + more, [*names, "_band", "_lower", "_need", "_parts", "_times", "_low", "_span"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], threshold: float, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The known hashes that are parts of the texts, with a bit for each band in which they are looked up (64 and more as 63)."""
+    bands, one = np.zeros(len(hashes), dtype=np.uint64), np.uint64(1)
+    for batch in _parts(batches, threshold, hashes, counts):
+        parts = batch.column("_parts")
+        grams = parts.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        at = np.minimum(np.searchsorted(hashes, grams), max(0, len(hashes) - 1))
+        known = np.flatnonzero(hashes[at] == grams) if len(hashes) else np.arange(0)
+        for c in ("_band", "_lower"):
+            band = np.repeat(batch.column(c).to_numpy(), np.diff(parts.offsets.to_numpy()))
+            np.bitwise_or.at(bands, at[known], one << np.minimum(band[known], 63).astype(np.uint64))
+    there = np.flatnonzero(bands)
+    yield pa.RecordBatch.from_arrays([pa.array(hashes[there].view(np.int64)), pa.array(bands[there].view(np.int64))], ["_h", "_bands"])
 
 
 def _verify_block(pairs: pa.Table, texts: pa.Table, threshold: float) -> pa.Table:
@@ -290,30 +371,43 @@ def _verify_block(pairs: pa.Table, texts: pa.Table, threshold: float) -> pa.Tabl
 def rest_of_links(left: DataFrame, tried: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The links (_a, _b, their classes _ia, _ib) between texts of different classes in the buckets that are left (_bucket, _node, _words, _its), without the pairs tried before. Exact: no pair is left out, however large a bucket is.
 
-    Of each text the rarest disjoint parts, more than a link may have edits, are looked up among all words and pairs of words of the texts that are no longer; a link has all of them but as many as it may have edits. Only pairs that do have their texts sent: they are compared by their bags of words and by alignment, in blocks of texts, so that a text in many pairs is sent once for each other block. The lookup is between texts, not within buckets: texts that share many buckets meet once, and some links without a bucket are found as well.
+    Of each text the rarest disjoint parts, more than a link may have edits, are looked up among the words and pairs of words of the texts that are no longer; a link has all of them but as many as it may have edits, and each about where it was: the words before a part that is whole, and those after it, differ in number by the edits there, which together are as many as a link may have at most. Only pairs that do have their texts sent: they are compared by their bags of words and by alignment, in blocks of texts, so that a text in many pairs is sent once for each other block. The lookup is between texts, not within buckets: texts that share many buckets meet once, and some links without a bucket are found as well. What no text of like length asks for isn't sent to the lookup, as far as the sample's hashes can say.
     """
     spark = left.sparkSession
     nodes = saved(left.select("_node", "_its", "_words").where("_words > 0").distinct(), "open")
     some = saved(texts.join(nodes.hint("merge"), "_node").select("_node", "_its", "_words", "_t"), "some")
     size = some.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("_t")).alias("chars")).first()
-    schema = f"_node {_NODE}, _its {_NODE}, _words bigint, _band int, _need int, _parts array<bigint>, _times array<bigint>"
+    arrays = ["_parts", "_times", "_low", "_span"]
+    schema = f"_node {_NODE}, _its {_NODE}, _words bigint, _band int, _lower int, _need int, _parts array<bigint>, _times array<int>, _low array<int>, _span array<int>"
 
-    def parts(of: DataFrame, hashes: np.ndarray | None = None, counts: np.ndarray | None = None) -> DataFrame:
-        return of.mapInArrow(lambda x: _parts(x, threshold, hashes, counts), schema)
+    def parts(of: DataFrame, *known: np.ndarray) -> DataFrame:
+        return of.mapInArrow(lambda x: _parts(x, threshold, *known), schema)
 
     share = F.lit(min(1.0, KNOWN_TEXTS / max(1, size["n"])))
     sample = some.where(F.pmod(F.xxhash64("_node", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share).withColumn("_t", F.substring("_t", 1, 20_000)).limit(2 * KNOWN_TEXTS)
     known = parts(sample).select(F.explode("_parts").alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").orderBy(F.desc("_n"), "_h").limit(KNOWN_HASHES).collect()
     hashes, counts = np.array([r["_h"] for r in known], dtype=np.int64).view(np.uint64), np.array([r["_n"] for r in known], dtype=np.int64)
     order = np.argsort(hashes)
-
-    asked = parts(some, hashes[order], counts[order]).select("_node", "_its", "_words", "_need", F.explode(F.arrays_zip("_parts", "_times")).alias("_p"), "_band")
-    asked = asked.select("_node", "_its", "_words", "_need", F.col("_p._parts").alias("_h"), F.col("_p._times").alias("_times"), F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_band"))
-    there = parts(some).select(*(F.col(c).alias(f"{c}_of") for c in ("_node", "_its", "_words")), "_band", F.explode("_parts").alias("_h"))
+    hashes, counts = hashes[order], counts[order]
+    bands = np.zeros(len(hashes), dtype=np.int64)
+    for r in some.mapInArrow(lambda x: _asked(x, threshold, hashes, counts), "_h bigint, _bands bigint").groupBy("_h").agg(F.bit_or("_bands").alias("_bands")).collect():
+        bands[np.searchsorted(hashes, np.int64(r["_h"]).view(np.uint64))] = r["_bands"]
+
+    # what is the same in a text's rows comes first, so that they are written small
+    asked = parts(some, hashes, counts).select("_node", "_its", "_words", "_need", F.explode(F.array_distinct(F.array("_band", "_lower"))).alias("_band"), *arrays)
+    asked = asked.select("_node", "_its", "_words", "_need", "_band", F.explode(F.arrays_zip(*arrays)).alias("_p"))
+    asked = asked.select("_node", "_its", "_words", "_need", "_band", "_p._times", "_p._span", "_p._low", F.col("_p._parts").alias("_h"))
+    there = parts(some, hashes, counts, bands.view(np.uint64)).select(*(F.col(c).alias(f"{c}_of") for c in ("_node", "_its", "_words")), "_band", F.explode(F.arrays_zip(*arrays)).alias("_p"))
+    there = there.select("_node_of", "_its_of", "_words_of", "_band", *(F.col(f"_p.{c}").alias(f"{c}_of") for c in ("_times", "_span", "_low")), F.col("_p._parts").alias("_h"))
     # as most_edits() of the longer text
-    near = (F.col("_words_of") <= F.col("_words")) & (F.col("_words") - F.col("_words_of") <= F.lit(1 - threshold) * F.col("_words") + 1e-9)
-    met = asked.hint("merge").join(there, ["_h", "_band"]).where((F.col("_its") != F.col("_its_of")) & near)
-    met = met.groupBy("_node", "_node_of").agg(*(F.first(c).alias(c) for c in ("_its", "_its_of", "_need")), F.sum("_times").alias("_n")).where("_n >= _need")
+    most, more = F.floor(F.lit(1 - threshold) * F.col("_words") + 1e-9), F.col("_words") - F.col("_words_of")
+    near = (F.col("_words_of") <= F.col("_words")) & (more <= most)
+    # of a part at i, the place j in the other text: |i - j| + |more - (i - j)| <= most
+    high, high_of = F.col("_low") + F.col("_span"), F.col("_low_of") + F.col("_span_of")
+    placed = (2 * F.col("_low_of") <= 2 * high + most - more) & (2 * high_of >= 2 * F.col("_low") - most - more)
+    enough = F.col("_times_of") >= F.col("_times") - most
+    met = asked.hint("merge").join(there, ["_h", "_band"]).where((F.col("_its") != F.col("_its_of")) & near & placed & enough)
+    met = met.groupBy("_node", "_node_of").agg(*(F.first(c).alias(c) for c in ("_its", "_its_of", "_need")), F.sum(F.least("_times", "_times_of")).alias("_n")).where("_n >= _need")
     first = F.col("_node") < F.col("_node_of")
     ends = [F.least("_node", "_node_of").alias("_a"), F.greatest("_node", "_node_of").alias("_b")]
     pairs = met.select(*ends, F.when(first, F.col("_its")).otherwise(F.col("_its_of")).alias("_ia"), F.when(first, F.col("_its_of")).otherwise(F.col("_its")).alias("_ib")).distinct()
