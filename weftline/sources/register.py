@@ -10,7 +10,8 @@ from weftline.functions.scoring import repair_all, repair_text
 from weftline.functions.text import strip
 from weftline.operators.dedupe import keep_first
 
-_ROW = "^\\s*([0-9]{1,5})\\s+(TM[0-9]{6})\\s*(.*)$"
+#: A serial of any length, and a number of six digits, or of more if it has no zero before it and ends at a space: a name may follow six digits at once.
+_ROW = "^\\s*([0-9]+)\\s+(TM(?:[1-9][0-9]{6,}(?=\\s)|[0-9]{6}))\\s*(.*)$"
 
 
 def read_register(lines: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def read_register(lines: DataFrame) -> DataFrame:
     cut = raw.withColumn("_parts", parts)
     return cut.select(
         "tm",
-        F.substring("tm", 3, 6).cast("int").alias("tid"),
+        F.substr("tm", F.lit(3)).cast("int").alias("tid"),
         "raw",
         "page",
         F.regexp_extract("raw", head, 2).alias("pincode"),
