@@ -49,11 +49,9 @@ def top_k(df: DataFrame, key: Sequence[str], order: Order, k: int) -> DataFrame:
 
 def best_two(df: DataFrame, key: Sequence[str], score: str, ties: Order) -> DataFrame:
     """The best row of each key, with runner_up: the second best score, 0.0 if there is none."""
-    ranked = top_k(df, key, [F.col(score).desc(), *_required(ties)], 2)
-    second = ranked.groupBy(*(F.col(k).alias(f"_k_{k}") for k in key)).agg(F.max(F.when(F.col("rank") == 2, F.col(score))).alias("_second"))
-    first = ranked.where("rank = 1").drop("rank")
-    on = [first[k].eqNullSafe(second[f"_k_{k}"]) for k in key]
-    return first.join(second, on).withColumn("runner_up", F.coalesce("_second", F.lit(0.0))).drop("_second", *(f"_k_{k}" for k in key))
+    order = [F.col(score).desc(), *_required(ties)]
+    second = F.lead(score).over(Window.partitionBy(*key).orderBy(*order))
+    return top_k(df, key, order, 2).withColumn("runner_up", F.coalesce(second, F.lit(0.0))).where("rank = 1").drop("rank")
 
 
 def numeric_then_text(col: str) -> list[Column]:
