@@ -11,7 +11,7 @@ from weftline.operators.dedupe import keep_first
 from weftline.operators.incremental import pending
 from weftline.operators.records import assemble
 from weftline.sources import files
-from weftline.sources.pages import parse_detail
+from weftline.sources.pages import parse_detail, spread
 
 PAGE = files.strings("url", "html")
 
@@ -21,7 +21,8 @@ def stream_records(spark: SparkSession, pages_dir: str, index: DataFrame, out_di
     stream = spark.readStream.schema(PAGE).parquet(pages_dir)
 
     def take(batch: DataFrame, _: int) -> None:
-        parsed = batch.select(item_of_href(F.col("url")).alias("temple_id"), "url", parse_detail(image_base)("html").alias("page")).where("temple_id is not null and page.found")
+        asked = spread(batch.withColumn("temple_id", item_of_href(F.col("url"))).where("temple_id is not null"))
+        parsed = asked.select("temple_id", "url", parse_detail(image_base)("html").alias("page")).where("page.found")
         one = keep_first(parsed.select("temple_id", "url", F.to_json("page").alias("page")), ["temple_id"], ["url"]).select("temple_id", F.from_json("page", parsed.schema["page"].dataType).alias("page"))
         done = files.read_jsonl(spark, out_dir, files.record_schema())[0]
         todo = pending(index.select("temple_id", "district_id", "district_name"), done, ["temple_id"])
