@@ -30,26 +30,29 @@ def provenance(value: Column) -> Column:
 
 def assemble(items: DataFrame, tamil: DataFrame, english: DataFrame) -> DataFrame:
     """Wide records of items (temple_id, district_id, district_name) from their parsed pages (temple_id, page): a join with the Tamil page, and a left join with the English one, which counts only if it was found."""
-    none = F.lit(None).cast(tamil.schema["page"].dataType)
-    pages = items.join(tamil.withColumnRenamed("page", "ta"), "temple_id").join(english.withColumnRenamed("page", "en"), "temple_id", "left")
-    pages = pages.withColumn("en", F.when(F.col("en.found"), F.col("en")).otherwise(none))
+    def side(parsed: DataFrame, name: str, counts: Column) -> DataFrame:
+        """What a record has of one page, as columns: what isn't asked for isn't joined."""
+        have = {f: F.col("page.fields")[f] for f in TEXT_FIELDS} | {c: F.col(f"page.{c}") for c in ("category_id", "latitude", "longitude", "gallery", "nearby", "extra")}
+        return parsed.select("temple_id", counts.alias(f"_{name}"), *(F.when(counts, c).alias(f"_{name}_{k}") for k, c in have.items()))
+
+    pages = items.join(side(tamil, "ta", F.lit(True)), "temple_id").join(side(english, "en", F.coalesce("page.found", F.lit(False))), "temple_id", "left")
     texts = []
     for f in TEXT_FIELDS:
-        en = _blank(F.col("en.fields")[f])
-        texts += [_blank(F.col("ta.fields")[f]).alias(f"{f}_ta"), en.alias(f"{f}_en"), provenance(en).alias(f"{f}_source_en")]
+        of_en = _blank(F.col(f"_en_{f}"))
+        texts += [_blank(F.col(f"_ta_{f}")).alias(f"{f}_ta"), of_en.alias(f"{f}_en"), provenance(of_en).alias(f"{f}_source_en")]
     list_type, map_type = "array<string>", "map<string,string>"
     return pages.select(
         "temple_id",
         _blank(F.col("district_id")).alias("district_id"),
         _blank(F.col("district_name")).alias("district_name"),
-        F.when(F.col("en").isNotNull(), "yes").otherwise("no").alias("english_page"),
+        F.when(F.col("_en"), "yes").otherwise("no").alias("english_page"),
         *texts,
-        *(_blank(F.col(f"ta.{c}")).alias(c) for c in ("category_id", "latitude", "longitude")),
-        aligned_captions(F.col("ta.gallery"), F.col("en.gallery")).alias("gallery"),
-        F.coalesce("ta.nearby", F.array().cast(list_type)).alias("nearby_ta"),
-        F.coalesce("en.nearby", F.array().cast(list_type)).alias("nearby_en"),
-        F.coalesce("ta.extra", F.create_map().cast(map_type)).alias("extra_ta"),
-        F.coalesce("en.extra", F.create_map().cast(map_type)).alias("extra_en"),
+        *(_blank(F.col(f"_ta_{c}")).alias(c) for c in ("category_id", "latitude", "longitude")),
+        aligned_captions(F.col("_ta_gallery"), F.col("_en_gallery")).alias("gallery"),
+        F.coalesce("_ta_nearby", F.array().cast(list_type)).alias("nearby_ta"),
+        F.coalesce("_en_nearby", F.array().cast(list_type)).alias("nearby_en"),
+        F.coalesce("_ta_extra", F.create_map().cast(map_type)).alias("extra_ta"),
+        F.coalesce("_en_extra", F.create_map().cast(map_type)).alias("extra_en"),
         iso_now().alias("scraped_at"),
     )
 
